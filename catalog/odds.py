@@ -182,15 +182,17 @@ SELECT game_id, last_update AS bookmaker_last_update, number_of_bookmakers, numb
   CASE WHEN number_of_bookmakers >= 8 THEN 'Highly Competitive' WHEN number_of_bookmakers >= 5 THEN 'Competitive'
        ELSE 'Limited Competition' END AS market_competition_level,
   sport_type, partition_year, partition_month, partition_day, ingestion_timestamp FROM books""",
-    "market_efficiency_fact": f"""WITH {odds_sql('hour')}, {_EFF}
+    # averages of three-digit percentages are taken in whole thousandths, so ties round exactly
+    "market_efficiency_fact": f"""WITH {odds_sql('hour')}, {_EFF}, t AS (SELECT *, round(market_vig * 1000)::BIGINT AS v,
+  round(probability_delta * 1000)::BIGINT AS d FROM efficiency)
 SELECT game_id, bookmaker_key, sport_type, partition_year, partition_month, partition_day,
-  round(avg(market_vig), 3) AS avg_vig, round(min(market_vig), 6) AS min_vig, round(max(market_vig), 6) AS max_vig,
-  CASE WHEN avg(market_vig) <= 5 THEN 'Highly Efficient' WHEN avg(market_vig) <= 10 THEN 'Efficient'
-       WHEN avg(market_vig) <= 15 THEN 'Moderately Efficient' ELSE 'Inefficient' END AS market_efficiency_rating,
-  round(avg(probability_delta), 3) AS avg_probability_spread, round(max(probability_delta), 6) AS max_probability_spread,
+  sign(sum(v)) * ((2 * abs(sum(v)) + count(*)) // (2 * count(*))) / 1000 AS avg_vig, min(v) / 1000 AS min_vig, max(v) / 1000 AS max_vig,
+  CASE WHEN sum(v) <= 5000 * count(*) THEN 'Highly Efficient' WHEN sum(v) <= 10000 * count(*) THEN 'Efficient'
+       WHEN sum(v) <= 15000 * count(*) THEN 'Moderately Efficient' ELSE 'Inefficient' END AS market_efficiency_rating,
+  ((2 * sum(d) + count(*)) // (2 * count(*))) / 1000 AS avg_probability_spread, max(d) / 1000 AS max_probability_spread,
   CASE WHEN sum((market_favorite = 'HOME')::INT) > sum((market_favorite = 'AWAY')::INT) THEN 'HOME' ELSE 'AWAY' END AS consensus_favorite,
   count(DISTINCT market_favorite) AS favorite_changes, count(DISTINCT bookmaker_last_update) AS price_updates,
-  max(ingestion_timestamp) AS last_updated FROM efficiency GROUP BY ALL""",
+  max(ingestion_timestamp) AS last_updated FROM t GROUP BY ALL""",
     "dim_bookmakers": f"""WITH {odds_sql()} SELECT bookmaker_key, bookmaker_title AS bookmaker_name,
   array_to_string(list_sort(list(DISTINCT sport_type)), ',') AS supported_sports, {_VALID} FROM odds GROUP BY 1, 2""",
     "dim_markets": _markets(1.0, 1.1, 1.2, 0.1, 0.2),

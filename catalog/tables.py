@@ -139,12 +139,12 @@ _SHARED = [
     ("away_rebounds", "28 + c % 27"),
     ("home_assists", "10 + (k + c) % 25"),
     ("away_assists", "8 + (k * 3) % 23"),
-    ("home_fg_pct", "35 + (p % 250) / 10e0"),
-    ("away_fg_pct", "33 + ((p + k) % 250) / 10e0"),
-    ("home_3p_pct", "20 + ((p + k) % 300) / 10e0"),
-    ("away_3p_pct", "18 + ((p + c) % 300) / 10e0"),
-    ("home_ft_pct", "60 + ((p + c) % 400) / 10e0"),
-    ("away_ft_pct", "58 + (p % 400) / 10e0"),
+    ("home_fg_pct", "35 + (p % 250) / 8e0"),
+    ("away_fg_pct", "33 + ((p + k) % 250) / 8e0"),
+    ("home_3p_pct", "20 + ((p + k) % 300) / 8e0"),
+    ("away_3p_pct", "18 + ((p + c) % 300) / 8e0"),
+    ("home_ft_pct", "60 + ((p + c) % 300) / 8e0"),
+    ("away_ft_pct", "58 + (p % 300) / 8e0"),
     ("home_goals", _total("h")),
     ("away_goals", _total("a")),
     ("home_saves", "20 + p % 25"),
@@ -181,7 +181,7 @@ def games(spark: SparkSession, sf: str, sport: str | None = None) -> DataFrame:
     doubles = {"home_fg_pct", "away_fg_pct", "home_3p_pct", "away_3p_pct", "home_ft_pct", "away_ft_pct"}
     shared = [f"cast({e} as double) as {n}" if n in doubles else f"{e} as {n}" for n, e in _SHARED]
     return scored.selectExpr(
-        *_KEPT, *shared, *lines, "start_time", "home_saves_ / 50e0 as home_save_pct", "away_saves_ / 50e0 as away_save_pct",
+        *_KEPT, *shared, *lines, "start_time", "home_saves_ / 64e0 as home_save_pct", "away_saves_ / 64e0 as away_save_pct",
         "array('TV' || (k % 5)) as broadcasts",
         "year(start_time) as partition_year", "month(start_time) as partition_month", "day(start_time) as partition_day",
         "start_time + interval 3 hours as ingestion_timestamp",
@@ -202,7 +202,7 @@ def games_sql(sport: str | None = None) -> str:
     o_orderdate + to_hours(o_orderkey % 24) + to_minutes(o_custkey % 60) AS start_time FROM orders{where}),
   g1 AS (SELECT k, c, p, st, reg, start_time, {_select(_with_unit(_SCORES))} FROM g0),
   games AS (SELECT {', '.join(_KEPT)}, {_select(_SHARED)}, {', '.join(lists)}, start_time,
-    home_saves_ / 50e0 AS home_save_pct, away_saves_ / 50e0 AS away_save_pct, ['TV' || (k % 5)] AS broadcasts,
+    home_saves_ / 64e0 AS home_save_pct, away_saves_ / 64e0 AS away_save_pct, ['TV' || (k % 5)] AS broadcasts,
     year(start_time) AS partition_year, month(start_time) AS partition_month, day(start_time) AS partition_day,
     start_time + INTERVAL 3 HOUR AS ingestion_timestamp FROM g1)"""
 

@@ -46,13 +46,16 @@ def odds_movement(
 
 
 def _efficiency(df: DataFrame, fmt: str) -> DataFrame:
-    prob = {s: F.round(implied_probability(F.col(f"{s}_price"), fmt) * 100, 3) for s in ("home", "away")}
+    # exact decimals: sums and averages of rounded percentages must not pick up binary noise
+    prob = {
+        s: F.round(implied_probability(F.col(f"{s}_price"), fmt) * 100, 3).cast("decimal(8,3)") for s in ("home", "away")
+    }
     home, away = F.col("home_implied_prob"), F.col("away_implied_prob")
     return df.withColumns({f"{s}_implied_prob": p for s, p in prob.items()}).withColumns(
         {
-            "market_vig": home + away - 100,
+            "market_vig": (home + away - 100).cast("decimal(8,3)"),
             "market_favorite": F.when(home > away, "HOME").otherwise("AWAY"),
-            "probability_delta": F.abs(home - away),
+            "probability_delta": F.abs(home - away).cast("decimal(8,3)"),
         }
     )
 
@@ -190,7 +193,7 @@ def market_efficiency_fact(efficiency: DataFrame) -> DataFrame:
     vig, delta = F.col("market_vig"), F.col("probability_delta")
     home = F.count(F.when(F.col("market_favorite") == "HOME", 1))
     away = F.count(F.when(F.col("market_favorite") == "AWAY", 1))
-    mean = F.avg(vig)
+    mean = F.sum(vig) / F.count(vig)
     return efficiency.groupBy("game_id", "bookmaker_key", *days).agg(
         F.round(mean, 3).alias("avg_vig"),
         F.min(vig).alias("min_vig"),
@@ -200,7 +203,7 @@ def market_efficiency_fact(efficiency: DataFrame) -> DataFrame:
         .when(mean <= 15, "Moderately Efficient")
         .otherwise("Inefficient")
         .alias("market_efficiency_rating"),
-        F.round(F.avg(delta), 3).alias("avg_probability_spread"),
+        F.round(F.sum(delta) / F.count(delta), 3).alias("avg_probability_spread"),
         F.max(delta).alias("max_probability_spread"),
         F.when(home > away, "HOME").when(away > 0, "AWAY").alias("consensus_favorite"),
         (F.when(home > 0, 1).otherwise(0) + F.when(away > 0, 1).otherwise(0)).alias("favorite_changes"),
