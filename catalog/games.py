@@ -7,8 +7,10 @@ from matchgrid.operators import dims, filters, history
 from matchgrid.operators import games as ops
 from matchgrid.params import SPORTS
 
-FIXED = F.lit("2024-02-01").cast("timestamp")
-AS_OF = F.lit("2001-12-31").cast("date")
+def fixed():
+    return F.lit("2024-02-01").cast("timestamp")
+def as_of():
+    return F.lit("2001-12-31").cast("date")
 
 _FOOTBALL = ("NFL", "CFB")
 
@@ -61,12 +63,12 @@ QUERIES = {
     "nba_team_trends": lambda s, sf: present(ops.nba_team_trends(ops.nba_team_performance(games(s, sf, "NBA")))),
     "nhl_team_trends": lambda s, sf: present(ops.nhl_team_trends(ops.nhl_team_performance(games(s, sf, "NHL")))),
     "team_game_sequence": lambda s, sf: present(ops.team_game_sequence(ops.nba_team_performance(games(s, sf, "NBA")))),
-    "dim_teams": lambda s, sf: present(dims.dim_teams(_all_performance(s, sf), {k: ops.game_stats(games(s, sf, k)) for k in SPORTS}, valid_from=FIXED)),
+    "dim_teams": lambda s, sf: present(dims.dim_teams(_all_performance(s, sf), {k: ops.game_stats(games(s, sf, k)) for k in SPORTS}, valid_from=fixed())),
     "dim_teams_by_venue": lambda s, sf: present(
-        dims.dim_teams({"NFL": ops.football_team_performance(games(s, sf, "NFL"))}, {"NFL": ops.game_stats(games(s, sf, "NFL"))}, False, FIXED)
+        dims.dim_teams({"NFL": ops.football_team_performance(games(s, sf, "NFL"))}, {"NFL": ops.game_stats(games(s, sf, "NFL"))}, False, fixed())
     ),
-    "dim_venues": lambda s, sf: present(dims.dim_venues(_stats(s, sf), FIXED)),
-    "dim_dates": lambda s, sf: present(dims.dim_dates(_stats(s, sf), AS_OF)),
+    "dim_venues": lambda s, sf: present(dims.dim_venues(_stats(s, sf), fixed())),
+    "dim_dates": lambda s, sf: present(dims.dim_dates(_stats(s, sf), as_of())),
     "games_on_local_day": _local_day,
     "price_margin_correlation": _price_margin_correlation,
 }

@@ -8,7 +8,8 @@ from matchgrid.operators import dims, history
 from matchgrid.operators import odds as ops
 from matchgrid.operators.filters import head_to_head, within_price_range
 
-FIXED = F.lit("2024-02-01").cast("timestamp")
+def fixed():
+    return F.lit("2024-02-01").cast("timestamp")
 
 
 def _movement(spark, sf):
@@ -41,12 +42,12 @@ def _betting_value(spark, sf):
 
 
 def _dim_markets(spark, sf):
-    return present(dims.dim_markets(ops.market_efficiency(odds(spark, sf)), valid_from=FIXED))
+    return present(dims.dim_markets(ops.market_efficiency(odds(spark, sf)), valid_from=fixed()))
 
 
 def _dim_markets_in_points(spark, sf):
     efficiency = ops.market_efficiency(odds(spark, sf))
-    return present(dims.dim_markets(efficiency, (-10.0, 0.0, 10.0), (5.0, 15.0), FIXED))
+    return present(dims.dim_markets(efficiency, (-10.0, 0.0, 10.0), (5.0, 15.0), fixed()))
 
 
 def _price_versions(spark, sf):
@@ -74,7 +75,7 @@ QUERIES = {
     "betting_value_by_join": _betting_value_by_join,
     "bookmaker_performance": lambda s, sf: present(ops.bookmaker_performance(ops.compare_bookmakers(odds(s, sf, "day")))),
     "market_efficiency_fact": lambda s, sf: present(ops.market_efficiency_fact(ops.market_efficiency(odds(s, sf, "hour")))),
-    "dim_bookmakers": lambda s, sf: present(dims.dim_bookmakers(odds(s, sf), FIXED)),
+    "dim_bookmakers": lambda s, sf: present(dims.dim_bookmakers(odds(s, sf), fixed())),
     "dim_markets": _dim_markets,
     "dim_markets_in_points": _dim_markets_in_points,
     "volume_weighted_price": lambda s, sf: present(

@@ -85,7 +85,7 @@ def odds_at_snapshots(games: DataFrame, odds: DataFrame, minutes: int = 30, star
     quote per game, bookmaker and point is kept, and points without a new quote are filled forward.  Needs quotes
     ``game_id, bookmaker_key, bookmaker_last_update, home_price, away_price``.
     """
-    step = F.lit(minutes * 60_000_000)
+    step = F.lit(minutes * 60_000_000).cast("bigint")
     span = games.select("game_id", F.col(start).alias("_start"), (by_sport("game_minutes") / minutes).cast("int").alias("_steps"))
     late = F.unix_micros("bookmaker_last_update") - F.unix_micros("_start")
     point = F.greatest(F.ceil(late / step), F.lit(0))

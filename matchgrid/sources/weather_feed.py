@@ -52,7 +52,6 @@ def forecast_rows(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
     zipped = F.slice(F.arrays_zip(*[a.alias(n) for a, n in zip(arrays, names, strict=True)]), F.lit(1), hours)
     place = [F.col(f"_d.{c}").alias(c) for c in ("latitude", "longitude", "timezone", "elevation")]
     rows = d.select(*keep, *place, F.posexplode(zipped).alias("hour", "_f"))
-    feed_names = list(names.values())
     return rows.select(
         *keep,
         "latitude",
@@ -60,7 +59,7 @@ def forecast_rows(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
         "timezone",
         "elevation",
         "hour",
-        *[F.col("_f").getField(f).alias(n) for n, f in zip(names, feed_names, strict=True)],
+        *[F.col(f"_f.{n}") for n in names],
     )
 
 
