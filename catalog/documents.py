@@ -4,20 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalog.tables import games_with_leaders, table
+from catalog.tables import games_with_leaders, landed, table
 
 _ISO = "date_format({}, \"yyyy-MM-dd'T'HH:mm'Z'\")"
 _ISO_SEC = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 
 
-def _feed(df: DataFrame) -> DataFrame:
-    """Documents as they would arrive from a topic: parsing starts at the text.
-
-    The offset keeps the optimizer from folding parser filters into the expressions that write the text.
-    """
-    return df.selectExpr("*", "monotonically_increasing_id() as offset").filter("offset >= 0").drop("offset")
-
-
 _FEED_STATS = {
     "NBA": {"fieldGoalPct": "fg_pct", "threePointPct": "3p_pct", "freeThrowPct": "ft_pct", "rebounds": "rebounds", "assists": "assists"},
     "NHL": {"saves": "saves", "savePct": "save_pct", "goals": "goals", "assists": "assists", "points": "points"},
@@ -73,7 +65,7 @@ def scoreboard_events(spark: SparkSession, sf: str, sport: str) -> DataFrame:
         f"status_description)), 'competitions', array(named_struct({', '.join(competition)})))"
     )
     games = games_with_leaders(spark, sf, sport)
-    return _feed(games.selectExpr(f"to_json({event}) as value", "unix_seconds(ingestion_timestamp) as timestamp"))
+    return landed(games.selectExpr(f"to_json({event}) as value", "unix_seconds(ingestion_timestamp) as timestamp"))
 
 
 def scoreboard_pages(spark: SparkSession, sf: str, sport: str) -> DataFrame:
@@ -105,7 +97,7 @@ def odds_documents(spark: SparkSession, sf: str, whole_file: bool = False) -> Da
         "concat('U', user_id % 29) as away_team",
     )
     doc = f"named_struct('timestamp', {_ISO_SEC.format('ts')}, 'data', array({game}))" if whole_file else game
-    return _feed(rows.selectExpr(f"to_json({doc}) as value"))
+    return landed(rows.selectExpr(f"to_json({doc}) as value"))
 
 
 ODDS_SQL = """books AS (SELECT event_id, 'e' || event_id AS game_id, event_type AS sport_key, upper(event_type) AS sport_title, ts,
@@ -142,7 +134,7 @@ def forecast_documents(spark: SparkSession, sf: str) -> DataFrame:
         f"'windspeed_10m', {series('1 + event_id % 4', 'cast(i + event_id % 30 as double)')})"
     )
     doc = f"named_struct('latitude', cast(user_id as double), 'longitude', -cast(user_id as double), 'timezone', 'UTC', 'elevation', 10.0D, 'hourly', {hourly})"
-    return _feed(table(spark, sf, "events").selectExpr("event_id", f"to_json({doc}) as value"))
+    return landed(table(spark, sf, "events").selectExpr("event_id", f"to_json({doc}) as value"))
 
 
 def observation_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +167,7 @@ def news_documents(spark: SparkSession, sf: str) -> DataFrame:
         f"'link', {url}, 'summary', text, 'published', case when doc_id % 6 = 2 then 'someday' else {rfc} end, 'feed_name', source, "
         "'feed_id', 'f' || source, 'guid', 'id' || doc_id)"
     )
-    return _feed(
+    return landed(
         table(spark, sf, "documents").selectExpr(
             "doc_id", "element_at(array('newsapi', 'gnews', 'rss'), cast(doc_id % 3 as int) + 1) as dialect", f"to_json({doc}) as value"
         )
@@ -189,7 +181,7 @@ def search_responses(spark: SparkSession, sf: str) -> DataFrame:
     )
     articles = ", ".join(article.replace("{i}", str(i)) for i in (1, 2))
     doc = f"named_struct('status', 'ok', 'totalResults', cast(2 + doc_id % 3 as int), 'articles', filter(array({articles}), (a, i) -> i <= doc_id % 2))"
-    return _feed(table(spark, sf, "documents").selectExpr("doc_id", f"to_json({doc}) as value"))
+    return landed(table(spark, sf, "documents").selectExpr("doc_id", f"to_json({doc}) as value"))
 
 
 def syndication_feeds(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,7 +190,7 @@ def syndication_feeds(spark: SparkSession, sf: str) -> DataFrame:
         "'tags', case when page_id % 2 = 0 then array(named_struct('term', 'a' || page_id % 3), named_struct('term', 'web')) end)"
     )
     doc = f"named_struct('feed', named_struct('title', 'Feed ' || page_id % 10, 'language', 'en'), 'entries', array({entry}))"
-    return _feed(table(spark, sf, "pages").selectExpr("page_id", f"to_json({doc}) as value"))
+    return landed(table(spark, sf, "pages").selectExpr("page_id", f"to_json({doc}) as value"))
 
 
 def boxscores(spark: SparkSession, sf: str, sport: str) -> DataFrame:

@@ -418,7 +418,7 @@ SELECT 'weather_V' || (user_id % 40) || '_' || epoch(date_trunc('second', ts))::
     WHEN event_id % 97 > 80 THEN 'Cloudy' WHEN event_id % 97 > 20 THEN 'Partly Cloudy' ELSE 'Clear' END AS weather_condition,
   CASE WHEN event_id % 3 = 0 THEN event_id % 20 ELSE 10 END AS visibility, 1000e0 AS pressure, CASE WHEN event_id % 4 = 0 THEN 5e0 ELSE 0 END AS uv_index,
   (event_id % 97)::DOUBLE AS clouds, CASE WHEN event_id % 11 = 0 THEN 1.5e0 ELSE 0 END AS rain_1h, CASE WHEN event_id % 23 = 0 THEN 0.5e0 ELSE 0 END AS snow_1h FROM d""",
-    "hourly_forecast": """SELECT event_id, user_id::DOUBLE AS latitude, -user_id::DOUBLE AS longitude, 'UTC' AS timezone, 10e0 AS elevation, i - 1 AS hour,
+    "hourly_forecast": """SELECT event_id, user_id::DOUBLE AS latitude, (-user_id)::DOUBLE AS longitude, 'UTC' AS timezone, 10e0 AS elevation, i - 1 AS hour,
   event_id || '-' || i AS time, i / 4 + user_id AS temperature, i * 2 / 8 AS precipitation, (i + event_id % 30)::DOUBLE AS wind_speed
 FROM events, (SELECT unnest(range(1, 8)) AS i) WHERE i <= least(2 + event_id % 5, 1 + event_id % 7, 1 + event_id % 6, 1 + event_id % 4)""",
     "newsapi_articles": _news_sql(

@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def landed(df: DataFrame) -> DataFrame:
+    """Rows as they would be read from a topic or a table of their own.
+
+    The offset keeps the optimizer from folding later filters into the expressions that derive the columns.
+    """
+    return df.selectExpr("*", "monotonically_increasing_id() as offset").filter("offset >= 0").drop("offset")
+
+
 def present(df: DataFrame, digits: int = 6) -> DataFrame:
     """Result columns in types both engines print alike: rounded doubles, zone-free times, text lists."""
     out = []

@@ -22,7 +22,13 @@ def gate_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 
 def gated_merge(
-    spark: SparkSession, rows: DataFrame, rules: Mapping[str, Column], path: str, keys: Sequence[str], order: Sequence[str]
+    spark: SparkSession,
+    rows: DataFrame,
+    rules: Mapping[str, Column],
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    by: Sequence[str] = DAY,
 ) -> dict[str, int]:
     """Merge the valid rows into the curated table; raise when there are rows but none is valid."""
     counts = gate_counts(rows, rules).first().asDict()
@@ -30,7 +36,7 @@ def gated_merge(
         raise ValueError(f"no valid rows: {counts}")
     if counts["valid_rows"]:
         valid, _ = quality.split_valid(rows, rules)
-        incremental_merge(spark, path, valid, keys, order, DAY)
+        incremental_merge(spark, path, valid, keys, order, by)
     return counts
 
 

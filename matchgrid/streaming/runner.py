@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from matchgrid.operators.windows import latest_by
 from matchgrid.plans.incremental import incremental_merge
@@ -74,9 +75,17 @@ def merge_sink(
     return writer.trigger(availableNow=True).start()
 
 
-def ingest_new_files(spark: SparkSession, source: str, schema: str, path: str, checkpoint: str, by: Sequence[str] = ()) -> StreamingQuery:
-    """Append the Parquet files that appeared since the last run to a table, columns matched by name."""
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(source)
+def ingest_new_files(
+    spark: SparkSession,
+    source: str,
+    schema: str | StructType,
+    path: str,
+    checkpoint: str,
+    by: Sequence[str] = (),
+    pattern: str = "*.parquet",
+) -> StreamingQuery:
+    """Append the Parquet files that appeared in a folder since the last run to a table."""
+    files = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(source)
     writer = files.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return (writer.partitionBy(*by) if by else writer).trigger(availableNow=True).start()
 
