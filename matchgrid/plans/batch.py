@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from matchgrid.operators import dims, games, leaders, odds, quality
 from matchgrid.params import unite, with_sport
 from matchgrid.plans.incremental import incremental_merge
-from matchgrid.sources.files import DAY
+from matchgrid.sources.files import DAY, remove_folder, shared_folder
 
 
 def gate_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -29,14 +30,26 @@ def gated_merge(
     keys: Sequence[str],
     order: Sequence[str],
     by: Sequence[str] = DAY,
+    quarantine: str | None = None,
 ) -> dict[str, int]:
-    """Merge the valid rows into the curated table; raise when there are rows but none is valid."""
-    counts = gate_counts(rows, rules).first().asDict()
-    if counts["all_rows"] and not counts["valid_rows"]:
+    """Merge the valid rows into the curated table; raise when there are rows but none is valid.
+
+    The judged rows are written once to the shared folder, so documents are parsed a single time and the counts
+    and the merge read columns.  Returns the rows per status; rejected rows are appended to ``quarantine``.
+    """
+    staging = f"{shared_folder(spark)}/gate-{uuid.uuid4().hex}"
+    rows.withColumn("validation_status", quality.first_failure(rules)).write.parquet(staging)
+    judged = spark.read.parquet(staging)
+    # one row per rule
+    counts = {r["validation_status"]: r["count"] for r in judged.groupBy("validation_status").count().collect()}
+    ok = F.col("validation_status") == "Valid"
+    if quarantine and set(counts) - {"Valid"}:
+        judged.filter(~ok).write.mode("append").parquet(quarantine)
+    if counts and not counts.get("Valid"):
         raise ValueError(f"no valid rows: {counts}")
-    if counts["valid_rows"]:
-        valid, _ = quality.split_valid(rows, rules)
-        incremental_merge(spark, path, valid, keys, order, by)
+    if counts:
+        incremental_merge(spark, path, judged.filter(ok).drop("validation_status"), keys, order, by)
+    remove_folder(spark, staging)
     return counts
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchgrid.operators.windows import attach, latest_by
-from matchgrid.sources.files import merge_columns, replace_partitions, shared_folder
+from matchgrid.sources.files import has_files, merge_columns, remove_folder, replace_partitions, shared_folder
 
 
 def touched_rows(source: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -20,18 +20,6 @@ def touched_rows(source: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
     return attach(source, updates.select(*keys).distinct(), keys, "left_semi")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(target) and len(fs.listStatus(target)) > 0
-
-
-def _remove_partition(spark: SparkSession, path: str, by: Sequence[str], values: Sequence) -> None:
-    folder = "/".join(f"{c}={v}" for c, v in zip(by, values, strict=True))
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def incremental_merge(
     spark: SparkSession,
     path: str,
@@ -47,7 +35,7 @@ def incremental_merge(
     failure gives the same table.
     """
     incoming = latest_by(updates, keys, order).withColumn("_new", F.lit(1))
-    if not _exists(spark, path):
+    if not has_files(spark, path):
         replace_partitions(incoming.drop("_new"), path, by)
         return
     staging = f"{shared_folder(spark)}/merge-{uuid.uuid4().hex}"
@@ -55,20 +43,20 @@ def incremental_merge(
     incoming = spark.read.parquet(f"{staging}/incoming")
 
     target = spark.read.option("mergeSchema", "true").parquet(path)
-    hit = attach(target, incoming.select(*keys), keys, "left_semi").select(*by).distinct()
-    touched = hit.unionByName(incoming.select(*by)).distinct()
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("_folder")
+    hit = attach(target.select("*", folder), incoming.select(*keys), keys, "left_semi").select(*by, "_folder").distinct()
+    touched = hit.select(*by).unionByName(incoming.select(*by)).distinct()
     old = attach(target, touched, by, "left_semi").withColumn("_new", F.lit(0))
     merged = latest_by(merge_columns(old, incoming), keys, [*order, "_new"]).drop("_new")
     merged.write.partitionBy(*by).parquet(f"{staging}/merged")
 
     staged = spark.read.parquet(f"{staging}/merged")
-    # partitions whose rows all moved elsewhere are not overwritten by a dynamic overwrite: drop them by name
-    emptied = attach(hit, staged.select(*by).distinct(), by, "left_anti").collect()
+    # partitions whose rows all moved elsewhere are not overwritten by a dynamic overwrite: remove their folders
+    emptied = [r["_folder"] for r in attach(hit, staged.select(*by).distinct(), by, "left_anti").collect()]
     replace_partitions(staged, path, by)
-    for row in emptied:
-        _remove_partition(spark, path, by, row)
-    root = spark._jvm.org.apache.hadoop.fs.Path(staging)
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    for uri in emptied:
+        remove_folder(spark, uri)
+    remove_folder(spark, staging)
 
 
 def refresh_by_key(

@@ -29,6 +29,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.java.net.URI(path) if ":/" in path else path
+    target = spark._jvm.org.apache.hadoop.fs.Path(where)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target) and len(fs.listStatus(target)) > 0
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop(spark, path)
+    fs.delete(target, True)
+
+
 def kafka_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """Messages of a topic from now on; lost offsets do not stop the query."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
@@ -58,9 +74,8 @@ def decode_json(messages: DataFrame, schema: str | StructType, value: str = "val
 def read_json_day(spark: SparkSession, root: str, day: str, name: str, schema: str, multi_line: bool = True) -> DataFrame:
     """Raw documents of one day (``<root>/<day>/<name>``) by an explicit schema; an absent day reads as empty."""
     path = f"{root.rstrip('/')}/{day}/{name}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
+    fs, target = _hadoop(spark, path)
+    if not fs.exists(target):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
