@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 def game_start(text: Column) -> Column:
     """Start time of a game feed (minutes, or seconds in odds feeds); NULL when malformed."""
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm'Z'")),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")),
-    )
+    # one pattern for both: every failed attempt costs an exception per row
+    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm[:ss]'Z'"))
 
 
 def utc_partition(ts: Column) -> list[Column]:
@@ -23,12 +21,16 @@ def utc_partition(ts: Column) -> list[Column]:
 def news_date(text: Column, default: Column | None = None) -> Column:
     """Publication date from RFC 822, ISO with zone, plain or ISO-Z text, else ``default`` (now).
 
-    The weekday is dropped before parsing: it adds nothing, and feeds get it wrong.
+    The weekday is dropped before parsing: it adds nothing, and feeds get it wrong.  The shape of the text picks
+    the one pattern that is tried.
     """
     bare = F.regexp_replace(text, "^[A-Za-z]{3}, *", "")
-    formats = ["d MMM yyyy HH:mm:ss Z", "yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
-    parsed = [F.try_to_timestamp(bare, F.lit(f)) for f in formats]
-    return F.coalesce(*parsed, F.current_timestamp() if default is None else default)
+    parsed = (
+        F.when(bare.rlike("^[0-9]{1,2} "), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm:ss Z")))
+        .when(bare.contains("T"), F.try_to_timestamp(bare, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSS]XXX")))
+        .when(bare.rlike("^[0-9]{4}-"), F.try_to_timestamp(bare, F.lit("yyyy-MM-dd[ HH:mm:ss]")))
+    )
+    return F.coalesce(parsed, F.current_timestamp() if default is None else default)
 
 
 def day_of_week(date: Column) -> Column:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchgrid.sources.parse import parse_once
+
 # Statistics per team in the vendor's documents.
 NBA_STATS = [
     "fastBreakPoints", "pointsInPaint", "biggestLead", "pointsOffTurnovers", "points", "fgm", "fga", "fgp", "ftm", "fta",
@@ -50,7 +52,8 @@ FOOTBALL_TEAM_STATS = f"ARRAY<STRUCT<team: STRUCT<id: BIGINT>, statistics: STRUC
 
 def parse_boxscores(raw: DataFrame, game_schema: str, extra: str, extra_schema: str) -> DataFrame:
     """``game`` and ``extra`` JSON columns parsed into a struct and an array."""
-    return raw.withColumns({"game": F.from_json("game", game_schema), extra: F.from_json(extra, extra_schema)})
+    games = parse_once(raw, "game", game_schema, "game")
+    return games.select("game", F.from_json(extra, extra_schema).alias(extra))
 
 
 def _of_team(entries: str, team_id: Column) -> Column:

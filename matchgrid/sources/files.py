@@ -58,14 +58,13 @@ def decode_json(messages: DataFrame, schema: str | StructType, value: str = "val
     Text that is no JSON object lands in quarantine with ``value`` unchanged instead of becoming an all-NULL row.
     """
     ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    parsed = messages.withColumn(
-        "_data",
-        F.from_json(
-            F.col(value).cast("string"),
-            f"{ddl}, _corrupt_record STRING",
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
-        ),
+    data = F.from_json(
+        F.col(value).cast("string"),
+        f"{ddl}, _corrupt_record STRING",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
+    # a generator of one element, so that the filters below test the parsed text instead of parsing again
+    parsed = messages.select("*", F.explode_outer(F.array(data)).alias("_data"))
     bad = F.col("_data").isNull() | F.col("_data._corrupt_record").isNotNull()
     good = parsed.filter(~bad).select(*keep, "_data.*").drop("_corrupt_record")
     return good, parsed.filter(bad).drop("_data")

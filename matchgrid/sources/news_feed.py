@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.functions.dates import news_date
 from matchgrid.functions.ids import news_id
+from matchgrid.sources.parse import explode_parsed, parse_once
 
 # The entity kinds news is tagged with.
 ENTITY_KINDS = ["teams", "players", "locations", "organizations"]
@@ -26,8 +27,7 @@ ARTICLE = (
 
 def parse_articles(raw: DataFrame, value: str = "value") -> DataFrame:
     """One row per article document, its fields as columns beside the existing ones."""
-    doc = F.from_json(F.col(value).cast("string"), ARTICLE)
-    return raw.withColumn("_doc", doc).drop(value).select("*", "_doc.*").drop("_doc")
+    return parse_once(raw, value, ARTICLE, "_doc").select("*", "_doc.*").drop("_doc")
 
 
 def text_list(value: Column) -> Column:
@@ -148,13 +148,12 @@ _FEED = (
 
 def article_rows(raw: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row per article of search responses."""
-    parsed = raw.select(*keep, F.from_json(F.col(value).cast("string"), _ARTICLE_LIST).alias("_d"))
+    rows = explode_parsed(parse_once(raw.select(*keep, value), value, _ARTICLE_LIST, "_d"), "_d.articles", "_a")
     total = F.coalesce("_d.totalResults", "_d.totalArticles").alias("total_articles")
-    rows = parsed.select(*keep, total, F.explode("_d.articles").alias("_a"))
     fields = ["author", "title", "description", "content", "url", "image"]
     return rows.select(
         *keep,
-        "total_articles",
+        total,
         F.col("_a.source.name").alias("source"),
         F.col("_a.source.url").alias("source_url"),
         *[F.col(f"_a.{f}").alias(f) for f in fields],
@@ -164,15 +163,13 @@ def article_rows(raw: DataFrame, value: str = "value", keep: Sequence[str] = ())
 
 def feed_rows(raw: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """One row per entry of syndication feeds, tag terms as a list."""
-    parsed = raw.select(*keep, F.from_json(F.col(value).cast("string"), _FEED).alias("_d"))
-    rows = parsed.select(
-        *keep,
-        F.col("_d.feed.title").alias("feed_title"),
-        F.col("_d.feed.language").alias("language"),
-        F.explode("_d.entries").alias("_e"),
-    )
+    rows = explode_parsed(parse_once(raw.select(*keep, value), value, _FEED, "_d"), "_d.entries", "_e")
     fields = ["title", "link", "description", "published", "author"]
     terms = F.transform(F.coalesce("_e.tags", F.array().cast("array<struct<term:string>>")), lambda t: t["term"])
     return rows.select(
-        *keep, "feed_title", "language", *[F.col(f"_e.{f}").alias(f) for f in fields], terms.alias("tags")
+        *keep,
+        F.col("_d.feed.title").alias("feed_title"),
+        F.col("_d.feed.language").alias("language"),
+        *[F.col(f"_e.{f}").alias(f) for f in fields],
+        terms.alias("tags"),
     )

@@ -9,21 +9,20 @@ from matchgrid.functions.dates import game_start, utc_partition
 from matchgrid.functions.ids import odds_id
 from matchgrid.functions.odds import implied_probability, odds_value
 from matchgrid.schemas import ODDS_FILE, odds_game
+from matchgrid.sources.parse import explode_parsed, parse_once
 
 _GAME = ["sport_key", "sport_title", "commence_time", "home_team", "away_team"]
 
 
 def parse_odds_games(raw: DataFrame, value: str = "value", price: str = "DOUBLE") -> DataFrame:
     """One row per game from odds-game JSON, other columns kept."""
-    doc = F.from_json(F.col(value).cast("string"), odds_game(price))
-    return raw.withColumn("_doc", doc).drop(value).select("*", "_doc.*").drop("_doc")
+    return parse_once(raw, value, odds_game(price), "_doc").select("*", "_doc.*").drop("_doc")
 
 
 def parse_odds_files(raw: DataFrame, value: str = "value") -> DataFrame:
     """One row per game from whole odds documents (``{timestamp, data: [...]}``)."""
-    parsed = raw.select(F.from_json(F.col(value).cast("string"), ODDS_FILE).alias("_doc"))
-    games = parsed.select(F.col("_doc.timestamp").alias("snapshot_time"), F.explode("_doc.data").alias("_game"))
-    return games.select("snapshot_time", "_game.*")
+    games = explode_parsed(parse_once(raw.select(value), value, ODDS_FILE, "_doc"), "_doc.data", "_game")
+    return games.select(F.col("_doc.timestamp").alias("snapshot_time"), "_game.*")
 
 
 def odds_listing(games: DataFrame) -> DataFrame:
@@ -121,9 +120,11 @@ def odds_history_rows(games: DataFrame, ingested: Column | None = None) -> DataF
         named = F.filter("_m.outcomes", lambda o: o["name"] == F.col(f"{s}_team"))
         return F.get(named, F.lit(0))["price"].cast("double").alias(f"{s}_price")
 
-    books = games.select(F.col("id").alias("game_id"), *_GAME, F.explode("bookmakers").alias("_b"))
+    books = games.select(
+        F.col("id").alias("game_id"), *_GAME, game_start(F.col("commence_time")).alias("_start"), F.explode("bookmakers").alias("_b")
+    )
     markets = books.select("*", F.explode("_b.markets").alias("_m")).filter(F.col("_m.key") == "h2h")
-    start = game_start(F.col("commence_time"))
+    start = F.col("_start")
     return markets.select(
         "game_id",
         "sport_key",

@@ -34,7 +34,7 @@ def nest_games(flat: DataFrame, sport: str, ingested: Column | None = None) -> D
 
     ``ingested`` defaults to the message's epoch ``timestamp``.
     """
-    start = game_start(F.col("start_time"))
+    start = F.col("_start")
     football = sport in ("NFL", "CFB")
 
     def team(s: str) -> Column:
@@ -57,7 +57,8 @@ def nest_games(flat: DataFrame, sport: str, ingested: Column | None = None) -> D
     if "venue_indoor" in flat.columns:
         venue.append(F.col("venue_indoor").alias("indoor"))
     stamp = F.timestamp_seconds(F.col("timestamp").cast("bigint")) if ingested is None else ingested
-    return flat.filter(F.col("status_state") == "post").select(
+    posted = flat.filter(F.col("status_state") == "post").withColumn("_start", game_start(F.col("start_time")))
+    return posted.select(
         "game_id",
         start.alias("start_time"),
         *utc_partition(start),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.functions.scores import int_scores
 from matchgrid.schemas import SCOREBOARD, SCOREBOARD_EVENT
+from matchgrid.sources.parse import explode_parsed, parse_once
 
 
 def first_where(items: Column, field: str, value: str) -> Column:
@@ -67,13 +68,12 @@ def _leader_cols(prefix: str, found: Column) -> list[Column]:
 
 def parse_events(raw: DataFrame, value: str = "value") -> DataFrame:
     """One row per game from scoreboard event JSON, other columns kept, as ``event`` struct."""
-    return raw.withColumn("event", F.from_json(F.col(value).cast("string"), SCOREBOARD_EVENT)).drop(value)
+    return parse_once(raw, value, SCOREBOARD_EVENT, "event")
 
 
 def explode_scoreboard(raw: DataFrame, value: str = "value") -> DataFrame:
     """One ``event`` row per game of whole scoreboard documents."""
-    parsed = raw.withColumn("_doc", F.from_json(F.col(value).cast("string"), SCOREBOARD)).drop(value)
-    return parsed.withColumn("event", F.explode("_doc.events")).drop("_doc")
+    return explode_parsed(parse_once(raw, value, SCOREBOARD, "_doc"), "_doc.events", "event").drop("_doc")
 
 
 def _parts(events: DataFrame) -> tuple[DataFrame, Column, Column, Column]:

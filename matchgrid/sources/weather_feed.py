@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.functions.weather import weather_condition, wind_direction
 from matchgrid.schemas import HOURLY_FORECAST, OPENMETEO, OPENWEATHER
+from matchgrid.sources.parse import parse_once
 
 _VENUE = ["venue_id", "game_id", "game_name", "state_code"]
 
@@ -17,7 +18,7 @@ def normalise_weather(raw: DataFrame, value: str = "value") -> DataFrame:
     ``raw`` holds the document beside ``venue_id, game_id, game_name, state_code``.  The id is built from the
     observation time, so re-reading a document gives the same id.
     """
-    d = raw.withColumn("_d", F.from_json(F.col(value).cast("string"), OPENWEATHER))
+    d = parse_once(raw, value, OPENWEATHER, "_d")
     first = F.get(F.col("_d.weather"), F.lit(0))
     return d.select(
         F.concat(F.lit("weather_"), "venue_id", F.lit("_"), F.col("_d.dt").cast("string")).alias("weather_id"),
@@ -44,7 +45,7 @@ def with_wind_sector(weather: DataFrame) -> DataFrame:
 
 def forecast_rows(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per forecast hour; the parallel arrays are cut to the shortest of them."""
-    d = raw.withColumn("_d", F.from_json(F.col(value).cast("string"), HOURLY_FORECAST))
+    d = parse_once(raw, value, HOURLY_FORECAST, "_d")
     names = {"time": "time", "temperature": "temperature_2m", "precipitation": "precipitation", "wind_speed": "windspeed_10m"}
     arrays = [F.col(f"_d.hourly.{feed}") for feed in names.values()]
     # size of a missing array is NULL or -1: it contributes no hours
@@ -65,7 +66,7 @@ def forecast_rows(raw: DataFrame, value: str = "value", keep: tuple[str, ...] =
 
 def observations(raw: DataFrame, value: str = "value") -> DataFrame:
     """Observations of the second weather vendor, with defaults, wind sector and condition."""
-    d = raw.withColumn("_d", F.from_json(F.col(value).cast("string"), OPENMETEO))
+    d = parse_once(raw, value, OPENMETEO, "_d")
     c = {name: F.col(f"_d.{name}") for name in ("cloud_cover", "rain", "snowfall")}
     zero = F.lit(0.0)
     return d.select(
