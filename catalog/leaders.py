@@ -10,6 +10,8 @@ from catalog.tables import (
     leaders_sql,
     lineitem_leaders_sql,
     present,
+    scratch,
+    table,
 )
 from matchgrid.operators import leaders as ops
 from matchgrid.operators.windows import Frame, Running, latest_by, latest_values, percent_rank_by, running
@@ -26,7 +28,7 @@ def _rows(spark, sf, sport):
 
 
 def _football_trends(spark, sf):
-    return present(ops.football_leader_trends(leaders(spark, sf, "FOOTBALL"), LEADER_ORDER))
+    return present(ops.football_leader_trends(leaders(spark, sf, "FOOTBALL"), LEADER_ORDER, rank_store=scratch(spark, "ranks")))
 
 
 def _blocked_running(spark, sf):
@@ -56,8 +58,6 @@ def _latest_values(spark, sf):
 
 def _price_rank(spark, sf):
     """Percent rank over very many distinct values."""
-    from catalog.tables import table
-
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     return present(percent_rank_by(orders, ["o_orderpriority"], "o_totalprice", "price_rank"))
 
@@ -70,8 +70,8 @@ QUERIES = {
     "nba_leader_stats": lambda s, sf: present(_rows(s, sf, "NBA")),
     "nhl_leader_stats": lambda s, sf: present(_rows(s, sf, "NHL")),
     "football_leader_stats": lambda s, sf: present(_rows(s, sf, "NFL")),
-    "nba_leader_trends": lambda s, sf: present(ops.nba_leader_trends(leaders(s, sf, "NBA"), LEADER_ORDER)),
-    "nhl_leader_trends": lambda s, sf: present(ops.nhl_leader_trends(leaders(s, sf, "NHL"), LEADER_ORDER)),
+    "nba_leader_trends": lambda s, sf: present(ops.nba_leader_trends(leaders(s, sf, "NBA"), LEADER_ORDER, rank_store=scratch(s, "ranks"))),
+    "nhl_leader_trends": lambda s, sf: present(ops.nhl_leader_trends(leaders(s, sf, "NHL"), LEADER_ORDER, rank_store=scratch(s, "ranks"))),
     "football_leader_trends": _football_trends,
     "running_over_hot_keys": _blocked_running,
     "latest_by_key": _latest_leader,

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.tables import present, table
+from catalog.tables import present, scratch, table
 from matchgrid.functions import odds_window_minutes
 from matchgrid.operators import games as game_ops
 from matchgrid.operators import serving
 from matchgrid.schemas import LIVE_ODDS
-from matchgrid.sources.files import as_messages, decode_json, shared_folder
+from matchgrid.sources.files import as_messages, decode_json
 from matchgrid.streaming import live, runner
 
 WIDTH = "3 days"
@@ -114,10 +112,6 @@ def _stream(spark: SparkSession, sf: str, name: str = "events") -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _streamed(spark: SparkSession, windows: DataFrame, keys: list[str]) -> DataFrame:
     """Run a windowed stream to the end of its input and read the last state of every window."""
     folder = scratch(spark, "stream")

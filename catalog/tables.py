@@ -5,9 +5,13 @@ Every projection reads all rows of its table.  ``*_SQL`` states the same project
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchgrid.sources.files import shared_folder
+
 SPORT_CODE = {"NBA": 0, "NFL": 1, "NHL": 2, "CFB": 3}
 
 
@@ -17,6 +21,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def landed(df: DataFrame) -> DataFrame:
     """Rows as they would be read from a topic or a table of their own.
 

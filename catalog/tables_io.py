@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.live import _stream, scratch
+from catalog.live import _stream
 
 from catalog.odds import ORACLE as ODDS_ORACLE
-from catalog.tables import LEADER_ORDER, games_sql, games, leaders, lineitem_leaders_sql, odds, odds_sql, present, table
+from catalog.tables import LEADER_ORDER, games_sql, games, leaders, lineitem_leaders_sql, odds, odds_sql, present, scratch, table
 from matchgrid.operators import filters
 from matchgrid.operators import odds as odds_ops
 from matchgrid.operators.windows import Frame, Running, running

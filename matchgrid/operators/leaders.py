@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchgrid.operators.windows import Frame, Running, attach, percent_ranks, running
+from matchgrid.operators.windows import Frame, Running, attach_ranks, percent_ranks, running
 from matchgrid.params import FOOTBALL_MILESTONES, NBA_EXCEPTIONAL, unite
 
 NBA_LEADERS = ("points", "rebounds", "assists", "rating")
@@ -72,12 +72,17 @@ def _block(order: Sequence[str], block: Column | None) -> Column:
 
 
 def nba_leader_trends(
-    leaders: DataFrame, order: Sequence[str] = GAME_ORDER, block: Column | None = None, hot_rows: int = 2_000_000
+    leaders: DataFrame,
+    order: Sequence[str] = GAME_ORDER,
+    block: Column | None = None,
+    hot_rows: int = 2_000_000,
+    rank_store: str | None = None,
 ) -> DataFrame:
     """Form of basketball leaders with season high and exceptional games.
 
     ``order`` must be a total order of a player's games, oldest first; ``block`` cuts the history of players
-    with more than ``hot_rows`` rows (by default at months of the first ``order`` column).
+    with more than ``hot_rows`` rows (by default at months of the first ``order`` column).  ``rank_store`` is a
+    folder for the table of ranks (see ``windows.attach_ranks``).
     """
     flagged = leaders.withColumn("exceptional_performance", _thresholds(NBA_EXCEPTIONAL))
     metrics = _form(
@@ -87,11 +92,15 @@ def nba_leader_trends(
     )
     trends = running(flagged, [Frame(PLAYER, order, metrics, _block(order, block))], PLAYER, hot_rows)
     ranks = percent_ranks(leaders, ["leader_type"], "stat_value", "performance_percentile")
-    return attach(trends, ranks, ["leader_type", "stat_value"])
+    return attach_ranks(trends, ranks, ["leader_type", "stat_value"], rank_store)
 
 
 def nhl_leader_trends(
-    leaders: DataFrame, order: Sequence[str] = GAME_ORDER, block: Column | None = None, hot_rows: int = 2_000_000
+    leaders: DataFrame,
+    order: Sequence[str] = GAME_ORDER,
+    block: Column | None = None,
+    hot_rows: int = 2_000_000,
+    rank_store: str | None = None,
 ) -> DataFrame:
     """Form of hockey leaders with milestone labels; hat tricks are counted per player over all leader types."""
     kind, value = F.col("leader_type"), F.col("stat_value")
@@ -111,7 +120,7 @@ def nhl_leader_trends(
     ]
     trends = running(labelled, frames, ["player_name"], hot_rows).drop("_hat")
     ranks = percent_ranks(leaders, ["leader_type"], "stat_value", "performance_percentile")
-    return attach(trends, ranks, ["leader_type", "stat_value"])
+    return attach_ranks(trends, ranks, ["leader_type", "stat_value"], rank_store)
 
 
 def football_leader_trends(
@@ -121,6 +130,7 @@ def football_leader_trends(
     block: Column | None = None,
     peer_block: Column | None = None,
     hot_rows: int = 2_000_000,
+    rank_store: str | None = None,
 ) -> DataFrame:
     """Form of football leaders with yearly highs and cumulative yearly milestones.
 
@@ -140,7 +150,7 @@ def football_leader_trends(
     trends = running(flagged, frames, player, hot_rows)
     ranked = ["leader_type", "sport_type", "partition_year"]
     ranks = percent_ranks(df, ranked, "stat_value", "performance_percentile")
-    return attach(trends, ranks, [*ranked, "stat_value"])
+    return attach_ranks(trends, ranks, [*ranked, "stat_value"], rank_store)
 
 
 def dim_players(leaders: DataFrame) -> DataFrame:

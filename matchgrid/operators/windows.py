@@ -244,6 +244,21 @@ def percent_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, blo
     return ranked.select(*keys, value, rank.cast("double").alias(name))
 
 
-def percent_rank_by(df: DataFrame, keys: Sequence[str], value: str, name: str, block: Column | None = None) -> DataFrame:
-    """Every row with the percent rank of its value (see :func:`percent_ranks`)."""
-    return attach(df, percent_ranks(df, keys, value, name, block), [*keys, value])
+def attach_ranks(df: DataFrame, ranks: DataFrame, keys: Sequence[str], store: str | None = None) -> DataFrame:
+    """Join ranks per distinct value to the rows.
+
+    With a ``store`` folder the ranks are written there first.  Spark then knows their true size when it plans
+    the join: a short list of values is broadcast and the rows stay where they are; a long one is shuffled.
+    Without it the plan stays lazy and the rows are shuffled by value.
+    """
+    if store is not None:
+        ranks.write.mode("overwrite").parquet(store)
+        ranks = df.sparkSession.read.parquet(store)
+    return attach(df, ranks, keys)
+
+
+def percent_rank_by(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, block: Column | None = None, store: str | None = None
+) -> DataFrame:
+    """Every row with the percent rank of its value (see :func:`percent_ranks` and :func:`attach_ranks`)."""
+    return attach_ranks(df, percent_ranks(df, keys, value, name, block), [*keys, value], store)

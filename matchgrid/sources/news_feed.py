@@ -60,33 +60,74 @@ def relevance(rel: Column, score: Column) -> Column:
     return F.coalesce(rel, score).cast("float")
 
 
-def _text(*values: tuple[str, Column]) -> Column:
+def _text(values: dict[str, Column]) -> Column:
     pairs: list[Column] = []
-    for name, value in values:
+    for name, value in values.items():
         pairs += [F.lit(name), value.cast("string")]
     return F.create_map(*pairs)
 
 
-def _record(
-    df: DataFrame, url: str, source: Column, published: Column, content: Column, author: Column, cats: Column,
-    sentiment: Column, metadata: Column, keep: Sequence[str],
-) -> DataFrame:
-    return df.select(
-        *keep,
-        news_id(F.col(url)).alias("news_id"),
-        source.alias("source"),
-        published.alias("published_date"),
-        "title",
-        content.alias("content"),
-        F.col(url).alias("url"),
-        author.alias("author"),
-        cats.alias("categories"),
-        entity_buckets(F.col("entities")).alias("entities"),
-        sentiment.cast("float").alias("sentiment_score"),
-        relevance(F.col("relevance"), F.col("score")).alias("relevance_score"),
-        F.col("related_games"),
-        metadata.alias("metadata"),
-    )
+def _fields(dialect: str, as_of: Column | None) -> dict[str, Column]:
+    """The common columns of one dialect, over the columns of :func:`parse_articles`."""
+    empty, none = F.lit(""), F.array().cast("array<string>")
+    language = F.coalesce("language", F.lit("en"))
+    shared = {
+        "title": F.col("title"),
+        "entities": entity_buckets(F.col("entities")),
+        "relevance_score": relevance(F.col("relevance"), F.col("score")),
+        "related_games": F.col("related_games"),
+    }
+    if dialect == "rss":
+        meta = {
+            "feed_id": F.col("feed_id"), "guid": F.col("guid"), "language": language,
+            "categories": F.to_json(F.coalesce("categories", none)),
+        }
+        return {
+            "news_id": news_id(F.col("link")),
+            "source": F.coalesce("feed_name", F.lit("RSS")),
+            "published_date": news_date(F.col("published"), as_of),
+            "content": F.coalesce("summary", empty),
+            "url": F.col("link"),
+            "author": F.col("author"),
+            "categories": F.coalesce("tags", none),
+            "sentiment_score": F.lit(None).cast("float"),
+            "metadata": _text(meta),
+            **shared,
+        }
+    if dialect not in ("newsapi", "gnews"):
+        raise ValueError(f"unknown news dialect {dialect!r}")
+    origin = F.from_json("source", "struct<id: string, name: string>")
+    common = {
+        "news_id": news_id(F.col("url")),
+        "published_date": news_date(F.col("publishedAt"), as_of),
+        "url": F.col("url"),
+        "categories": categories(F.col("category"), F.col("tags")),
+        "sentiment_score": F.col("sentiment.score").cast("float"),
+        **shared,
+    }
+    if dialect == "newsapi":
+        meta = {"source_id": origin["id"], "article_id": F.col("id"), "language": language, "category": F.col("category")}
+        return {
+            **common,
+            "source": F.coalesce(origin["name"], F.lit("NewsAPI")),
+            "content": F.coalesce("content", "description", empty),
+            "author": F.col("author"),
+            "metadata": _text(meta),
+        }
+    return {
+        **common,
+        "source": F.coalesce(origin["name"], F.lit("GNews")),
+        "content": F.coalesce("description", empty),
+        "author": origin["name"],
+        "metadata": _text({"source_id": origin["id"], "language": language, "image_url": F.col("image")}),
+    }
+
+
+# Columns of the common schema, in order.
+NEWS_COLUMNS = [
+    "news_id", "source", "published_date", "title", "content", "url", "author", "categories", "entities",
+    "sentiment_score", "relevance_score", "related_games", "metadata",
+]
 
 
 def normalise_news(articles: DataFrame, dialect: str, as_of: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -94,45 +135,27 @@ def normalise_news(articles: DataFrame, dialect: str, as_of: Column | None = Non
 
     A date that cannot be read becomes ``as_of`` (now).
     """
-    sentiment = F.col("sentiment.score")
-    language = F.coalesce("language", F.lit("en"))
-    empty = F.lit("")
-    if dialect in ("newsapi", "gnews"):
-        origin = F.from_json("source", "struct<id: string, name: string>")
-        published = news_date(F.col("publishedAt"), as_of)
-        cats = categories(F.col("category"), F.col("tags"))
-        if dialect == "newsapi":
-            meta = _text(
-                ("source_id", origin["id"]), ("article_id", F.col("id")), ("language", language), ("category", F.col("category"))
-            )
-            return _record(
-                articles, "url", F.coalesce(origin["name"], F.lit("NewsAPI")), published,
-                F.coalesce("content", "description", empty), F.col("author"), cats, sentiment, meta, keep,
-            )
-        meta = _text(("source_id", origin["id"]), ("language", language), ("image_url", F.col("image")))
-        return _record(
-            articles, "url", F.coalesce(origin["name"], F.lit("GNews")), published, F.coalesce("description", empty),
-            origin["name"], cats, sentiment, meta, keep,
-        )
-    if dialect == "rss":
-        meta = _text(
-            ("feed_id", F.col("feed_id")), ("guid", F.col("guid")), ("language", language),
-            ("categories", F.to_json(F.coalesce("categories", F.array().cast("array<string>")))),
-        )
-        tags = F.coalesce("tags", F.array().cast("array<string>"))
-        return _record(
-            articles, "link", F.coalesce("feed_name", F.lit("RSS")), news_date(F.col("published"), as_of),
-            F.coalesce("summary", empty), F.col("author"), tags, F.lit(None), meta, keep,
-        )
-    raise ValueError(f"unknown news dialect {dialect!r}")
-
-
-def route_news(articles: DataFrame, dialect: str = "dialect", as_of: Column | None = None) -> DataFrame:
-    """Articles of all dialects, each normalised by the dialect its row names; unknown dialects are left out."""
-    parts = [
-        normalise_news(articles.filter(F.col(dialect) == name), name, as_of) for name in ("newsapi", "gnews", "rss")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    fields = _fields(dialect, as_of)
+    return articles.select(*keep, *[fields[c].alias(c) for c in NEWS_COLUMNS])
+
+
+def route_news(
+    articles: DataFrame, dialect: str = "dialect", as_of: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Articles of all dialects in one pass, each normalised by the dialect its row names.
+
+    Rows of an unknown dialect are left out.
+    """
+    by_dialect = {name: _fields(name, as_of) for name in ("newsapi", "gnews", "rss")}
+    known = articles.filter(F.col(dialect).isin(*by_dialect))
+    out = []
+    for c in NEWS_COLUMNS:
+        choice: Column | None = None
+        for name, fields in by_dialect.items():
+            test = F.col(dialect) == name
+            choice = F.when(test, fields[c]) if choice is None else choice.when(test, fields[c])
+        out.append(choice.alias(c))
+    return known.select(*keep, *out)
 
 
 _ARTICLE_LIST = (
