@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog.tables import present, scratch, table
 from matchgrid.functions import odds_window_minutes
 from matchgrid.operators import games as game_ops
-from matchgrid.operators import serving
+from matchgrid.operators import history, serving
 from matchgrid.schemas import LIVE_ODDS
 from matchgrid.sources.files import as_messages, decode_json
 from matchgrid.streaming import live, runner
@@ -197,6 +197,13 @@ def _news_totals(spark, sf):
     return _show(live.news_window_totals(live.news_window(news_messages(_events(spark, sf)), WIDTH)).withColumn("timestamp", F.col("window.start")))
 
 
+def _weather_and_scores(spark, sf):
+    """Does the temperature go with the points scored in the same window?"""
+    games = _nba(spark, sf).select("window", "game_id", (F.col("home_team_score").cast("double") + F.col("away_team_score").cast("double")).alias("points"))
+    both = games.join(_weather(spark, sf).select("window", "game_id", "state_code", "avg_temperature"), ["window", "game_id"])
+    return present(history.correlation(both, "avg_temperature", "points", ["state_code"]), 4)
+
+
 def _snapshots(spark, sf):
     return _events(spark, sf).selectExpr(
         "concat('g', user_id % 20) as game_id", "cast(event_id % 4 as int) as period", "cast(ts as timestamp) as ts", "cast(event_id % 120 as int) as home_score",
@@ -244,6 +251,7 @@ QUERIES = {
     "nba_rollup": lambda s, sf: present(serving.serving_rollup(_nba(s, sf), "NBA", F.date_trunc("month", "timestamp"))),
     "nhl_rollup": lambda s, sf: present(serving.serving_rollup(_nhl(s, sf).withColumnRenamed("status_state", "game_state"), "NHL")),
     "cfb_rollup": lambda s, sf: present(serving.serving_rollup(_football(s, sf), "CFB")),
+    "weather_score_correlation": _weather_and_scores,
     "source_health": lambda s, sf: present(
         serving.source_health(
             _events(s, sf).selectExpr("event_type as source", "event_id % 7 <> 0 as success", "event_id % 13 = 0 as rate_limited", "value as latency")
@@ -413,6 +421,10 @@ QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY timestamp DESC) = 1""",
     "nba_rollup": f"WITH {_NBA_SQL} " + _rollup("nba", "NBA", "date_trunc('month', timestamp)"),
     "nhl_rollup": f"WITH {_NHL_SQL} " + _rollup("nhl", "NHL"),
     "cfb_rollup": f"WITH {_FB_SQL} " + _rollup("fb", "CFB"),
+    "weather_score_correlation": f"""WITH {_NBA_SQL}, {_WEATHER_SQL} SELECT state_code, count(*) AS pairs,
+  round(corr(avg_temperature, home_team_score::DOUBLE + away_team_score::DOUBLE), 4) AS correlation
+FROM (SELECT timestamp, game_id, home_team_score, away_team_score FROM nba) JOIN (SELECT timestamp, game_id, state_code, avg_temperature FROM weather)
+  USING (timestamp, game_id) GROUP BY 1""",
     "source_health": """SELECT event_type AS source, count(*) AS total_messages, sum((event_id % 7 <> 0)::INT) AS success, sum((event_id % 7 = 0)::INT) AS failed,
   sum((event_id % 13 = 0)::INT) AS rate_limits, round(min(value), 6) AS min_latency, round(max(value), 6) AS max_latency, round(avg(value), 6) AS avg_latency
 FROM events GROUP BY 1""",

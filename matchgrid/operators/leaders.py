@@ -68,7 +68,7 @@ def _form(**more: Running) -> dict[str, Running]:
 
 
 def _block(order: Sequence[str], block: Column | None) -> Column:
-    return F.date_trunc("month", order[0]) if block is None else block
+    return F.date_trunc("day", order[0]) if block is None else block
 
 
 def nba_leader_trends(
@@ -81,7 +81,7 @@ def nba_leader_trends(
     """Form of basketball leaders with season high and exceptional games.
 
     ``order`` must be a total order of a player's games, oldest first; ``block`` cuts the history of players
-    with more than ``hot_rows`` rows (by default at months of the first ``order`` column).  ``rank_store`` is a
+    with more than ``hot_rows`` rows (by default at days of the first ``order`` column).  ``rank_store`` is a
     folder for the table of ranks (see ``windows.attach_ranks``).
     """
     flagged = leaders.withColumn("exceptional_performance", _thresholds(NBA_EXCEPTIONAL))
