@@ -461,7 +461,7 @@ def nhl_team_trends(perf: DataFrame, by: Sequence[str] = MONTH, sequence: bool =
 
 
 def team_game_sequence(
-    perf: DataFrame, score: str = "points_scored", by: Sequence[str] = MONTH, hot_rows: int = 2_000_000
+    perf: DataFrame, score: str = "points_scored", by: Sequence[str] = MONTH, hot_rows: int = 5_000_000
 ) -> DataFrame:
     """Position of each game in its team's month, as rows (``position`` from 1), of any group size."""
     order = ["partition_day", "game_id", "team_type"]

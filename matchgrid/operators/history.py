@@ -16,7 +16,7 @@ def changes(
     order: Sequence[str],
     tracked: Sequence[str],
     block: Column | None = None,
-    hot_rows: int = 2_000_000,
+    hot_rows: int = 5_000_000,
 ) -> DataFrame:
     """Rows that differ in a tracked column from their key's previous row (the first row always counts).
 
@@ -40,7 +40,7 @@ def scd2(
     tracked: Sequence[str],
     order: Sequence[str] = (),
     block: Column | None = None,
-    hot_rows: int = 2_000_000,
+    hot_rows: int = 5_000_000,
 ) -> DataFrame:
     """Versions of each key: ``valid_from``, ``valid_to`` (NULL while current) and ``is_current``."""
     cut = F.date_trunc("day", ts) if block is None else block

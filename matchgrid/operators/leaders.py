@@ -75,7 +75,7 @@ def nba_leader_trends(
     leaders: DataFrame,
     order: Sequence[str] = GAME_ORDER,
     block: Column | None = None,
-    hot_rows: int = 2_000_000,
+    hot_rows: int = 5_000_000,
     rank_store: str | None = None,
 ) -> DataFrame:
     """Form of basketball leaders with season high and exceptional games.
@@ -99,7 +99,7 @@ def nhl_leader_trends(
     leaders: DataFrame,
     order: Sequence[str] = GAME_ORDER,
     block: Column | None = None,
-    hot_rows: int = 2_000_000,
+    hot_rows: int = 5_000_000,
     rank_store: str | None = None,
 ) -> DataFrame:
     """Form of hockey leaders with milestone labels; hat tricks are counted per player over all leader types."""
@@ -129,7 +129,7 @@ def football_leader_trends(
     peers: str = "game_id",
     block: Column | None = None,
     peer_block: Column | None = None,
-    hot_rows: int = 2_000_000,
+    hot_rows: int = 5_000_000,
     rank_store: str | None = None,
 ) -> DataFrame:
     """Form of football leaders with yearly highs and cumulative yearly milestones.

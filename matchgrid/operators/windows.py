@@ -111,60 +111,73 @@ def _plain(df: DataFrame, frame: Frame) -> DataFrame:
 def _blocked(df: DataFrame, frame: Frame) -> DataFrame:
     """The same metrics with every key cut into ordered blocks that are windowed independently.
 
-    Each block's totals are prefix-summed per key (one row per block) and added to the rows of the block.
+    Each block's totals are prefix-summed per key (one row per block) and added to the rows of the block.  A
+    trailing average also needs the last rows of earlier blocks; only the first rows of a block look at them.
     """
     keys, metrics = list(frame.keys), {n: m for n, m in frame.metrics.items() if not m.whole}
     columns = sorted({m.column for m in metrics.values()})
-    depth = max([m.last or 1 for m in metrics.values()], default=1)
-    slot = {c: i for i, c in enumerate(columns)}
     value = {c: F.lit(1) if c == "*" else F.col(c) for c in columns}
+    slot = {c: i for i, c in enumerate(columns)}
+    trailing = sorted({m.column for m in metrics.values() if m.last})
+    depth = max([m.last or 1 for m in metrics.values()], default=1)
+    # partial results each metric is put together from
+    used = {(kind, m.column) for m in metrics.values() if not m.last for kind in (("sum", "count") if m.kind == "avg" else (m.kind,))}
 
     local = Window.partitionBy(*keys, "_block").orderBy(*frame.order)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
-    parts: dict[str, Column] = {"_last": F.lead(F.lit(1)).over(local).isNull()}
-    for c, i in slot.items():
-        parts[f"_sum{i}"] = F.sum(value[c]).over(upto)
-        parts[f"_cnt{i}"] = F.count(value[c]).over(upto)
-        parts[f"_max{i}"] = F.max(value[c]).over(upto)
-        if any(m.peers and m.column == c for m in metrics.values()):
-            parts[f"_peer{i}"] = F.sum(value[c]).over(local.rangeBetween(Window.unboundedPreceding, 0))
-        if any(m.last and m.column == c for m in metrics.values()):
-            # struct keeps NULL values in their row position
-            parts[f"_tail{i}"] = F.collect_list(F.struct(value[c].alias("v"))).over(local.rowsBetween(-(depth - 1), 0))
+    parts: dict[str, Column] = {
+        "_pos": F.row_number().over(local),
+        "_end": F.lead(F.lit(1), max(depth - 1, 1)).over(local).isNull(),
+    }
+    for kind, c in used:
+        parts[f"_{kind}{slot[c]}"] = getattr(F, kind)(value[c]).over(upto)
+    for name, m in metrics.items():
+        if m.peers:
+            parts[f"_peer_{name}"] = F.sum(value[m.column]).over(local.rangeBetween(Window.unboundedPreceding, 0))
+        if m.last:
+            near = local.rowsBetween(-(m.last - 1), 0)
+            parts[f"_sum_{name}"] = F.sum(value[m.column].cast("double")).over(near)
+            parts[f"_count_{name}"] = F.count(value[m.column]).over(near)
     rows = df.withColumn("_block", frame.block).withColumns(parts)
 
+    # the last rows of each block: running values at its end, and up to depth - 1 values for trailing frames
+    ends = [F.max_by(f"_{kind}{slot[c]}", "_pos").alias(f"_{kind}{slot[c]}") for kind, c in used]
+    tails = [F.array_sort(F.collect_list(F.struct("_pos", value[c].alias("v")))).alias(f"_tail{slot[c]}") for c in trailing]
+    blocks = rows.filter("_end").groupBy(*keys, "_block").agg(F.max("_pos").alias("_rows"), *ends, *tails)
     by_block = Window.partitionBy(*keys).orderBy("_block")
     before = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    near = by_block.rowsBetween(-(depth - 1), -1)
-    carried: dict[str, Column] = {}
-    for i in slot.values():
-        carried[f"_psum{i}"] = F.sum(f"_sum{i}").over(before)
-        carried[f"_pcnt{i}"] = F.sum(f"_cnt{i}").over(before)
-        carried[f"_pmax{i}"] = F.max(f"_max{i}").over(before)
-        if f"_tail{i}" in parts:
-            carried[f"_ptail{i}"] = F.flatten(F.collect_list(f"_tail{i}").over(near))
-    totals = rows.filter("_last").withColumns(carried).select(*keys, "_block", *carried)
+    carried = {
+        f"_earlier_{kind}{slot[c]}": (F.max if kind == "max" else F.sum)(f"_{kind}{slot[c]}").over(before) for kind, c in used
+    }
+    for c in trailing:
+        previous = F.collect_list(f"_tail{slot[c]}").over(by_block.rowsBetween(-(depth - 1), -1))
+        carried[f"_before{slot[c]}"] = F.flatten(previous)
+    totals = blocks.withColumns(carried).select(*keys, "_block", *carried)
     joined = attach(rows, totals, [*keys, "_block"])
 
     added = {}
     for name, m in metrics.items():
         i = slot[m.column]
-        earlier = F.col(f"_psum{i}")
-        count = F.coalesce(F.col(f"_pcnt{i}"), F.lit(0)) + F.col(f"_cnt{i}")
-        here = F.col(f"_peer{i}") if m.peers else F.col(f"_sum{i}")
-        total = F.coalesce(earlier + here, earlier, here)
-        if m.last is not None:
-            tail = F.col(f"_tail{i}")
-            seen = F.concat(F.coalesce(F.col(f"_ptail{i}"), F.slice(tail, 1, 0)), tail)
-            kept = F.slice(seen, F.greatest(F.size(seen) - m.last + 1, F.lit(1)), m.last)
-            known = F.filter(F.transform(kept, lambda s: s["v"].cast("double")), lambda v: v.isNotNull())
-            added[name] = F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, v: a + v), F.size(known))
-        elif m.kind == "avg":
+        if m.last:
+            wanted, older = F.lit(m.last) - F.col("_pos"), F.col(f"_before{i}")
+            reach = F.slice(older, F.greatest(F.size(older) - wanted + 1, F.lit(1)), F.greatest(wanted, F.lit(0)))
+            early = (wanted > 0) & (F.size(older) > 0)
+            extra = F.when(early, F.aggregate(reach, F.lit(0.0), lambda a, x: a + F.coalesce(x["v"].cast("double"), F.lit(0.0))))
+            known = F.when(early, F.size(F.filter(reach, lambda x: x["v"].isNotNull())))
+            zero = F.lit(0)
+            total = F.coalesce(F.col(f"_sum_{name}"), zero) + F.coalesce(extra, zero)
+            added[name] = F.try_divide(total, F.col(f"_count_{name}") + F.coalesce(known, zero))
+            continue
+
+        def combined(kind: str, here: Column, at: int = i) -> Column:
+            earlier = F.col(f"_earlier_{kind}{at}")
+            return F.greatest(earlier, here) if kind == "max" else F.coalesce(earlier + here, earlier, here)
+
+        if m.kind == "avg":
+            total, count = combined("sum", F.col(f"_sum{i}")), combined("count", F.col(f"_count{i}"))
             added[name] = F.try_divide(total.cast("double"), count.cast("double"))
         else:
-            added[name] = {
-                "sum": total, "count": count, "max": F.greatest(F.col(f"_pmax{i}"), F.col(f"_max{i}"))
-            }[m.kind]
+            added[name] = combined(m.kind, F.col(f"_peer_{name}") if m.peers else F.col(f"_{m.kind}{i}"))
     out = joined.withColumns(added).select(*df.columns, *added) if metrics else df
     whole = {n: m for n, m in frame.metrics.items() if m.whole}
     if whole:
@@ -172,20 +185,36 @@ def _blocked(df: DataFrame, frame: Frame) -> DataFrame:
     return out
 
 
-def running(df: DataFrame, frames: Sequence[Frame], hot_on: Sequence[str], hot_rows: int = 2_000_000) -> DataFrame:
+def _split_hot(
+    df: DataFrame, keys: Sequence[str], hot_rows: int, probe: bool
+) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows or None if there are none).
+
+    The list of hot keys is broadcast: it has at most ``rows / hot_rows`` entries.
+    """
+    hot_keys = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
+    if probe and hot_keys.isEmpty():
+        return df, None
+    return attach(df, hot_keys, keys, "left_anti", hint=True), attach(df, hot_keys, keys, "left_semi", hint=True)
+
+
+def running(
+    df: DataFrame, frames: Sequence[Frame], hot_on: Sequence[str], hot_rows: int = 5_000_000, probe: bool = True
+) -> DataFrame:
     """Running metrics over one or more frames whose keys all contain ``hot_on``.
 
     ``hot_on`` groups of up to ``hot_rows`` rows are windowed directly; put the frame with the fewest keys
     first, then all frames share its shuffle.  Larger groups are cut at each frame's ``block`` and stitched
-    together exactly, so no task ever sorts more than one block of a hot group.  The list of hot groups is
-    broadcast: it has at most ``rows / hot_rows`` entries.
+    together exactly, so no task ever sorts more than one block of a hot group.
+
+    With ``probe`` the group sizes are counted once while the plan is built (a map-side combined count), and
+    without hot groups the plan is the plain window.  ``probe=False`` keeps everything lazy: both paths are
+    planned and the sizes are counted when the result is read.
     """
-    hot_keys = df.groupBy(*hot_on).count().filter(F.col("count") > hot_rows).select(*hot_on)
-    cold = attach(df, hot_keys, hot_on, "left_anti", hint=True)
-    hot = attach(df, hot_keys, hot_on, "left_semi", hint=True)
+    cold, hot = _split_hot(df, hot_on, hot_rows, probe)
     for frame in frames:
-        cold, hot = _plain(cold, frame), _blocked(hot, frame)
-    return cold.unionByName(hot)
+        cold, hot = _plain(cold, frame), None if hot is None else _blocked(hot, frame)
+    return cold if hot is None else cold.unionByName(hot)
 
 
 def neighbor(
@@ -196,7 +225,8 @@ def neighbor(
     name: str,
     block: Column,
     following: bool = False,
-    hot_rows: int = 2_000_000,
+    hot_rows: int = 5_000_000,
+    probe: bool = True,
 ) -> DataFrame:
     """Add ``name``: a struct of ``cols`` from the key's previous (or ``following``) row, NULL at the end.
 
@@ -205,16 +235,17 @@ def neighbor(
     """
     step = F.lead if following else F.lag
     here = F.struct(*cols)
-    hot_keys = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
-    cold = attach(df, hot_keys, keys, "left_anti", hint=True)
-    hot = attach(df, hot_keys, keys, "left_semi", hint=True).withColumn("_block", block)
+    cold, hot = _split_hot(df, keys, hot_rows, probe)
+    direct = cold.withColumn(name, step(here).over(Window.partitionBy(*keys).orderBy(*order)))
+    if hot is None:
+        return direct
+    hot = hot.withColumn("_block", block)
     local = Window.partitionBy(*keys, "_block").orderBy(*order)
     inner = hot.withColumns({"_near": step(here).over(local), "_edge": (F.lag if following else F.lead)(here).over(local)})
     edges = inner.filter("_edge is null").select(*keys, "_block", here.alias("_edge_row"))
     beyond = step("_edge_row").over(Window.partitionBy(*keys).orderBy("_block"))
     edges = edges.select(*keys, "_block", beyond.alias("_beyond"))
     stitched = attach(inner, edges, [*keys, "_block"]).withColumn(name, F.coalesce("_near", "_beyond"))
-    direct = cold.withColumn(name, step(here).over(Window.partitionBy(*keys).orderBy(*order)))
     return direct.unionByName(stitched.select(*df.columns, name))
 
 

@@ -51,15 +51,15 @@ METRICS = {
 }
 
 
-@pytest.mark.parametrize("hot_rows", [0, 60, 10**9])
-def test_running_is_the_same_cut_or_whole(history_rows, hot_rows):
+@pytest.mark.parametrize("hot_rows,probe", [(0, True), (60, True), (60, False), (10**9, True), (10**9, False)])
+def test_running_is_the_same_cut_or_whole(history_rows, hot_rows, probe):
     w = Window.partitionBy("k").orderBy("t", "i")
     up, five = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(-4, 0)
     expected = history_rows.select(
         "k", "t", "i", "v", F.sum("v").over(up), F.count(F.lit(1)).over(up), F.count("v").over(up), F.avg("v").over(up), F.max("v").over(up),
         F.avg("v").over(five), F.max("v").over(Window.partitionBy("k")),
     )
-    got = running(history_rows, [Frame(["k"], ["t", "i"], METRICS, F.to_date("t"))], ["k"], hot_rows)
+    got = running(history_rows, [Frame(["k"], ["t", "i"], METRICS, F.to_date("t"))], ["k"], hot_rows, probe)
     assert got.columns == ["k", "t", "i", "v", *METRICS]
     assert_same_rows(got, expected)
 
