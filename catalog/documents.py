@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catalog.tables import games_with_leaders, landed, table
+from catalog.tables import games_with_leaders, landed, spread, table
 
 _ISO = "date_format({}, \"yyyy-MM-dd'T'HH:mm'Z'\")"
 _ISO_SEC = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
@@ -64,7 +64,7 @@ def scoreboard_events(spark: SparkSession, sf: str, sport: str) -> DataFrame:
         "case when k % 13 <> 0 then clock end, 'type', named_struct('state', status_state, 'detail', status_detail, 'description', "
         f"status_description)), 'competitions', array(named_struct({', '.join(competition)})))"
     )
-    games = games_with_leaders(spark, sf, sport)
+    games = games_with_leaders(spark, sf, sport, costly=True)
     return landed(games.selectExpr(f"to_json({event}) as value", "unix_seconds(ingestion_timestamp) as timestamp"))
 
 
@@ -92,7 +92,7 @@ def odds_documents(spark: SparkSession, sf: str, whole_file: bool = False) -> Da
         "named_struct('id', concat('e', event_id), 'sport_key', event_type, 'sport_title', upper(event_type), 'commence_time', "
         f"{_ISO_SEC.format('ts')}, 'home_team', home_team, 'away_team', away_team, 'bookmakers', {books})"
     )
-    rows = table(spark, sf, "events").selectExpr(
+    rows = spread(table(spark, sf, "events")).selectExpr(
         "event_id", "event_type", "cast(ts as timestamp) as ts", "concat('T', user_id % 30) as home_team",
         "concat('U', user_id % 29) as away_team",
     )
@@ -116,7 +116,7 @@ def weather_documents(spark: SparkSession, sf: str) -> DataFrame:
         "'weather', array(named_struct('main', event_type, 'description', 'sky ' || event_type)), "
         "'clouds', case when event_id % 9 <> 0 then named_struct('all', cast(event_id % 101 as double)) end)"
     )
-    rows = table(spark, sf, "events").selectExpr("*", "cast(ts as timestamp) as at").drop("ts").withColumnRenamed("at", "ts")
+    rows = spread(table(spark, sf, "events")).selectExpr("*", "cast(ts as timestamp) as at").drop("ts").withColumnRenamed("at", "ts")
     return rows.selectExpr(
         f"to_json({doc}) as value", "concat('V', user_id % 40) as venue_id", "concat('g', user_id) as game_id",
         "concat('game ', user_id) as game_name", "concat('S', user_id % 10) as state_code", "event_id", "ts",
@@ -134,7 +134,7 @@ def forecast_documents(spark: SparkSession, sf: str) -> DataFrame:
         f"'windspeed_10m', {series('1 + event_id % 4', 'cast(i + event_id % 30 as double)')})"
     )
     doc = f"named_struct('latitude', cast(user_id as double), 'longitude', -cast(user_id as double), 'timezone', 'UTC', 'elevation', 10.0D, 'hourly', {hourly})"
-    return landed(table(spark, sf, "events").selectExpr("event_id", f"to_json({doc}) as value"))
+    return landed(spread(table(spark, sf, "events")).selectExpr("event_id", f"to_json({doc}) as value"))
 
 
 def observation_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,7 +146,7 @@ def observation_documents(spark: SparkSession, sf: str) -> DataFrame:
         "'uv_index', case when event_id % 4 = 0 then 5.0D end, 'cloud_cover', cast(event_id % 97 as double), "
         "'rain', case when event_id % 11 = 0 then 1.5D end, 'snowfall', case when event_id % 23 = 0 then 0.5D end)"
     )
-    return table(spark, sf, "events").selectExpr(
+    return spread(table(spark, sf, "events")).selectExpr(
         "event_id", f"to_json({doc}) as value", "concat('V', user_id % 40) as venue_id", "concat('g', user_id) as game_id"
     )
 
@@ -168,7 +168,7 @@ def news_documents(spark: SparkSession, sf: str) -> DataFrame:
         "'feed_id', 'f' || source, 'guid', 'id' || doc_id)"
     )
     return landed(
-        table(spark, sf, "documents").selectExpr(
+        spread(table(spark, sf, "documents")).selectExpr(
             "doc_id", "element_at(array('newsapi', 'gnews', 'rss'), cast(doc_id % 3 as int) + 1) as dialect", f"to_json({doc}) as value"
         )
     )
@@ -181,7 +181,7 @@ def search_responses(spark: SparkSession, sf: str) -> DataFrame:
     )
     articles = ", ".join(article.replace("{i}", str(i)) for i in (1, 2))
     doc = f"named_struct('status', 'ok', 'totalResults', cast(2 + doc_id % 3 as int), 'articles', filter(array({articles}), (a, i) -> i <= doc_id % 2))"
-    return landed(table(spark, sf, "documents").selectExpr("doc_id", f"to_json({doc}) as value"))
+    return landed(spread(table(spark, sf, "documents")).selectExpr("doc_id", f"to_json({doc}) as value"))
 
 
 def syndication_feeds(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,14 +190,14 @@ def syndication_feeds(spark: SparkSession, sf: str) -> DataFrame:
         "'tags', case when page_id % 2 = 0 then array(named_struct('term', 'a' || page_id % 3), named_struct('term', 'web')) end)"
     )
     doc = f"named_struct('feed', named_struct('title', 'Feed ' || page_id % 10, 'language', 'en'), 'entries', array({entry}))"
-    return landed(table(spark, sf, "pages").selectExpr("page_id", f"to_json({doc}) as value"))
+    return landed(spread(table(spark, sf, "pages")).selectExpr("page_id", f"to_json({doc}) as value"))
 
 
 def boxscores(spark: SparkSession, sf: str, sport: str) -> DataFrame:
     """``game`` and ``stats``/``events`` documents of the second vendor."""
     from matchgrid.sources.boxscore import FOOTBALL_STATS, NBA_STATS
 
-    g = games_with_leaders(spark, sf, sport)
+    g = games_with_leaders(spark, sf, sport, costly=True)
     home, away = "cast(substr(home_id, 2) as bigint)", "cast(substr(away_id, 2) as bigint) + 1000"
     if sport == "NBA":
         def team(side: str, ident: str) -> str:

@@ -57,7 +57,7 @@ QUERIES = {
     "games_fact_by_sport": lambda s, sf: present(
         ops.games_fact({k: ops.game_stats(games(s, sf, k)) for k in SPORTS})
     ),
-    "game_scoring_pattern": lambda s, sf: present(ops.game_scoring_pattern(_stats(s, sf))),
+    "game_scoring_pattern": lambda s, sf: present(ops.game_scoring_pattern(ops.game_stats(games(s, sf, costly=True)))),
     "overtime_analysis": lambda s, sf: present(ops.overtime_analysis(ops.overtime(games(s, sf)))),
     "record_matchup_fact": lambda s, sf: present(ops.record_matchup_fact(ops.record_matchup(games(s, sf)))),
     "nba_team_trends": lambda s, sf: present(ops.nba_team_trends(ops.nba_team_performance(games(s, sf, "NBA")))),

@@ -21,6 +21,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table read as fewer splits than there are cores is spread over them before costly per-row work.
+
+    Tables with enough splits, as any large one has, are left where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -183,9 +192,12 @@ def _select(pairs: list[tuple[str, str]], cast: str = "{}") -> str:
 _HOUR = ("o_orderdate", "(o_orderkey % 24)", "(o_custkey % 60)")
 
 
-def games(spark: SparkSession, sf: str, sport: str | None = None) -> DataFrame:
-    """Games from orders: scores and statistics derived from order key, customer and price."""
-    orders = table(spark, sf, "orders")
+def games(spark: SparkSession, sf: str, sport: str | None = None, costly: bool = False) -> DataFrame:
+    """Games from orders: scores and statistics derived from order key, customer and price.
+
+    ``costly`` announces expensive work per row (building and parsing documents).
+    """
+    orders = spread(table(spark, sf, "orders")) if costly else table(spark, sf, "orders")
     if sport:
         orders = orders.filter(F.col("o_orderkey") % 4 == SPORT_CODE[sport])
     start = "cast(o_orderdate as timestamp) + make_dt_interval(0, cast(o_orderkey % 24 as int), cast(o_custkey % 60 as int))"
@@ -244,7 +256,7 @@ def _leader(sport: str, kind: str, side: int) -> dict[str, str]:
     }
 
 
-def games_with_leaders(spark: SparkSession, sf: str, sport: str) -> DataFrame:
+def games_with_leaders(spark: SparkSession, sf: str, sport: str, costly: bool = False) -> DataFrame:
     """Games of one sport with their leader structs, as staged."""
 
     def struct(kinds: list[str], side: int) -> str:
@@ -255,7 +267,7 @@ def games_with_leaders(spark: SparkSession, sf: str, sport: str) -> DataFrame:
         return f"named_struct({', '.join(parts)})"
 
     kinds = list(LEADER_VALUES[sport])
-    g = games(spark, sf, sport)
+    g = games(spark, sf, sport, costly)
     if sport in ("NFL", "CFB"):
         return g.selectExpr("*", f"{struct(kinds, 0)} as leaders")
     return g.selectExpr("*", f"{struct(kinds, 0)} as home_leaders", f"{struct(kinds, 1)} as away_leaders")
