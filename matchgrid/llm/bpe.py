@@ -14,11 +14,14 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from matchgrid.llm.common import ship, table
 
@@ -39,8 +42,11 @@ def _byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+#: In texts of Latin script these classes are the same and are found faster.
+LATIN = re.compile("[\u0250-\U0010ffff]")
+LATIN_L, LATIN_N = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe"
 #: Scripts beyond Latin, Greek, Cyrillic and the common symbols: there character tables of different ages are not mixed.
-OUTER = re.compile("[\u0530-\u1dff\u2c00-\U0010ffff]")
+OUTER = re.compile("[\u0530-\u1dff\u208f\u209d-\u209f\u2c00-\U0010ffff]")
 #: White space as Unicode defines it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -128,13 +134,14 @@ class Codec:
         split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         # white space written out: engines differ in the separators U+001C to U+001F
         self.word = regex.compile(split.replace(r"\s", SPACE))
+        self.latin = re.compile(split.replace(r"\s", SPACE).replace(r"\p{L}", LATIN_L).replace(r"\p{N}", LATIN_N))
         self.split = split
         self.rare = None
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
-        self.known: dict[str, tuple[str, str]] = {}
-        self.before: dict[str, tuple[str, str]] = {}
-        for content, number in self.specials.items():
-            self.known[content] = (str(number), content)
+        # what words met so far give; the generation before last is dropped when the newer one is full
+        self.ids: dict[str, str] = {c: str(i) for c, i in self.specials.items()}
+        self.tokens: dict[str, str] = {c: c for c in self.specials}
+        self.older: tuple[dict[str, str], dict[str, str]] = {}, {}
 
     def normal(self, text: str) -> str:
         # a capital sigma becomes the plain small one, wherever it stands in its word
@@ -150,6 +157,8 @@ class Codec:
         return self._split(self.normal(text))
 
     def _split(self, normal: str) -> list[str]:
+        if normal.isascii() or not LATIN.search(normal):
+            return self.latin.findall(normal)
         if not OUTER.search(normal):
             return self.word.findall(normal)
         if self.rare is None:
@@ -171,30 +180,31 @@ class Codec:
         return " ".join(self.token[i] for i in ids)
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) > CACHED:
-            self.before, self.known = self.known, {c: (str(i), c) for c, i in self.specials.items()}
-        new = []
+        if len(self.ids) > CACHED:
+            self.older = self.ids, self.tokens
+            self.ids, self.tokens = {c: str(i) for c, i in self.specials.items()}, {c: c for c in self.specials}
+        new, (ids, tokens) = [], self.older
         for w in words:
-            if (old := self.before.get(w)) is None:
+            if (old := ids.get(w)) is None:
                 new.append(w)
             else:
-                self.known[w] = old
-        for w, ids in zip(new, self.encode_words(new)):
-            self.known[w] = (" ".join(map(str, ids)), self.decode(ids))
-
-    def look_up(self, groups: list[list[str]]) -> list[list[tuple[str, str]]]:
-        """(ids, tokens) of each word, each as text joined by spaces."""
-        missing = {w for words in groups for w in words if w not in self.known}
-        if missing:
+                self.ids[w], self.tokens[w] = old, tokens[w]
+        for w, own in zip(new, self.encode_words(new)):
+            self.ids[w], self.tokens[w] = " ".join(map(str, own)), self.decode(own)
+
+    def look_up(self, groups: list[list[str]]) -> Iterator[tuple[str, str]]:
+        """(ids, tokens) of each list of words, as text joined by spaces."""
+        distinct = set(chain.from_iterable(groups))
+        # learning may start a new generation, which has to learn again what the groups need
+        while missing := distinct.difference(self.ids):
             self._learn(missing)
-            if lost := {w for words in groups for w in words if w not in self.known}:
-                self._learn(lost)
-        known = self.known
-        return [[known[w] for w in words] for words in groups]
+        ids, tokens = self.ids.__getitem__, self.tokens.__getitem__
+        for words in groups:
+            yield " ".join(map(ids, words)), " ".join(map(tokens, words))
 
     def encode(self, text: str) -> list[int]:
-        found = self.look_up([self.words(text)])[0]
-        return [int(i) for ids, _ in found for i in ids.split(" ")]
+        ids = next(self.look_up([self.words(text)]))[0]
+        return [int(i) for i in ids.split(" ")] if ids else []
 
 
 @cache
@@ -225,10 +235,9 @@ def _digests(texts: list[str | None], own: Codec) -> list[tuple[int, str, str]]:
             group.append((pieces[at][0], own.words(pieces[at][1])))
             size += len(pieces[at][1])
             at += 1
-        for (row, _), found in zip(group, own.look_up([w for _, w in group])):
-            if not found:
+        for (row, _), (ids, tokens) in zip(group, own.look_up([w for _, w in group])):
+            if not ids:
                 continue
-            ids, tokens = " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
             s = state[row]
             if s[1] is None:
                 s[1], s[2] = hashlib.sha256(ids.encode()), hashlib.sha256(tokens.encode())
@@ -254,20 +263,47 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids, decoded) of every whole text."""
+def _ids(texts: list[str | None], own: Codec) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, one after the other; where each text starts and the end)."""
+    flat, sizes = [], np.zeros(len(texts), np.int64)
+    for row, text in enumerate(texts):
+        for part in parts(text or ""):
+            ids, _ = next(own.look_up([own.words(part)]))
+            flat.append(np.fromstring(ids, np.int32, sep=" ") if ids else np.zeros(0, np.int32))
+            sizes[row] += len(flat[-1])
+    return np.concatenate(flat) if flat else np.zeros(0, np.int32), np.append(0, np.cumsum(sizes))
+
+
+def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` with ``n_tokens`` and ``ids`` of every whole text; null and empty texts have no ids."""
     ship(docs.sparkSession)
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    base = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(vocabulary)
+        for batch in batches:
+            # a few rows at a time: ids take more room than text
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                flat, starts = _ids(part.column(len(keep)).to_pylist(), own)
+                ids = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(np.diff(starts)), ids], names=[*keep, "n_tokens", "ids"])
+
+    return base.mapInArrow(run, StructType([*base.schema.fields[:-1], *StructType.fromDDL("n_tokens long, ids array<int>").fields]))
+
+
+def decoded(tokens: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
+    """``tokens`` with ``decoded``: the text of each list of ids."""
+    ship(tokens.sparkSession)
+    place = tokens.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                ids = [own.encode(t) if t else [] for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([own.decode(i) for i in ids], pa.string())], names=["id", "ids", "decoded"])
+            out = pa.array([own.decode(i or ()) for i in batch.column(place).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
 
-    return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, ids array<int>, decoded string")
+    return tokens.mapInArrow(run, StructType([*tokens.schema.fields, *StructType.fromDDL("decoded string").fields]))
 
 
 def _vocabulary(name: str) -> str:

@@ -11,7 +11,6 @@ most ``block_words`` words; further blocks are further passes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.llm import text
 from matchgrid.llm.common import ship, table
+from matchgrid.llm.sampling import kept
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -278,6 +278,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return out
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` in which no window of a test item occurs; one filter per block of items."""
+    for tests in blocks(benchmark, item_col, item_text, window, block_words):
+        held = docs.sparkSession.sparkContext.broadcast(tests)
+
+        def clean(column, held=held) -> pa.Array:
+            n, begin, _, _, place, _ = _search(column, held.value)
+            ok = np.ones(len(n), bool)
+            ok[np.searchsorted(begin, place, "right") - 1] = False
+            return pa.array(ok)
+
+        docs = kept(docs, clean, text_col)
+    return docs
+
+
 def op7_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select(

@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchgrid.llm import text
 from matchgrid.llm.common import table
-from matchgrid.llm.sampling import collected, fold, sampled, scored
+from matchgrid.llm.sampling import collected, fold, kept, sampled, scored
 
 BITS = 17
 FAMILIES = 4
@@ -130,6 +131,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return scored(docs, lambda column: held.value.score(column), id_col, text_col)
 
 
+def accepted(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``; rows without text are judged like empty texts."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    return kept(docs, lambda column: pc.greater_equal(held.value.score(column), least), text_col)
+
+
 def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = fit(docs, table(spark, sf, "labels"), learn=lambda c: fold(c, 5) != 0)

@@ -55,3 +55,15 @@ def scored(docs: DataFrame, score: Callable[[pa.Array], pa.Array], id_col: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), score(batch.column(1))], names=["id", "score"])
 
     return base.mapInArrow(run, f"id {base.schema['id'].dataType.simpleString()}, score double")
+
+
+def kept(docs: DataFrame, passes: Callable[[pa.Array], pa.Array], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose whole text passes."""
+    ship(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(passes(batch.column(place)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -300,6 +300,25 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return fps.join(of_code, "fp").select("id", "fp", "component")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest id (null first), then of a hash of the text.
+
+    Only keys of rows that go, or that occur several times, are joined to the documents; rows that agree in id and text count
+    as copies, whatever their other columns hold.
+    """
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.hex(F.xxhash64(text_col)))
+    keyed = docs.withColumn("_key", key)
+    found = near_copies(keyed.select(F.struct(F.col(id_col).alias("own"), F.col("_key").alias("key")).alias("id"), text_col), "id", text_col, **options)
+    rows = found.groupBy(F.col("id.key").alias("_key")).agg(F.max(F.col("id") != F.col("component")).alias("_gone"), F.count("*").alias("_n"))
+    marked = written(rows.filter("_gone or _n > 1"), "copies")
+    left = keyed.join(marked.filter("_gone"), "_key", "left_anti")
+    repeated = marked.filter("not _gone and _n > 1").select("_key")
+    if not repeated.count():
+        return left.drop("_key")
+    once = left.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
+    return left.join(repeated, "_key", "left_anti").unionByName(once).drop("_key")
+
+
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = near_copies(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))

@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,10 @@ from matchgrid.llm.common import new_folder, ship, table
 BLOCK = 1 << 16
 CACHED = 400_000
 GROUP = 1 << 22
-_ODD_SPACE = re.compile(r"\s\s|\x00")
+#: What keeps a text from being cut by plain replacement: other white space, or a stop behind no letter or digit.
+_ODD = re.compile(r"[^\S \n]|\x00")
+_ODD_STOP = re.compile(r"[.,](?<=[\W_].)\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_STOP = re.compile(r"(?<=[^\W_])([.,])(?=\s)")
 
 
 # ---- planes
@@ -51,11 +53,13 @@ def to_planes(ids: np.ndarray, kind: str = "byte") -> tuple[list[int], bytes]:
 
 
 def from_planes(planes: bytes, sizes: list[int], n: int, kind: str) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint32)
     at, raw, unpacker = 0, [], zstandard.ZstdDecompressor()
     for size in sizes:
         raw.append(np.frombuffer(unpacker.decompress(planes[at : at + size]), np.uint8))
         at += size
-    grid = np.stack(raw) if n else np.zeros((4, 0), np.uint8)
+    grid = np.stack(raw)
     if kind == "bit":
         grid = np.packbits(np.unpackbits(grid, axis=1, count=n).T, axis=1, bitorder="little").T
     return np.ascontiguousarray(grid.T).view("<u4").ravel()
@@ -113,9 +117,10 @@ class Encoder:
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        if _ODD_SPACE.search(text):
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _ODD.search(text) or _ODD_STOP.search(text):
             return _CUT.split(text)
-        return _STOP.sub("\0\\1", text).replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+        text = text.replace("\n", "\0\n\0").replace(" ", "\0 ")
+        return text.replace(".\0", "\0.\0").replace(",\0", "\0,\0").split("\0")
 
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) > CACHED:
@@ -138,15 +143,13 @@ class Encoder:
                 group.append(self.pieces(texts[at]) if texts[at] else [])
                 size += len(texts[at] or "")
                 at += 1
-            missing = {p for pieces in group for p in pieces if p not in self.known}
-            if missing:
+            distinct = set(chain.from_iterable(group))
+            # learning may start a new generation, which has to learn again what the group needs
+            while missing := distinct.difference(self.known):
                 self._learn(missing)
-                # a change of generation may have dropped pieces that were known
-                if lost := {p for pieces in group for p in pieces if p not in self.known}:
-                    self._learn(lost)
-            known = self.known
+            find = self.known.__getitem__
             for pieces in group:
-                yield b"".join([known[p] for p in pieces])
+                yield b"".join(map(find, pieces))
 
 
 @cache

@@ -107,7 +107,11 @@ def test_bpe_edge_cases(spark, monkeypatch):
     rows = [(None, "null id"), (1, None), (2, ""), (3, " \n"), (4, "Long Text's end. " * 4000), (4, "same"), (4, "same"), (5, "a" * 3000)]
     df = spark.createDataFrame(rows, "doc_id int, text string").selectExpr("*", "1 as id", "2 as ids")
     assert sorted((tuple(r) for r in bpe.digests(df, WORDS).collect()), key=str) == expected_bpe(rows)
-    assert {len(r.ids) for r in bpe.encoded(df, WORDS).filter("id = 4").collect()} == {1, 20000}
+    tokens = bpe.encoded(df, WORDS, ("doc_id", "id"))
+    for r in bpe.decoded(tokens, WORDS).collect():
+        want = by_words.encode(dict(rows[:-2] + rows[-1:]).get(r.doc_id) or "", add_special_tokens=False).ids if r.doc_id != 4 else None
+        assert r.doc_id == 4 or (r.ids == want and r.decoded == by_words.decode(want, skip_special_tokens=False))
+    assert sorted(r.n_tokens for r in tokens.filter("doc_id = 4").collect()) == [1, 1, 20000]
     monkeypatch.setattr(bpe, "LONG", 50)
     assert ["".join(bpe.parts(t or "", 50)) for _, t in rows] == [t or "" for _, t in rows]
     own = bpe.Codec(WORDS)
