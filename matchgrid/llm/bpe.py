@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from matchgrid.llm.common import ship, table
+from matchgrid.llm.common import free, ship, table
 
 CACHED = 250_000
 GROUP = 1 << 21
@@ -45,18 +45,36 @@ def _byte_symbols() -> list[str]:
 #: In texts of Latin script these classes are the same and are found faster.
 LATIN = re.compile("[\u0250-\U0010ffff]")
 LATIN_L, LATIN_N = r"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe"
-#: Scripts beyond Latin, Greek, Cyrillic and the common symbols: there character tables of different ages are not mixed.
+#: Scripts beyond Latin, Greek, Cyrillic and the common symbols: there character tables of different ages may differ.
 OUTER = re.compile("[\u0530-\u1dff\u208f\u209d-\u209f\u2c00-\U0010ffff]")
 #: White space as Unicode defines it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @cache
-def _ranges(category: str) -> str:
-    """All characters of a general category as the ranges of a character class."""
-    inside = [unicodedata.category(chr(c))[0] == category for c in range(0x110000)] + [False]
-    edges = [c for c in range(len(inside)) if inside[c] != (c > 0 and inside[c - 1])]
-    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
+def _members(property_: str) -> list[int]:
+    """All code points with a property, as the tokenizers library sees it."""
+    from tokenizers import Regex, normalizers
+
+    every = "".join(chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000)
+    return [ord(c) for c in normalizers.Replace(Regex(rf"[^\p{{{property_}}}]+"), "").normalize_str(every)]
+
+
+def _ranges(points: list[int]) -> str:
+    """Ascending code points as the ranges of a character class."""
+    first = [c for k, c in enumerate(points) if not k or points[k - 1] != c - 1]
+    last = [c for k, c in enumerate(points) if k + 1 == len(points) or points[k + 1] != c + 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last))
+
+
+@cache
+def _unsure() -> re.Pattern | None:
+    """Code points that the regex module and the tokenizers library class differently."""
+    every = "".join(chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000)
+    differ = set()
+    for p in "LN":
+        differ |= {ord(c) for c in regex.sub(rf"[^\p{{{p}}}]+", "", every)} ^ set(_members(p))
+    return re.compile(f"[{_ranges(sorted(differ))}]") if differ else None
 
 
 class PairIndex:
@@ -159,13 +177,10 @@ class Codec:
     def _split(self, normal: str) -> list[str]:
         if normal.isascii() or not LATIN.search(normal):
             return self.latin.findall(normal)
-        if not OUTER.search(normal):
+        if not OUTER.search(normal) or not (_unsure() and _unsure().search(normal)):
             return self.word.findall(normal)
         if self.rare is None:
-            pattern = self.split
-            for name, members in ((r"\s", SPACE), (r"\p{L}", _ranges("L")), (r"\p{N}", _ranges("N"))):
-                pattern = pattern.replace(name, members)
-            self.rare = re.compile(pattern)
+            self.rare = re.compile(self.split.replace(r"\s", SPACE).replace(r"\p{L}", _ranges(_members("L"))).replace(r"\p{N}", _ranges(_members("N"))))
         return self.rare.findall(normal)
 
     def symbols(self, word: str) -> list[int]:
@@ -277,7 +292,7 @@ def _ids(texts: list[str | None], own: Codec) -> tuple[np.ndarray, np.ndarray]:
 def encoded(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """The columns ``keep`` with ``n_tokens`` and ``ids`` of every whole text; null and empty texts have no ids."""
     ship(docs.sparkSession)
-    base = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    base = docs.select(*keep, F.col(text_col).cast("string").alias(free("text", list(keep))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary)

@@ -44,3 +44,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     folder = new_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def free(name: str, columns: list[str]) -> str:
+    """A column name like ``name`` that none of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

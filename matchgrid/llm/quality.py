@@ -25,23 +25,27 @@ FAMILIES = 4
 GRAMS = (3, 5)
 
 
-def _families(data: np.ndarray, bits: int):
-    """For each family (bucket, byte at which the n-gram starts) of a slice of texts."""
+def _families(data: np.ndarray, starts: np.ndarray, bits: int):
+    """For each family the buckets of its n-grams in a slice of texts, and the first and last of each text; none crosses texts."""
     begin, end = text.words(data, text.SOLID)
-    hashes = text.Hashes(data)
-    word = hashes.of(begin, end)
+    word = text.Hashes(data).of(begin, end)
     shift = np.uint64(64 - bits)
-    yield (text.mix(word + np.uint64(1)) >> shift).astype(np.int64), begin
+    low = np.searchsorted(begin, starts)
+    high = np.append(low[1:], len(begin))
+    yield (text.mix(word + np.uint64(1)) >> shift).astype(np.int64), low, high
+    first = np.minimum(low, max(0, len(begin) - 1))
     # the difference of both hashes: a word that is repeated gives the same bucket, whichever word it is
-    yield (text.mix(word[1:] - word[:-1] + np.uint64(2)) >> shift).astype(np.int64), begin[:-1]
+    yield (text.mix(word[1:] - word[:-1] + np.uint64(2)) >> shift).astype(np.int64), first, np.maximum(first, high - 1)
     wide = data.astype(np.uint64)
+    stops = np.append(starts[1:], len(data))
     for k, n in enumerate(GRAMS):
-        size = max(0, len(data) - n)
+        size = max(0, len(data) - n + 1)
         key = np.zeros(size, np.uint64)
         for j in range(n):
             key |= wide[j : j + size] << np.uint64(8 * j)
         key = (key * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)) * np.uint64(0xD6E8FEB86659FD93)
-        yield (key >> shift).astype(np.int64), np.arange(size)
+        first = np.minimum(starts, size)
+        yield (key >> shift).astype(np.int64), first, np.maximum(first, stops - n + 1)
 
 
 def _sums(column, weight: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,11 +54,10 @@ def _sums(column, weight: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray
     n = len(at) - 1
     total, count = np.zeros((n, FAMILIES)), np.zeros((n, FAMILIES))
     for data, rows, starts in text.slices(raw, at, text.SOLID):
-        for f, (bucket, place) in enumerate(_families(data, bits)):
+        for f, (bucket, low, high) in enumerate(_families(data, starts, bits)):
             running = np.append(0.0, np.cumsum(weight[bucket], dtype=np.float64))
-            cut = np.append(np.searchsorted(place, starts), len(place))
-            np.add.at(total[:, f], rows, np.diff(running[cut]))
-            np.add.at(count[:, f], rows, np.diff(cut))
+            np.add.at(total[:, f], rows, running[high] - running[low])
+            np.add.at(count[:, f], rows, high - low)
     return total, count
 
 
@@ -66,9 +69,9 @@ def features(bits: int):
         for k in range(batch.num_rows):
             raw, at = text.utf8(batch.column(1).slice(k, 1))
             parts = [[] for _ in range(FAMILIES)]
-            for data, _, _ in text.slices(raw, at, text.SOLID):
-                for f, (bucket, _) in enumerate(_families(data, bits)):
-                    parts[f].append(bucket)
+            for data, _, starts in text.slices(raw, at, text.SOLID):
+                for f, (bucket, low, high) in enumerate(_families(data, starts, bits)):
+                    parts[f].append(bucket[low[0] : high[0]])
             bucket = [np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts]
             share = np.concatenate([np.full(len(b), 1 / FAMILIES / max(1, len(b))) for b in bucket])
             own, back = np.unique(np.concatenate(bucket), return_inverse=True)

@@ -52,20 +52,23 @@ def numbered(rows: DataFrame, shard: str, key: str, ties: Sequence[str]) -> Data
     """``rows`` with ``slot``: a gapless number from 0 within each shard, in the order of run, key and ``ties``.
 
     Equal rows are counted before anything is shuffled by key and unfolded at the end, so a row that is repeated very often
-    does not burden one task.  Each run is numbered by itself and starts where the runs before it end.
+    does not burden one task.  A column ``slot`` that is there already is replaced.  Each run is numbered by itself and starts where the runs before it end.
     """
-    names = rows.columns
-    counted = written(rows.withColumn("_run", _run(F.col(key))).groupBy(*names, "_run").agg(F.count("*").alias("_n")), "shards")
-    inside = Window.partitionBy(shard, "_run").orderBy(F.col(key).asc_nulls_first(), *ties)
-    before = Window.partitionBy(shard).orderBy("_run")
+    # columns travel under names of their own, so whatever they are called, nothing clashes
+    names = [c for c in rows.columns if c.lower() != "slot"]
+    short = {c: f"c{k}" for k, c in enumerate(names)}
+    packed = rows.select(*(F.col(f"`{c}`").alias(n) for c, n in short.items()), F.col(f"`{shard}`").alias("shard"), F.col(f"`{key}`").alias("key"))
+    counted = written(packed.withColumn("run", _run(F.col("key"))).groupBy(*short.values(), "shard", "key", "run").agg(F.count("*").alias("n")), "shards")
+    inside = Window.partitionBy("shard", "run").orderBy(F.col("key").asc_nulls_first(), *(short[t] for t in ties), *short.values())
+    before = Window.partitionBy("shard").orderBy("run")
     upto = (Window.unboundedPreceding, -1)
-    starts = counted.groupBy(shard, "_run").agg(F.sum("_n").alias("_all")).withColumn("_first", F.coalesce(F.sum("_all").over(before.rowsBetween(*upto)), F.lit(0))).drop("_all")
-    placed = counted.withColumn("_at", F.coalesce(F.sum("_n").over(inside.rowsBetween(*upto)), F.lit(0))).join(starts, [shard, "_run"])
+    starts = counted.groupBy("shard", "run").agg(F.sum("n").alias("all")).withColumn("first", F.coalesce(F.sum("all").over(before.rowsBetween(*upto)), F.lit(0))).drop("all")
+    placed = counted.withColumn("at", F.coalesce(F.sum("n").over(inside.rowsBetween(*upto)), F.lit(0))).join(starts, ["shard", "run"])
     # 4096 rows at a time: no array grows with the number of repeats beyond that share of it
-    parts = placed.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / 4096))))
-    low = F.col("_part") * 4096
-    each = parts.withColumn("_k", F.explode(F.sequence(low, F.least(low + 4095, F.col("_n") - 1))))
-    return each.select(*names, (F.col("_first") + F.col("_at") + F.col("_k")).alias("slot"))
+    parts = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / 4096))))
+    low = F.col("part") * 4096
+    each = parts.withColumn("k", F.explode(F.sequence(low, F.least(low + 4095, F.col("n") - 1))))
+    return each.select(*(F.col(n).alias(c) for c, n in short.items()), (F.col("first") + F.col("at") + F.col("k")).alias("slot"))
 
 
 def op6_rendezvous_shards(spark: SparkSession, sf: str) -> DataFrame:

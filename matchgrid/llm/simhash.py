@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from matchgrid.llm.common import ship, table, written
+from matchgrid.llm.common import free, ship, table, written
 
 FAN_OUT = 16
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -306,17 +306,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Only keys of rows that go, or that occur several times, are joined to the documents; rows that agree in id and text count
     as copies, whatever their other columns hold.
     """
-    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.hex(F.xxhash64(text_col)))
-    keyed = docs.withColumn("_key", key)
-    found = near_copies(keyed.select(F.struct(F.col(id_col).alias("own"), F.col("_key").alias("key")).alias("id"), text_col), "id", text_col, **options)
-    rows = found.groupBy(F.col("id.key").alias("_key")).agg(F.max(F.col("id") != F.col("component")).alias("_gone"), F.count("*").alias("_n"))
-    marked = written(rows.filter("_gone or _n > 1"), "copies")
-    left = keyed.join(marked.filter("_gone"), "_key", "left_anti")
-    repeated = marked.filter("not _gone and _n > 1").select("_key")
+    name, gone, n = (free(c, docs.columns) for c in ("key", "gone", "n"))
+    keyed = docs.withColumn(name, F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.hex(F.xxhash64(text_col))))
+    found = near_copies(keyed.select(F.struct(F.col(id_col).alias("own"), F.col(name).alias("key")).alias("id"), F.col(text_col).alias("text")), "id", "text", **options)
+    rows = found.groupBy(F.col("id.key").alias(name)).agg(F.max(F.col("id") != F.col("component")).alias(gone), F.count("*").alias(n))
+    marked = written(rows.filter(F.col(gone) | (F.col(n) > 1)), "copies")
+    left = keyed.join(marked.filter(gone), name, "left_anti")
+    repeated = marked.filter(~F.col(gone)).select(name)
     if not repeated.count():
-        return left.drop("_key")
-    once = left.join(repeated, "_key", "left_semi").dropDuplicates(["_key"])
-    return left.join(repeated, "_key", "left_anti").unionByName(once).drop("_key")
+        return left.select(*docs.columns)
+    once = left.join(repeated, name, "left_semi").dropDuplicates([name])
+    return left.join(repeated, name, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
