@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from matchgrid.llm.common import ship, table, written
 
-PAGE = 96
-FAN_OUT = 24
+PAGE = 512
+FAN_OUT = 16
 SLACK = 1e-6
 
 
@@ -111,15 +111,19 @@ class Tree:
                 continue
             products = points[open_, :-1] @ query
             if children is None:
-                for score, i in zip(products.tolist(), extra[open_].tolist()):
-                    if i == own or score < worst or (score == worst and i > worst_id):
-                        continue
+                ids = extra[open_]
+                good = np.flatnonzero((products >= worst) & (ids != own))
+                if len(good) > k:  # the page's best and their ties
+                    good = good[products[good] >= np.partition(products[good], len(good) - k)[len(good) - k]]
+                    good = good[np.lexsort((ids[good], -products[good]))[:k]]
+                for score, i in zip(products[good].tolist(), ids[good].tolist()):
+                    entry = (int(score), -i)
                     if len(best) < k:
-                        heapq.heappush(best, (int(score), -i))
-                    else:
-                        heapq.heappushpop(best, (int(score), -i))
-                    if len(best) == k:
-                        worst, worst_id = best[0][0], -best[0][1]
+                        heapq.heappush(best, entry)
+                    elif entry > best[0]:
+                        heapq.heapreplace(best, entry)
+                if len(best) == k:
+                    worst, worst_id = best[0][0], -best[0][1]
                 continue
             distance = np.sqrt(np.maximum(0, 2 * (reach - products)))
             limits = bound(distance - extra[open_])
@@ -161,7 +165,7 @@ def _lift(points: np.ndarray, longest: float) -> np.ndarray:
 
 
 def top_k(
-    vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = 24, cap: int = 32_768, block: int = 4096
+    vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = 8, cap: int = 32_768, block: int = 4096
 ) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` rows of the highest integer inner product with each query row, without its own id.
 
