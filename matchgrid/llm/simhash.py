@@ -311,7 +311,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = near_copies(keyed.select(F.struct(F.col(id_col).alias("own"), F.col(name).alias("key")).alias("id"), F.col(text_col).alias("text")), "id", "text", **options)
     rows = found.groupBy(F.col("id.key").alias(name)).agg(F.max(F.col("id") != F.col("component")).alias(gone), F.count("*").alias(n))
     marked = written(rows.filter(F.col(gone) | (F.col(n) > 1)), "copies")
-    left = keyed.join(marked.filter(gone), name, "left_anti")
+    # one plan at every size: documents are dealt by key once, whether the list of copies is short or long
+    left = keyed.join(marked.filter(gone).hint("merge"), name, "left_anti")
     repeated = marked.filter(~F.col(gone)).select(name)
     if not repeated.count():
         return left.select(*docs.columns)
