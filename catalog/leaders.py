@@ -42,7 +42,7 @@ def _blocked_running(spark, sf):
         "games": Running("count"),
     }
     frame = Frame(["player_name"], LEADER_ORDER, metrics, F.date_trunc("month", "start_time"))
-    out = running(rows, [frame], ["player_name"], hot_rows=0)
+    out = running(rows, [frame])
     return present(out.drop("sport_type", "team_id", "leader_type", "partition_year"))
 
 

@@ -249,7 +249,7 @@ QUERIES = {
     "latest_football_leaders": lambda s, sf: present(serving.latest_football_leaders(_football(s, sf), as_of(), minutes=_SINCE)),
     "latest_weather": lambda s, sf: present(serving.latest_weather(_weather(s, sf), as_of(), minutes=_SINCE)),
     "nba_rollup": lambda s, sf: present(serving.serving_rollup(_nba(s, sf), "NBA", F.date_trunc("month", "timestamp"))),
-    "nhl_rollup": lambda s, sf: present(serving.serving_rollup(_nhl(s, sf).withColumnRenamed("status_state", "game_state"), "NHL")),
+    "nhl_rollup": lambda s, sf: present(serving.serving_rollup(_nhl(s, sf), "NHL")),
     "cfb_rollup": lambda s, sf: present(serving.serving_rollup(_football(s, sf), "CFB")),
     "weather_score_correlation": _weather_and_scores,
     "source_health": lambda s, sf: present(

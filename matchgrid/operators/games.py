@@ -461,13 +461,13 @@ def nhl_team_trends(perf: DataFrame, by: Sequence[str] = MONTH, sequence: bool =
 
 
 def team_game_sequence(
-    perf: DataFrame, score: str = "points_scored", by: Sequence[str] = MONTH, hot_rows: int = 5_000_000
+    perf: DataFrame, score: str = "points_scored", by: Sequence[str] = MONTH
 ) -> DataFrame:
     """Position of each game in its team's month, as rows (``position`` from 1), of any group size."""
     order = ["partition_day", "game_id", "team_type"]
     rows = perf.select(*by, *order, F.col(score).alias("score"))
     frame = Frame(by, order, {"position": Running("count")}, F.col("partition_day"))
-    return running(rows, [frame], by, hot_rows)
+    return running(rows, [frame])
 
 
 def stage_games(raw: DataFrame, ints: Sequence[str], floats: Sequence[str], leaders: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchgrid.operators.windows import neighbor
+from matchgrid.operators.windows import day_of, neighbor
 
 
 def changes(
@@ -16,17 +16,16 @@ def changes(
     order: Sequence[str],
     tracked: Sequence[str],
     block: Column | None = None,
-    hot_rows: int = 5_000_000,
 ) -> DataFrame:
     """Rows that differ in a tracked column from their key's previous row (the first row always counts).
 
-    ``change_type`` is INSERT or UPDATE.  Very large keys are cut at ``block`` (by default the day of the first
-    ``order`` column).
+    ``change_type`` is INSERT or UPDATE.  Keys are cut at ``block`` (by default the day of the first ``order`` column, which
+    must then be a date or timestamp).
     """
-    cut = F.date_trunc("day", order[0]) if block is None else block
+    cut = day_of(df, order[0]) if block is None else block
     previous = F.col("_previous")
     return (
-        neighbor(df, keys, order, tracked, "_previous", cut, hot_rows=hot_rows)
+        neighbor(df, keys, order, tracked, "_previous", cut)
         .filter(previous.isNull() | ~previous.eqNullSafe(F.struct(*tracked)))
         .withColumn("change_type", F.when(previous.isNull(), "INSERT").otherwise("UPDATE"))
         .drop("_previous")
@@ -40,12 +39,11 @@ def scd2(
     tracked: Sequence[str],
     order: Sequence[str] = (),
     block: Column | None = None,
-    hot_rows: int = 5_000_000,
 ) -> DataFrame:
     """Versions of each key: ``valid_from``, ``valid_to`` (NULL while current) and ``is_current``."""
-    cut = F.date_trunc("day", ts) if block is None else block
-    versions = changes(df, keys, [ts, *order], tracked, cut, hot_rows)
-    ahead = neighbor(versions, keys, [ts, *order], [ts], "_next", cut, following=True, hot_rows=hot_rows)
+    cut = day_of(df, ts) if block is None else block
+    versions = changes(df, keys, [ts, *order], tracked, cut)
+    ahead = neighbor(versions, keys, [ts, *order], [ts], "_next", cut, following=True)
     until = F.col(f"_next.{ts}")
     return ahead.select(
         *keys, *tracked, F.col(ts).alias("valid_from"), until.alias("valid_to"), until.isNull().alias("is_current")

@@ -86,7 +86,7 @@ ROLLUPS: dict[str, tuple[list[str], list[str]]] = {
         + ["home_team_scoring_run", "away_team_scoring_run"],
     ),
     "NHL": (
-        [*_COMMON, "game_state", "current_period", "time_remaining", *_TEAMS, "home_team_abbreviation"]
+        [*_COMMON, "status_state", "current_period", "time_remaining", *_TEAMS, "home_team_abbreviation"]
         + ["away_team_abbreviation", "home_team_record", "away_team_record"],
         ["home_team_score", "away_team_score"]
         + [f"{s}_{m}" for s in ("home", "away") for m in ("saves", "save_pct", "goals", "assists", "points")]

@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str], how: str = "left", hint: bool = False) -> DataFrame:
+def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``extra`` (one row per key) to ``df``, NULL keys matching NULL keys."""
     renamed = extra.withColumnsRenamed({k: f"_match_{k}" for k in keys})
     on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_match_{k}")) for k in keys])
-    joined = df.join(F.broadcast(renamed) if hint else renamed, on, how)
+    joined = df.join(renamed, on, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_match_{k}" for k in keys])
 
 
@@ -87,8 +87,8 @@ class Running:
 class Frame:
     """Metrics over the rows of ``keys`` in a total ``order``.
 
-    ``block`` is a deterministic expression that never decreases along ``order`` (a day, a range of ids); hot
-    keys are cut there.
+    ``block`` is a deterministic expression that never decreases along ``order`` (a day, a range of ids); every
+    key is cut there, whatever its size.
     """
 
     keys: Sequence[str]
@@ -97,17 +97,6 @@ class Frame:
     block: Column
 
 
-def _plain(df: DataFrame, frame: Frame) -> DataFrame:
-    whole = Window.partitionBy(*frame.keys)
-    ordered = whole.orderBy(*frame.order)
-    added = {}
-    for name, m in frame.metrics.items():
-        start = Window.unboundedPreceding if m.last is None else -(m.last - 1)
-        over = whole if m.whole else ordered.rangeBetween(start, 0) if m.peers else ordered.rowsBetween(start, 0)
-        added[name] = getattr(F, m.kind)(F.lit(1) if m.column == "*" else F.col(m.column)).over(over)
-    return df.withColumns(added)
-
-
 def _blocked(df: DataFrame, frame: Frame) -> DataFrame:
     """The same metrics with every key cut into ordered blocks that are windowed independently.
 
@@ -177,7 +166,9 @@ def _blocked(df: DataFrame, frame: Frame) -> DataFrame:
             total, count = combined("sum", F.col(f"_sum{i}")), combined("count", F.col(f"_count{i}"))
             added[name] = F.try_divide(total.cast("double"), count.cast("double"))
         else:
-            added[name] = combined(m.kind, F.col(f"_peer_{name}") if m.peers else F.col(f"_{m.kind}{i}"))
+            here = f"_peer_{name}" if m.peers else f"_{m.kind}{i}"
+            # the type of the plain aggregate, however many partial results are added up
+            added[name] = combined(m.kind, F.col(here)).cast(rows.schema[here].dataType)
     out = joined.withColumns(added).select(*df.columns, *added) if metrics else df
     whole = {n: m for n, m in frame.metrics.items() if m.whole}
     if whole:
@@ -185,36 +176,16 @@ def _blocked(df: DataFrame, frame: Frame) -> DataFrame:
     return out
 
 
-def _split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int, probe: bool
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of keys with more than ``hot_rows`` rows or None if there are none).
+def running(df: DataFrame, frames: Sequence[Frame]) -> DataFrame:
+    """Running metrics over one or more frames.
 
-    The list of hot keys is broadcast: it has at most ``rows / hot_rows`` entries.
+    Every key is cut at the frame's ``block`` and stitched together exactly, so no task sorts more than one block of a key.
+    There is one plan for all sizes, and result types do not depend on the data: averages are double, sums, counts and
+    maxima have the type of the aggregate.
     """
-    hot_keys = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
-    if probe and hot_keys.isEmpty():
-        return df, None
-    return attach(df, hot_keys, keys, "left_anti", hint=True), attach(df, hot_keys, keys, "left_semi", hint=True)
-
-
-def running(
-    df: DataFrame, frames: Sequence[Frame], hot_on: Sequence[str], hot_rows: int = 5_000_000, probe: bool = True
-) -> DataFrame:
-    """Running metrics over one or more frames whose keys all contain ``hot_on``.
-
-    ``hot_on`` groups of up to ``hot_rows`` rows are windowed directly; put the frame with the fewest keys
-    first, then all frames share its shuffle.  Larger groups are cut at each frame's ``block`` and stitched
-    together exactly, so no task ever sorts more than one block of a hot group.
-
-    With ``probe`` the group sizes are counted once while the plan is built (a map-side combined count), and
-    without hot groups the plan is the plain window.  ``probe=False`` keeps everything lazy: both paths are
-    planned and the sizes are counted when the result is read.
-    """
-    cold, hot = _split_hot(df, hot_on, hot_rows, probe)
     for frame in frames:
-        cold, hot = _plain(cold, frame), None if hot is None else _blocked(hot, frame)
-    return cold if hot is None else cold.unionByName(hot)
+        df = _blocked(df, frame)
+    return df
 
 
 def neighbor(
@@ -225,28 +196,30 @@ def neighbor(
     name: str,
     block: Column,
     following: bool = False,
-    hot_rows: int = 5_000_000,
-    probe: bool = True,
 ) -> DataFrame:
     """Add ``name``: a struct of ``cols`` from the key's previous (or ``following``) row, NULL at the end.
 
-    Keys above ``hot_rows`` rows are cut at ``block`` as in :func:`running`; the row at a block's edge takes the
-    nearest row of the neighbouring block.
+    Keys are cut at ``block`` as in :func:`running`; the row at a block's edge takes the nearest row of the neighbouring
+    block.
     """
     step = F.lead if following else F.lag
     here = F.struct(*cols)
-    cold, hot = _split_hot(df, keys, hot_rows, probe)
-    direct = cold.withColumn(name, step(here).over(Window.partitionBy(*keys).orderBy(*order)))
-    if hot is None:
-        return direct
-    hot = hot.withColumn("_block", block)
+    cut = df.withColumn("_block", block)
     local = Window.partitionBy(*keys, "_block").orderBy(*order)
-    inner = hot.withColumns({"_near": step(here).over(local), "_edge": (F.lag if following else F.lead)(here).over(local)})
+    inner = cut.withColumns({"_near": step(here).over(local), "_edge": (F.lag if following else F.lead)(here).over(local)})
     edges = inner.filter("_edge is null").select(*keys, "_block", here.alias("_edge_row"))
     beyond = step("_edge_row").over(Window.partitionBy(*keys).orderBy("_block"))
     edges = edges.select(*keys, "_block", beyond.alias("_beyond"))
     stitched = attach(inner, edges, [*keys, "_block"]).withColumn(name, F.coalesce("_near", "_beyond"))
-    return direct.unionByName(stitched.select(*df.columns, name))
+    return stitched.select(*df.columns, name)
+
+
+def day_of(df: DataFrame, column: str) -> Column:
+    """Days of a date or timestamp column as blocks; any other type needs a block of its own, whatever the data."""
+    kind = df.schema[column].dataType.typeName()
+    if kind not in ("date", "timestamp", "timestamp_ntz"):
+        raise ValueError(f"{column} is {kind}: name a block that never decreases along the order")
+    return F.date_trunc("day", column)
 
 
 def percent_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, block: Column | None = None) -> DataFrame:

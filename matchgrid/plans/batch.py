@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from matchgrid.operators import dims, games, leaders, odds, quality
 from matchgrid.params import unite, with_sport
 from matchgrid.plans.incremental import incremental_merge
-from matchgrid.sources.files import DAY, remove_folder, shared_folder
+from matchgrid.sources.files import DAY, has_files, remove_folder, shared_folder
 
 
 def gate_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -35,21 +35,28 @@ def gated_merge(
     """Merge the valid rows into the curated table; raise when there are rows but none is valid.
 
     The judged rows are written once to the shared folder, so documents are parsed a single time and the counts
-    and the merge read columns.  Returns the rows per status; rejected rows are appended to ``quarantine``.
+    and the merge read columns.  Returns the rows per status; rejected rows that ``quarantine`` does not hold yet are added
+    to it, so a run that is repeated leaves it as it is.  The staging folder goes, however the run ends.
     """
     staging = f"{shared_folder(spark)}/gate-{uuid.uuid4().hex}"
-    rows.withColumn("validation_status", quality.first_failure(rules)).write.parquet(staging)
-    judged = spark.read.parquet(staging)
-    # one row per rule
-    counts = {r["validation_status"]: r["count"] for r in judged.groupBy("validation_status").count().collect()}
-    ok = F.col("validation_status") == "Valid"
-    if quarantine and set(counts) - {"Valid"}:
-        judged.filter(~ok).write.mode("append").parquet(quarantine)
-    if counts and not counts.get("Valid"):
-        raise ValueError(f"no valid rows: {counts}")
-    if counts:
-        incremental_merge(spark, path, judged.filter(ok).drop("validation_status"), keys, order, by)
-    remove_folder(spark, staging)
+    try:
+        rows.withColumn("validation_status", quality.first_failure(rules)).write.parquet(staging)
+        judged = spark.read.parquet(staging)
+        # one row per rule
+        counts = {r["validation_status"]: r["count"] for r in judged.groupBy("validation_status").count().collect()}
+        ok = F.col("validation_status") == "Valid"
+        if quarantine and set(counts) - {"Valid"}:
+            rejected = judged.filter(~ok)
+            if has_files(spark, quarantine):
+                known = spark.read.schema(rejected.schema).parquet(quarantine).select(F.to_json(F.struct("*")).alias("_row")).distinct()
+                rejected = rejected.withColumn("_row", F.to_json(F.struct("*"))).join(known, "_row", "left_anti").drop("_row")
+            rejected.write.mode("append").parquet(quarantine)
+        if counts and not counts.get("Valid"):
+            raise ValueError(f"no valid rows: {counts}")
+        if counts:
+            incremental_merge(spark, path, judged.filter(ok).drop("validation_status"), keys, order, by)
+    finally:
+        remove_folder(spark, staging)
     return counts
 
 

@@ -144,10 +144,9 @@ def route_news(
 ) -> DataFrame:
     """Articles of all dialects in one pass, each normalised by the dialect its row names.
 
-    Rows of an unknown dialect are left out.
+    Rows of an unknown dialect stay, with NULL in every column but ``keep``, so nothing is lost unseen.
     """
     by_dialect = {name: _fields(name, as_of) for name in ("newsapi", "gnews", "rss")}
-    known = articles.filter(F.col(dialect).isin(*by_dialect))
     out = []
     for c in NEWS_COLUMNS:
         choice: Column | None = None
@@ -155,7 +154,7 @@ def route_news(
             test = F.col(dialect) == name
             choice = F.when(test, fields[c]) if choice is None else choice.when(test, fields[c])
         out.append(choice.alias(c))
-    return known.select(*keep, *out)
+    return articles.select(*keep, *out)
 
 
 _ARTICLE_LIST = (

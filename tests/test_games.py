@@ -134,7 +134,7 @@ def test_trends(spark):
     assert quality.sequence_content(games.nba_team_trends(perf, sequence=True)).count() == 0
     h0 = got["Home 0"]  # 10 and 12 points
     assert (h0.avg_points_per_game, h0.points_25th_percentile, h0.points_interquartile_range) == (11.0, 10.5, 1.0)
-    order = {(r.game_id, r.position) for r in games.team_game_sequence(perf, hot_rows=1).filter("team_name = 'Away'").collect()}
+    order = {(r.game_id, r.position) for r in games.team_game_sequence(perf).filter("team_name = 'Away'").collect()}
     assert order == {("m3", 1), ("m2", 2), ("m1", 3), ("m0", 4)}
 
 
@@ -196,29 +196,26 @@ def test_leader_trends(spark):
     rows = [(f"m{i}", START + dt.timedelta(days=i), "P", "POINTS", v, "NBA", 2024) for i, v in enumerate([10, 35, None, 40, 20, 30, 31])]
     rows += [("m0", START, None, "POINTS", None, "NBA", 2024)]
     df = spark.createDataFrame(rows, LEADERS)
-    for hot_rows in (0, 10**9):
-        got = {r.game_id: r for r in leaders.nba_leader_trends(df.filter("player_name is not null"), hot_rows=hot_rows).collect()}
-        assert [got[f"m{i}"].total_exceptional_games for i in range(7)] == [0, 1, 1, 2, 2, 3, 4]
-        assert got["m6"].last_5_games_avg == pytest.approx((40 + 20 + 30 + 31) / 4)
-        assert (got["m2"].avg_stat_value, got["m2"].season_high, got["m2"].games_as_leader) == (22.5, 35, 3)
-        assert all(r.last_5_games_avg <= r.season_high for r in got.values())
+    got = {r.game_id: r for r in leaders.nba_leader_trends(df.filter("player_name is not null")).collect()}
+    assert [got[f"m{i}"].total_exceptional_games for i in range(7)] == [0, 1, 1, 2, 2, 3, 4]
+    assert got["m6"].last_5_games_avg == pytest.approx((40 + 20 + 30 + 31) / 4)
+    assert (got["m2"].avg_stat_value, got["m2"].season_high, got["m2"].games_as_leader) == (22.5, 35, 3)
+    assert all(r.last_5_games_avg <= r.season_high for r in got.values())
     assert quality.nba_leader_limits(leaders.nba_leader_trends(df)).filter("failure_reason = 'Null stat value'").count() == 2
 
 
 def test_hockey_milestones(spark):
     rows = [("m0", START, "P", "GOALS", 3), ("m0", START, "P", "POINTS", 4), ("m1", START + dt.timedelta(days=1), "P", "GOALS", 2), ("m2", START + dt.timedelta(days=40), "P", "GOALS", 5)]
     df = with_sport(spark.createDataFrame(rows, "game_id string, start_time timestamp, player_name string, leader_type string, stat_value int"), "NHL")
-    for hot_rows in (0, 10**9):
-        got = {(r.game_id, r.leader_type): (r.performance_milestone, r.total_hat_tricks) for r in leaders.nhl_leader_trends(df, hot_rows=hot_rows).collect()}
-        assert got == {("m0", "GOALS"): ("Hat Trick", 1), ("m0", "POINTS"): ("Four Point Night", 1), ("m1", "GOALS"): ("Brace", 1), ("m2", "GOALS"): ("Hat Trick", 2)}
+    got = {(r.game_id, r.leader_type): (r.performance_milestone, r.total_hat_tricks) for r in leaders.nhl_leader_trends(df).collect()}
+    assert got == {("m0", "GOALS"): ("Hat Trick", 1), ("m0", "POINTS"): ("Four Point Night", 1), ("m1", "GOALS"): ("Brace", 1), ("m2", "GOALS"): ("Hat Trick", 2)}
 
 
 def test_football_milestones_are_shared_by_a_game(spark):
     rows = [("m1", START, "P", "RUSHING", 120, "NFL", 2024), ("m1", START, "P", "RUSHING", 130, "NFL", 2024), ("m2", START + dt.timedelta(days=7), "P", "RUSHING", 90, "NFL", 2024)]
     df = spark.createDataFrame(rows, LEADERS).withColumn("line", F.col("stat_value"))
-    for hot_rows in (0, 10**9):
-        got = {(r.game_id, r.stat_value): (r.season_milestones, r.season_high) for r in leaders.football_leader_trends(df, ["start_time", "game_id", "line"], hot_rows=hot_rows).collect()}
-        assert got == {("m1", 120): (2, 130), ("m1", 130): (2, 130), ("m2", 90): (2, 130)}
+    got = {(r.game_id, r.stat_value): (r.season_milestones, r.season_high) for r in leaders.football_leader_trends(df, ["start_time", "game_id", "line"]).collect()}
+    assert got == {("m1", 120): (2, 130), ("m1", 130): (2, 130), ("m2", 90): (2, 130)}
 
 
 def test_leader_rows(spark):

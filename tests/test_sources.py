@@ -165,7 +165,7 @@ def test_news_dialects(spark):
     default = dt.datetime(2030, 1, 1)
     raw = spark.createDataFrame([(json.dumps(api), "newsapi"), (json.dumps({**api, "category": ["x"], "source": None}), "gnews"), (json.dumps(rss), "rss"), ("{}", "fax")], "value string, dialect string")
     got = {r.dialect: r for r in news_feed.route_news(news_feed.parse_articles(raw), as_of=F.lit(default), keep=("dialect",)).collect()}
-    assert set(got) == {"newsapi", "gnews", "rss"}
+    assert set(got) == {"newsapi", "gnews", "rss", "fax"} and got["fax"].news_id is None
     a = got["newsapi"]
     assert a.news_id == "news_" + hashlib.md5(b"http://n/1").hexdigest()
     assert (a.source, a.content, a.categories) == ("Paper", "d", ["basketball", "nba", "sports"])

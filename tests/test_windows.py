@@ -51,25 +51,23 @@ METRICS = {
 }
 
 
-@pytest.mark.parametrize("hot_rows,probe", [(0, True), (60, True), (60, False), (10**9, True), (10**9, False)])
-def test_running_is_the_same_cut_or_whole(history_rows, hot_rows, probe):
+def test_running_is_the_same_cut_or_whole(history_rows):
     w = Window.partitionBy("k").orderBy("t", "i")
     up, five = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(-4, 0)
     expected = history_rows.select(
         "k", "t", "i", "v", F.sum("v").over(up), F.count(F.lit(1)).over(up), F.count("v").over(up), F.avg("v").over(up), F.max("v").over(up),
         F.avg("v").over(five), F.max("v").over(Window.partitionBy("k")),
     )
-    got = running(history_rows, [Frame(["k"], ["t", "i"], METRICS, F.to_date("t"))], ["k"], hot_rows, probe)
+    got = running(history_rows, [Frame(["k"], ["t", "i"], METRICS, F.to_date("t"))])
     assert got.columns == ["k", "t", "i", "v", *METRICS]
     assert_same_rows(got, expected)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**9])
-def test_running_with_peers(spark, hot_rows):
+def test_running_with_peers(spark):
     rows = [("x", g, v) for g, v in ((1, 1), (1, 0), (2, 1), (2, 1), (5, None), (9, 1), (9, 1))]
     df = spark.createDataFrame(rows, "k string, g int, v int")
     frame = Frame(["k"], ["g"], {"n": Running("sum", "v", peers=True)}, F.col("g"))
-    got = {(r.g, r.n) for r in running(df, [frame], ["k"], hot_rows).collect()}
+    got = {(r.g, r.n) for r in running(df, [frame]).collect()}
     assert got == {(1, 1), (2, 3), (5, 3), (9, 5)}
 
 
@@ -80,12 +78,11 @@ def test_running_rejects_undefined_frames():
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("hot_rows", [0, 10**9])
-def test_neighbor(history_rows, following, hot_rows):
+def test_neighbor(history_rows, following):
     w = Window.partitionBy("k").orderBy("t", "i")
     step = F.lead if following else F.lag
     expected = history_rows.select("k", "t", "i", "v", step(F.struct("v", "i")).over(w))
-    got = neighbor(history_rows, ["k"], ["t", "i"], ["v", "i"], "n", F.to_date("t"), following, hot_rows)
+    got = neighbor(history_rows, ["k"], ["t", "i"], ["v", "i"], "n", F.to_date("t"), following)
     assert rows_of(got) == rows_of(expected)
 
 
@@ -125,12 +122,11 @@ def test_latest_values_null_policy(spark):
     assert latest_values(df, ["k"], "t", {"x": "v"}, skip_nulls=True).first().x == 5
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10**9])
-def test_versions(spark, hot_rows):
+def test_versions(spark):
     day = [dt.datetime(2024, 1, d) for d in range(1, 7)]
     rows = [("a", day[0], "x"), ("a", day[1], "x"), ("a", day[2], "y"), ("a", day[4], None), ("a", day[5], None), ("b", day[3], "z")]
     df = spark.createDataFrame(rows, "k string, t timestamp, v string")
-    got = {tuple(r) for r in history.scd2(df, ["k"], "t", ["v"], hot_rows=hot_rows).collect()}
+    got = {tuple(r) for r in history.scd2(df, ["k"], "t", ["v"]).collect()}
     assert got == {
         ("a", "x", day[0], day[2], False), ("a", "y", day[2], day[4], False), ("a", None, day[4], None, True), ("b", "z", day[3], None, True),
     }
@@ -140,3 +136,17 @@ def test_correlation_skips_unknown_pairs(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (None, 1.0)], "x double, y double")
     row = history.correlation(df, "x", "y").first()
     assert row.pairs == 3 and row.correlation == pytest.approx(1.0)
+
+
+def test_types_do_not_depend_on_the_size_of_keys(spark):
+    """One small and one large key, decimal values, a BIGINT order."""
+    rows = spark.range(3000).selectExpr("case when id < 5 then 's' else 'l' end as k", "id as t", "cast(id as decimal(10,2)) as v", "id div 100 as b")
+    metrics = {"a": Running("avg", "v"), "s": Running("sum", "v"), "m": Running("max", "v"), "c": Running("count")}
+    seen = set()
+    for part in (rows.filter("k = 's'"), rows.filter("k = 'l'"), rows):
+        out = running(part, [Frame(["k"], ["t"], metrics, F.col("b"))])
+        seen.add(tuple(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields[4:]))
+        with pytest.raises(ValueError):
+            history.changes(part, ["k"], ["t"], ["v"])
+        assert history.changes(part, ["k"], ["t"], ["v"], block=F.col("b")).count() == part.count()
+    assert seen == {("a double", "s decimal(20,2)", "m decimal(10,2)", "c bigint")}
