@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from matchgrid.llm.common import new_folder, ship, table
 
 BLOCK = 1 << 16
-CACHED = 330_000
-GROUP = 1 << 20
+CACHED = 450_000
+GROUP = 1 << 21
 #: What keeps a text from being cut by plain replacement: other white space, or a stop behind no letter or digit.
 _ODD = re.compile(r"[^\S \n]|\x00")
 _ODD_STOP = re.compile(r"[.,](?<=[\W_].)\s")
@@ -177,8 +177,8 @@ def _vocabulary(name: str) -> str:
 
 def _encoded(batch: pa.RecordBatch, tokens: Encoder) -> Iterator[tuple[object, bytes]]:
     """(id, ids of the text) of each row; only some rows are Python objects at a time."""
-    for at in range(0, batch.num_rows, 256):
-        part = batch.slice(at, 256)
+    for at in range(0, batch.num_rows, 1024):
+        part = batch.slice(at, 1024)
         yield from zip(part.column(0).to_pylist(), tokens.encode(part.column(1).to_pylist()))
 
 
