@@ -32,10 +32,15 @@ from matchgrid.llm.common import new_folder, ship, table
 BLOCK = 1 << 16
 CACHED = 450_000
 GROUP = 1 << 21
+LINES = 1000
 #: What keeps a text from being cut by plain replacement: other white space, or a stop behind no letter or digit.
 _ODD = re.compile(r"[^\S \n]|\x00")
+_ODD_ASCII = "\0\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _ODD_STOP = re.compile(r"[.,](?<=[\W_].)\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+_WORD = re.compile(r" ?\S+")
+#: Latin letters end here; they are letters in every version of Unicode
+_FAR = "\u0250"
 
 
 # ---- planes
@@ -113,13 +118,18 @@ class Encoder:
         self.model = Tokenizer.from_file(vocabulary)
         self.model.no_truncation()
         self.model.no_padding()
-        self.space = self.model.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        # how byte-level pre-tokenization writes each byte: a byte that is no printable character by itself goes above U+0100
+        own = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
+        others = [b for b in range(256) if b not in own]
+        self.of_bytes = {b: 256 + i for i, b in enumerate(others)}
+        (self.feed,) = self.model.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _ODD.search(text) or _ODD_STOP.search(text):
+        odd = any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text)
+        if odd or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _ODD_STOP.search(text):
             return _CUT.split(text)
         text = text.replace("\n", "\0\n\0").replace(" ", "\0 ")
         return text.replace(".\0", "\0.\0").replace(",\0", "\0,\0").split("\0")
@@ -127,20 +137,29 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> None:
         if len(self.known) > CACHED:
             self.before, self.known = self.known, {}
-        new = []
+        merge, of_bytes = self.model.model.tokenize, self.of_bytes
+        new, rest = [], []
         for p in pieces:
-            if (old := self.before.get(p)) is None:
+            if (old := self.before.get(p)) is not None:
+                self.known[p] = old
+            elif p.removeprefix(" ").isalpha() and max(p) < _FAR:
+                # letters behind at most one space are one pre-token: the library's model takes it without further steps
+                ids = [t.id for t in merge(p.encode().decode("latin-1").translate(of_bytes))]
+                self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
+            elif _WORD.fullmatch(p):
                 new.append(p)
             else:
-                self.known[p] = old
-        # a piece of letters behind at most one space is one pre-token: the library's model takes it without further steps
-        plain = [p for p in new if p.removeprefix(" ").isascii() and p.removeprefix(" ").isalpha()]
-        merge = self.model.model.tokenize
-        for p in plain:
-            ids = [t.id for t in merge(p.replace(" ", self.space))]
-            self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
-        rest = set(new).difference(plain)
-        for p, e in zip(rest, self.model.encode_batch_fast(list(rest), add_special_tokens=False)):
+                rest.append(p)
+        # pieces without white space inside or behind go as the lines of one text, as a line feed is always a token of its own
+        lines = [new[i : i + LINES] for i in range(0, len(new), LINES)]
+        for group, e in zip(lines, self.model.encode_batch_fast(["\n".join(g) for g in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.feed).tolist()
+            raw, at = ids.tobytes(), 0
+            for p, cut in zip(group, [*cuts, len(ids)], strict=True):
+                self.known[p] = raw[at : 4 * cut]
+                at = 4 * cut + 4
+        for p, e in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False)):
             self.known[p] = struct.pack(f"<{len(e)}I", *e.ids)
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
