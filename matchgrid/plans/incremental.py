@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchgrid.operators.windows import attach, latest_by
-from matchgrid.sources.files import has_files, merge_columns, remove_folder, replace_partitions, shared_folder
+from matchgrid.sources.files import has_files, merge_columns, read_folders, remove_folder, replace_partitions, shared_folder
 
 
 def touched_rows(source: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,8 +30,9 @@ def incremental_merge(
 ) -> None:
     """Upsert into a partitioned Parquet table: per key the newest row by ``order`` stays, updates win ties.
 
-    Only partitions that hold an updated key, or receive one, are rewritten.  The merged rows are staged in the
-    shared folder first because the partitions are read and replaced in one run; running the merge again after a
+    Only partitions that hold an updated key, or receive one, are read whole and rewritten; of the others only the key
+    columns are read.  The names of the touched folders come to the driver, one per partition.  The merged rows are staged
+    in the shared folder first because the partitions are read and replaced in one run; running the merge again after a
     failure gives the same table.
     """
     incoming = latest_by(updates, keys, order).withColumn("_new", F.lit(1))
@@ -44,15 +45,18 @@ def incremental_merge(
 
     target = spark.read.option("mergeSchema", "true").parquet(path)
     folder = F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("_folder")
-    hit = attach(target.select("*", folder), incoming.select(*keys), keys, "left_semi").select(*by, "_folder").distinct()
-    touched = hit.select(*by).unionByName(incoming.select(*by)).distinct()
-    old = attach(target, touched, by, "left_semi").withColumn("_new", F.lit(0))
+    hit = attach(target.select("*", folder), incoming.select(*keys), keys, "left_semi").select(*by, "_folder")
+    receiving = attach(target.select(*by, folder), incoming.select(*by).distinct(), by, "left_semi")
+    hit.unionByName(receiving).distinct().write.parquet(f"{staging}/touched")
+    touched = spark.read.parquet(f"{staging}/touched")
+    old = read_folders(spark, path, target.schema, [r["_folder"] for r in touched.select("_folder").collect()])
+    old = old.withColumn("_new", F.lit(0))
     merged = latest_by(merge_columns(old, incoming), keys, [*order, "_new"]).drop("_new")
     merged.write.partitionBy(*by).parquet(f"{staging}/merged")
 
     staged = spark.read.parquet(f"{staging}/merged")
     # partitions whose rows all moved elsewhere are not overwritten by a dynamic overwrite: remove their folders
-    emptied = [r["_folder"] for r in attach(hit, staged.select(*by).distinct(), by, "left_anti").collect()]
+    emptied = [r["_folder"] for r in attach(touched, staged.select(*by).distinct(), by, "left_anti").collect()]
     replace_partitions(staged, path, by)
     for uri in emptied:
         remove_folder(spark, uri)

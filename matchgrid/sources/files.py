@@ -40,6 +40,14 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(target) and len(fs.listStatus(target)) > 0
 
 
+def read_folders(spark: SparkSession, path: str, schema: StructType, folders: list[str]) -> DataFrame:
+    """The partitions of the table at ``path`` that lie in ``folders`` (URIs); no other file is listed or opened."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    plain = [_hadoop(spark, f)[1].toString() for f in folders]
+    return spark.read.schema(schema).option("basePath", path).parquet(*plain)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop(spark, path)
     fs.delete(target, True)

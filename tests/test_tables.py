@@ -114,3 +114,21 @@ def test_align_columns(spark):
 def test_violations_count_unknown_as_failure(spark):
     df = spark.createDataFrame([(1,), (None,)], "v int")
     assert quality.violations(df, F.col("v") > 0).count() == 1
+
+
+def test_merge_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "t"), "id int, version int, part string"
+    merge = lambda updates: incremental.incremental_merge(spark, path, spark.createDataFrame(updates, ddl), ["id"], ["version"], ["part"])
+    merge([(1, 1, "a b"), (2, 1, "10:00%"), (3, 1, None), (4, 1, "other"), (5, 1, "é")])
+    opened, read = [], incremental.read_folders
+
+    def noted(*args):
+        out = read(*args)
+        opened.extend(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(incremental, "read_folders", noted)
+    merge([(1, 2, "10:00%"), (6, 1, None), (5, 2, "é")])
+    assert len({f.rsplit("/", 1)[0] for f in opened}) == 4 and not any("other" in f for f in opened)
+    rows = {tuple(r) for r in spark.read.parquet(path).select("id", "version", "part").collect()}
+    assert rows == {(1, 2, "10:00%"), (2, 1, "10:00%"), (3, 1, None), (4, 1, "other"), (5, 2, "é"), (6, 1, None)}
