@@ -36,8 +36,12 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is data: leftovers of a failed first load (names in ``_`` or ``.``) are none."""
     fs, target = _hadoop(spark, path)
-    return fs.exists(target) and len(fs.listStatus(target)) > 0
+    if not fs.exists(target):
+        return False
+    names = [s.getPath().getName() for s in fs.listStatus(target)]
+    return any("=" in n or not n.startswith(("_", ".")) for n in names)
 
 
 def read_folders(spark: SparkSession, path: str, schema: StructType, folders: list[str]) -> DataFrame:

@@ -132,3 +132,11 @@ def test_merge_reads_only_touched_partitions(spark, tmp_path, monkeypatch):
     assert len({f.rsplit("/", 1)[0] for f in opened}) == 4 and not any("other" in f for f in opened)
     rows = {tuple(r) for r in spark.read.parquet(path).select("id", "version", "part").collect()}
     assert rows == {(1, 2, "10:00%"), (2, 1, "10:00%"), (3, 1, None), (4, 1, "other"), (5, 2, "é"), (6, 1, None)}
+
+
+def test_merge_recovers_from_a_failed_first_load(spark, tmp_path):
+    (tmp_path / "t" / "_temporary" / "0").mkdir(parents=True)
+    (tmp_path / "t" / ".spark-staging-1").mkdir()
+    path = str(tmp_path / "t")
+    incremental.incremental_merge(spark, path, spark.createDataFrame([(1, 1, "p")], "id int, version int, part string"), ["id"], ["version"], ["part"])
+    assert spark.read.parquet(path).count() == 1
