@@ -14,7 +14,6 @@ Any block can be read alone; ``sizes`` says where each plane starts.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -22,6 +21,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +34,12 @@ CACHED = 450_000
 GROUP = 1 << 21
 LINES = 1000
 #: What keeps a text from being cut by plain replacement: other white space, or a stop behind no letter or digit.
-_ODD = re.compile(r"[^\S \n]|\x00")
-_ODD_ASCII = "\0\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_ODD = "\0" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 _ODD_STOP = re.compile(r"[.,](?<=[\W_].)\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _WORD = re.compile(r" ?\S+")
+#: letters and then ASCII punctuation (no apostrophe, which can begin a token with letters)
+_ENDED = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 #: Latin letters end here; they are letters in every version of Unicode
 _FAR = "\u0250"
 
@@ -114,6 +115,7 @@ class Encoder:
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.model = Tokenizer.from_file(vocabulary)
         self.model.no_truncation()
@@ -121,63 +123,112 @@ class Encoder:
         # how byte-level pre-tokenization writes each byte: a byte that is no printable character by itself goes above U+0100
         own = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
         others = [b for b in range(256) if b not in own]
-        self.of_bytes = {b: 256 + i for i, b in enumerate(others)}
+        self.of_bytes = np.arange(256, dtype="<u2")
+        self.of_bytes[others] = 256 + np.arange(len(others))
         (self.feed,) = self.model.encode("\n", add_special_tokens=False).ids
+        # the library's model alone, for lines that are one pre-token each
+        self.lines = Tokenizer(self.model.model)
+        self.lines.pre_tokenizer = CharDelimiterSplit(chr(self.of_bytes[ord("\n")]))
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
     @staticmethod
-    def pieces(text: str) -> list[str]:
-        odd = any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text)
-        if odd or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _ODD_STOP.search(text):
-            return _CUT.split(text)
+    def marked(text: str) -> str | None:
+        """The text with NUL characters where it is cut; None if that takes a closer look (:meth:`pieces`)."""
+        if any(c in text for c in _ODD) or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _ODD_STOP.search(text):
+            return None
         text = text.replace("\n", "\0\n\0").replace(" ", "\0 ")
-        return text.replace(".\0", "\0.\0").replace(",\0", "\0,\0").split("\0")
+        return text.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) > CACHED:
-            self.before, self.known = self.known, {}
-        merge, of_bytes = self.model.model.tokenize, self.of_bytes
-        new, rest = [], []
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        return _CUT.split(text)
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces that are not known; from now on they are."""
+        out: dict[str, bytes] = {}
+        single: dict[str, None] = {}
+        ended, words, rest = [], [], []
         for p in pieces:
             if (old := self.before.get(p)) is not None:
-                self.known[p] = old
-            elif p.removeprefix(" ").isalpha() and max(p) < _FAR:
-                # letters behind at most one space are one pre-token: the library's model takes it without further steps
-                ids = [t.id for t in merge(p.encode().decode("latin-1").translate(of_bytes))]
-                self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
-            elif _WORD.fullmatch(p):
-                new.append(p)
+                out[p] = old
+            elif p.removeprefix(" ").isalpha() and (p.isascii() or max(p) < _FAR):
+                single[p] = None
+            elif (m := _ENDED.fullmatch(p)) and m[1].removeprefix(" ").isalpha() and (p.isascii() or max(p) < _FAR):
+                ended.append((p, *m.groups()))
+                single.update(dict.fromkeys(m.groups()))
             else:
-                rest.append(p)
-        # pieces without white space inside or behind go as the lines of one text, as a line feed is always a token of its own
-        lines = [new[i : i + LINES] for i in range(0, len(new), LINES)]
-        for group, e in zip(lines, self.model.encode_batch_fast(["\n".join(g) for g in lines], add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.feed).tolist()
+                (words if _WORD.fullmatch(p) else rest).append(p)
+
+        def share(group: list[str], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
             raw, at = ids.tobytes(), 0
-            for p, cut in zip(group, [*cuts, len(ids)], strict=True):
-                self.known[p] = raw[at : 4 * cut]
-                at = 4 * cut + 4
+            for p, end in zip(group, [*ends.tolist(), len(ids)], strict=True):
+                out[p] = raw[at : 4 * end]
+                at = 4 * (end + gap)
+
+        def lines(of: list[str]) -> Iterator[tuple[list[str], str]]:
+            groups = (of[i : i + LINES] for i in range(0, len(of), LINES))
+            return ((g, "\n".join(g)) for g in groups)
+
+        # letters behind at most one space, or punctuation, are one pre-token: the library's model takes it without more steps
+        for group, text in lines(list(single)):
+            written = self.of_bytes[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+            e = self.lines.encode(written, add_special_tokens=False)
+            share(group, np.array(e.ids, "<u4"), np.flatnonzero(np.diff(np.array(e.word_ids))) + 1, 0)
+        for p, head, tail in ended:
+            out[p] = out[head] + out[tail]
+        # others without white space inside or behind go as lines too, as a line feed is always a token of its own
+        for group, text in lines(words):
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            share(group, ids, np.flatnonzero(ids == self.feed), 1)
         for p, e in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known[p] = struct.pack(f"<{len(e)}I", *e.ids)
+            out[p] = np.array(e.ids, "<u4").tobytes()
+        if len(self.known) > CACHED:
+            self.before, self.known = self.known, {}
+        self.known.update(out)
+        return out
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         at = 0
         while at < len(texts):
-            group, size = [], 0
-            while at < len(texts) and (not group or size < GROUP):
-                group.append(self.pieces(texts[at]) if texts[at] else [])
+            begin, size = at, 0
+            while at < len(texts) and (at == begin or size < GROUP):
                 size += len(texts[at] or "")
                 at += 1
-            distinct = set(chain.from_iterable(group))
-            # learning may start a new generation, which has to learn again what the group needs
-            while missing := distinct.difference(self.known):
-                self._learn(missing)
-            find = self.known.__getitem__
-            for pieces in group:
-                yield b"".join(map(find, pieces))
+            yield from self._together([t or "" for t in texts[begin:at]])
+
+    def _together(self, texts: list[str]) -> Iterator[bytes]:
+        """Each distinct piece of the texts is looked up once; the ids are then laid out by piece number."""
+        marked = [self.marked(t) for t in texts]
+        cut = pc.split_pattern(pa.array([m for m in marked if m is not None], pa.large_string()), "\0")
+        closer = [self.pieces(t) for t, m in zip(texts, marked) if m is None]
+        parts = [cut.flatten(), pa.array(chain.from_iterable(closer), pa.large_string())]
+        numbered = pa.concat_arrays(parts).dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, distinct))
+        if missing := [i for i, ids in enumerate(found) if ids is None]:
+            new = self._learn([distinct[i] for i in missing])
+            for i in missing:
+                found[i] = new[distinct[i]]
+        values = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        number = numbered.indices.to_numpy()
+        n = sizes[number]
+        ends = np.cumsum(n)
+        shift = (np.cumsum(sizes) - sizes)[number] - (ends - n)
+        raw = values[np.repeat(shift, n) + np.arange(len(shift) and ends[-1])].tobytes()
+        # where each text's ids end: those cut by marks come first
+        pieces = np.concatenate([pc.list_value_length(cut).to_numpy(), [len(c) for c in closer]]).astype(np.int64)
+        stops = 4 * np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(pieces)])]
+        plain, other = 0, len(marked) - len(closer)
+        for m in marked:
+            i = other if m is None else plain
+            yield raw[stops[i] : stops[i + 1]]
+            if m is None:
+                other += 1
+            else:
+                plain += 1
 
 
 @cache

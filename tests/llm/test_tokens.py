@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 by_bytes, by_words = Tokenizer.from_file(BYTES), Tokenizer.from_file(WORDS)
 ODD = st.text(st.sampled_from("aAb\xe9 \xdfΣσİIs'll\n\t  \x1c\x85\xa0　日\xb2\xbdⅧ٣0129.!?<|>endoftextr\0́\xf1ẞ\U0001f600_-  "), max_size=60)
-TEXT = ODD | st.text(max_size=40) | st.lists(st.sampled_from(["the", "Theory", "isn't", "<|endoftext|>", "<|startoftext|>", " ", "  ", "\n", "\r\n", "x1y2", "ΟΔΟΣ", "…"]), max_size=12).map("".join)
+TEXT = ODD | st.text(max_size=40) | st.lists(st.sampled_from(["the", "Theory", "isn't", " geh\u00f6rt###", " it's", " all'", " ends...", "a_b_", " \u00d7##", " \u0561##", "<|", "<|endoftext|>", "<|startoftext|>", " ", "  ", "\n", "\r\n", "x1y2", "ΟΔΟΣ", "…"]), max_size=12).map("".join)
 
 
 @settings(max_examples=600, deadline=None)
