@@ -28,11 +28,6 @@ def _by_sport(fn, spark, sf):
     return {s: fn(games(spark, sf, s).drop("sport_type")) for s in SPORTS}
 
 
-def _all_performance(spark, sf):
-    kinds = {"NBA": ops.nba_team_performance, "NHL": ops.nhl_team_performance}
-    return {s: kinds.get(s, ops.football_team_performance)(games(spark, sf, s)) for s in SPORTS}
-
-
 def _local_day(spark, sf):
     day = F.lit("1997-03-15").cast("date")
     return present(filters.on_local_day(games(spark, sf), day).select("game_id", "start_time", "status_detail"))
@@ -63,9 +58,9 @@ QUERIES = {
     "nba_team_trends": lambda s, sf: present(ops.nba_team_trends(ops.nba_team_performance(games(s, sf, "NBA")))),
     "nhl_team_trends": lambda s, sf: present(ops.nhl_team_trends(ops.nhl_team_performance(games(s, sf, "NHL")))),
     "team_game_sequence": lambda s, sf: present(ops.team_game_sequence(ops.nba_team_performance(games(s, sf, "NBA")))),
-    "dim_teams": lambda s, sf: present(dims.dim_teams(_all_performance(s, sf), {k: ops.game_stats(games(s, sf, k)) for k in SPORTS}, valid_from=fixed())),
+    "dim_teams": lambda s, sf: present(dims.dim_teams(games(s, sf), valid_from=fixed())),
     "dim_teams_by_venue": lambda s, sf: present(
-        dims.dim_teams({"NFL": ops.football_team_performance(games(s, sf, "NFL"))}, {"NFL": ops.game_stats(games(s, sf, "NFL"))}, False, fixed())
+        dims.dim_teams(games(s, sf, "NFL"), False, fixed())
     ),
     "dim_venues": lambda s, sf: present(dims.dim_venues(_stats(s, sf), fixed())),
     "dim_dates": lambda s, sf: present(dims.dim_dates(_stats(s, sf), as_of())),

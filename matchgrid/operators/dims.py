@@ -17,6 +17,7 @@ from matchgrid.functions.dates import (
     nhl_season_type,
 )
 from matchgrid.functions.ids import surrogate_key
+from matchgrid.operators.games import played, unpivot_sides
 from matchgrid.params import unite
 
 
@@ -25,31 +26,21 @@ def _one(tables: DataFrame | Mapping[str, DataFrame]) -> DataFrame:
 
 
 def dim_teams(
-    performance: DataFrame | Mapping[str, DataFrame],
-    games: DataFrame | Mapping[str, DataFrame],
-    home_city_only: bool = True,
-    valid_from: Column | None = None,
+    games: DataFrame | Mapping[str, DataFrame], home_city_only: bool = True, valid_from: Column | None = None
 ) -> DataFrame:
-    """One row per team and city, keyed by md5 of name, abbreviation, city and state.
+    """One row per team and city of the staged games, keyed by md5 of name, abbreviation, city and state.
 
-    A team's city comes from its home games.  ``home_city_only=False`` also pairs visiting teams with the
-    venue they played at, which gives a team a key per city visited.
+    A team's city comes from its home games; a team never seen at home has a row without a city.
+    ``home_city_only=False`` pairs every team with all venues it played at, which gives it a key per city visited.
+    Both sides of a game come from one scan; a team's set of cities is bounded by the places it plays at.
     """
-    perf, played = _one(performance), _one(games)
     cols = ["team_id", "team_name", "team_abbreviation", "sport_type"]
-    venue = played.select("game_id", "sport_type", "venue_city", "venue_state")
-    teams = perf.filter(F.col("team_id").isNotNull())
-    if home_city_only:
-        at_home = teams.filter(F.col("team_type") == "HOME").join(venue, ["game_id", "sport_type"], "left")
-        cities = at_home.select(*cols, "venue_city", "venue_state").distinct()
-        # teams never seen at home keep a row without a city
-        placed = teams.select(*cols).distinct().alias("t")
-        on = [F.col(f"t.{c}").eqNullSafe(F.col(f"c.{c}")) for c in cols]
-        rows = placed.join(cities.alias("c"), on, "left").select("t.*", "c.venue_city", "c.venue_state")
-    else:
-        rows = (
-            teams.join(venue, ["game_id", "sport_type"], "left").select(*cols, "venue_city", "venue_state").distinct()
-        )
+    sides = unpivot_sides(played(_one(games)), ["id", "name", "abbreviation"], ["sport_type", "venue_city", "venue_state"])
+    teams = sides.withColumnsRenamed({f"own_{c}": f"team_{c}" for c in ("id", "name", "abbreviation")}).filter("team_id is not null")
+    city = F.struct("venue_city", "venue_state")
+    cities = F.collect_set(F.when(F.col("team_type") == "HOME", city) if home_city_only else city)
+    rows = teams.groupBy(*cols).agg(cities.alias("_cities")).select(*cols, F.explode_outer("_cities").alias("_city"))
+    rows = rows.select(*cols, "_city.*")
     key = surrogate_key(*[F.col(c) for c in ("team_name", "team_abbreviation", "venue_city", "venue_state")])
     return rows.select(
         key.alias("team_key"),
@@ -126,12 +117,16 @@ def dim_markets(
     )
 
 
+def _days(span: DataFrame, days_after: int, as_of: Column | None, *keep: str) -> DataFrame:
+    cut = F.current_date() if as_of is None else as_of
+    days = F.sequence("first", F.date_add("last", days_after))
+    return span.filter("first is not null").select(F.explode(days).alias("date_id"), *keep).filter(F.col("date_id") <= cut)
+
+
 def date_spine(games: DataFrame, start: str = "start_time", days_after: int = 365, as_of: Column | None = None) -> DataFrame:
     """Every day from the first game to ``days_after`` days past the last, cut at ``as_of`` (today)."""
-    cut = F.current_date() if as_of is None else as_of
     span = games.agg(F.to_date(F.min(start)).alias("first"), F.to_date(F.max(start)).alias("last"))
-    days = F.sequence("first", F.date_add("last", days_after))
-    return span.filter("first is not null").select(F.explode(days).alias("date_id")).filter(F.col("date_id") <= cut)
+    return _days(span, days_after, as_of)
 
 
 def dim_dates(games: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -139,16 +134,19 @@ def dim_dates(games: DataFrame, as_of: Column | None = None) -> DataFrame:
 
     Exactly one row per day: a week whose games straddle New Year carries one week number.
     """
-    weeks = {"NFL": nfl_week(F.col("start_time")), "CFB": cfb_week(F.col("start_time"))}
-    days = date_spine(games, as_of=as_of).withColumn("_week", F.to_date(F.date_trunc("week", "date_id")))
-    for sport, week in weeks.items():
-        name = f"{sport.lower()}_week"
-        played = (
-            games.filter(F.col("sport_type") == sport)
-            .groupBy(F.to_date(F.date_trunc("week", "start_time")).alias("_week"))
-            .agg(F.max(week).alias(name))
-        )
-        days = days.join(played, "_week", "left")
+    start = F.col("start_time")
+    weeks = {"NFL": nfl_week(start), "CFB": cfb_week(start)}
+    played_weeks = [F.max(F.when(F.col("sport_type") == sport, week)).alias(f"{sport.lower()}_week") for sport, week in weeks.items()]
+    # one row per calendar week, then one row with all weeks: the games are read once
+    by_week = (
+        games.filter(start.isNotNull())
+        .groupBy(F.to_date(F.date_trunc("week", start)).alias("week"))
+        .agg(*played_weeks, F.min(start).alias("first"), F.max(start).alias("last"))
+    )
+    numbers = F.map_from_entries(F.collect_list(F.struct("week", F.struct("nfl_week", "cfb_week"))))
+    span = by_week.agg(F.to_date(F.min("first")).alias("first"), F.to_date(F.max("last")).alias("last"), numbers.alias("_weeks"))
+    of_week = F.try_element_at("_weeks", F.to_date(F.date_trunc("week", "date_id"))).alias("_week")
+    days = _days(span, 365, as_of, "_weeks").select("date_id", of_week).select("date_id", "_week.*")
     d = F.col("date_id")
     return days.select(
         "date_id",

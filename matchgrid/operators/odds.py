@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchgrid.functions.odds import implied_probability
@@ -216,14 +216,10 @@ def season_price_delta(odds: DataFrame, price: str = "home_price") -> DataFrame:
     """Average price per bookmaker and month against the month before (NULL for the first month)."""
     months = odds.groupBy("bookmaker_key", "partition_year", "partition_month").agg(F.avg(price).alias("avg_price"))
     index = F.col("partition_year") * 12 + F.col("partition_month")
-    previous = months.select(
-        "bookmaker_key", (index + 1).alias("_month"), F.col("avg_price").alias("previous_avg_price")
-    )
-    return (
-        months.withColumn("_month", index)
-        .join(previous, ["bookmaker_key", "_month"], "left")
-        .withColumn("price_delta", F.col("avg_price") - F.col("previous_avg_price"))
-        .drop("_month")
+    earlier = F.lag(F.struct(index.alias("month"), "avg_price")).over(Window.partitionBy("bookmaker_key").orderBy(index))
+    previous = F.when(earlier["month"] == index - 1, earlier["avg_price"])
+    return months.withColumn("previous_avg_price", previous).withColumn(
+        "price_delta", F.col("avg_price") - F.col("previous_avg_price")
     )
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -222,15 +223,32 @@ def day_of(df: DataFrame, column: str) -> Column:
     return F.date_trunc("day", column)
 
 
+def value_run(df: DataFrame, value: str) -> Column:
+    """A cut of a column's values into runs that never decrease along its order, by the column's type alone.
+
+    Numbers are cut at 1024 runs per power of two, so values in [0, 1) spread as well as values in the billions; text at its
+    first three characters, times at days.
+    """
+    kind, v = df.schema[value].dataType, F.col(value)
+    if isinstance(kind, T.NumericType):
+        v = v.cast("double")
+        size = F.floor((F.least(F.log2(F.abs(v)), F.lit(1100.0)) + 1100) * 1024)
+        far = F.lit(1 << 40)
+        return F.when(F.isnan(v), far).when(v > 0, size).when(v < 0, -size).otherwise(F.when(v.isNotNull(), F.lit(0).cast("bigint")))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.substring(v, 1, 3)
+    return F.to_date(v) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else v
+
+
 def percent_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str, block: Column | None = None) -> DataFrame:
     """``percent_rank()`` of each distinct ``value`` (ascending, NULLs last) within ``keys``: keys, value, rank.
 
     Rows are first counted per distinct value (combined map-side); the counts are then accumulated over the
-    distinct values, cut into ``block`` runs of values (by default 1000 units of a numeric value), so neither a
-    hot key nor a key with very many values lands in one task.  A window over the rows would sort whole keys.
+    distinct values, cut into ``block`` runs of values (by default :func:`value_run`), so neither a hot key nor a key
+    with very many values lands in one task.  A window over the rows would sort whole keys.
     """
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cut = F.floor(F.col(value).cast("double") / 1000) if block is None else block
+    cut = value_run(df, value) if block is None else block
     counts = counts.withColumn("_block", F.struct(F.col(value).isNull().alias("missing"), cut.alias("run")))
     by_value = Window.partitionBy(*keys, "_block").orderBy(F.col(value).asc_nulls_last())
     lower = F.sum("_n").over(by_value.rowsBetween(Window.unboundedPreceding, -1))

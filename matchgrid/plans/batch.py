@@ -94,7 +94,7 @@ def game_reports(staged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "game_scoring_pattern": games.game_scoring_pattern(all_stats),
         "overtime_analysis": games.overtime_analysis({s: games.overtime(df) for s, df in tagged.items()}),
         "record_matchup_fact": games.record_matchup_fact({s: games.record_matchup(df) for s, df in tagged.items()}),
-        "dim_teams": dims.dim_teams(perf, stats),
+        "dim_teams": dims.dim_teams(tagged),
         "dim_venues": dims.dim_venues(all_stats),
         "dim_dates": dims.dim_dates(all_stats),
     }

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from matchgrid.operators.windows import latest_by
@@ -95,13 +95,33 @@ def drop_repeats(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> Dat
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped for being older than the watermark, over the recent progress reports."""
-    dropped = 0
-    for progress in query.recentProgress:
-        for state in progress["stateOperators"]:
-            dropped += int(state.get("numRowsDroppedByWatermark", 0))
-    return dropped
+class LateRows(StreamingQueryListener):
+    """Rows dropped for being older than the watermark, added up over all progress reports of each query run.
+
+    Register it with ``spark.streams.addListener`` before the queries start; reports arrive shortly after their batch.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.runId), 0)
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        late = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self.dropped[run] = self.dropped.get(run, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+    def of(self, query: StreamingQuery) -> int:
+        """Rows of one run of a query dropped so far; all of them once it is among ``ended``."""
+        return self.dropped.get(str(query.runId), 0)
 
 
 def with_event_time(messages: DataFrame, column: str = "timestamp", ts: str = "ts") -> DataFrame:

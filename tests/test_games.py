@@ -139,10 +139,10 @@ def test_trends(spark):
 
 
 def test_dims(spark, nba):
-    perf, stats = games.nba_team_performance(nba), games.game_stats(nba)
-    teams = {r.team_id: r for r in dims.dim_teams(perf, stats).collect()}
+    stats = games.game_stats(nba)
+    teams = {r.team_id: r for r in dims.dim_teams(nba).collect()}
     assert teams["h0"].city == "City 0" and teams["a"].city is None
-    by_venue = dims.dim_teams(perf, stats, home_city_only=False).filter("team_id = 'a'")
+    by_venue = dims.dim_teams(nba, home_city_only=False).filter("team_id = 'a'")
     assert {r.city for r in by_venue.collect()} == {"City 0", "City 1"}
     assert {r.is_indoor for r in dims.dim_venues(stats).collect()} == {True}
     days = dims.dim_dates(stats, F.lit("2025-01-10").cast("date")).collect()

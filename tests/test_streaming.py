@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,9 +123,17 @@ def test_late_rows_are_dropped_and_counted(spark, odds_stream):
     write("later", [odds_row(7200, 3.0, 3.0)])
     runner.version_sink(windows, str(tmp / "out"), str(tmp / "checkpoint")).awaitTermination()
     write("late", [odds_row(40, 99.0, 99.0)])
-    query = runner.version_sink(windows, str(tmp / "out"), str(tmp / "checkpoint"))
-    query.awaitTermination()
-    assert runner.late_rows(query) == 1
+    late = runner.LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = runner.version_sink(windows, str(tmp / "out"), str(tmp / "checkpoint"))
+        query.awaitTermination()
+        deadline = time.monotonic() + 30
+        while str(query.runId) not in late.ended and time.monotonic() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(late)
+    assert late.of(query) == 1
     got = runner.read_versions(spark, str(tmp / "out"), ["window", "game_id", "sport_key"])
     assert got.agg(F.max("max_home_odds")).first()[0] == 3.0
 

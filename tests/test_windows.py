@@ -92,6 +92,22 @@ def test_percent_rank_matches_the_window_function(history_rows):
         assert_same_rows(percent_rank_by(history_rows, ["k"], "v", "p", block), expected)
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "rand(7)", "cast(null as double)", "if(id % 9 = 0, double('NaN'), if(id % 9 = 1, double('-Infinity'), (id % 40 - 20) * 1e30))",
+        "concat('player ', id % 37)", "if(id % 5 = 0, '', cast(id as string))", "date_add(date'2024-01-01', cast(id % 50 as int))",
+        "timestamp_seconds(id * 7200)", "cast(id % 21 - 10 as decimal(20, 2))", "(id % 30) * 300000000000000000 - 4500000000000000000", "id % 2 = 0",
+    ],
+)
+def test_percent_rank_of_any_value(spark, value):
+    df = spark.range(300).selectExpr("id", "id % 3 as k", f"{value} as v")
+    df = spark.createDataFrame(df.collect(), df.schema)
+    expected = df.select("id", "k", "v", F.percent_rank().over(Window.partitionBy("k").orderBy(F.col("v").asc_nulls_last())).alias("p"))
+    got = percent_rank_by(df, ["k"], "v", "p").select("id", "k", "v", "p")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_percent_rank_with_stored_ranks(history_rows, tmp_path):
     lazy = percent_rank_by(history_rows, ["k"], "v", "p")
     stored = percent_rank_by(history_rows, ["k"], "v", "p", store=str(tmp_path / "ranks"))
