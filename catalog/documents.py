@@ -215,7 +215,7 @@ def boxscores(spark: SparkSession, sf: str, sport: str) -> DataFrame:
             return f"named_struct('team', named_struct('id', {ident}), 'statistics', array(named_struct({stats})))"
 
         game = (
-            f"named_struct('id', k, 'stage', 1, 'date', named_struct('start', {_ISO.format('start_time')}, 'duration', '2:15'), "
+            f"named_struct('id', k, 'stage', 1 + k % 3, 'date', named_struct('start', {_ISO.format('start_time')}, 'duration', '2:15'), "
             "'status', named_struct('long', status_detail), 'arena', named_struct('name', venue_name, 'city', venue_city, 'state', venue_state), "
             f"'teams', named_struct('home', {team('home', home)}, 'visitors', {team('away', away)}), 'scores', named_struct('home', {scores('home')}, "
             f"'visitors', {scores('away')}), 'timesTied', k % 9, 'leadChanges', k % 7)"
@@ -236,8 +236,9 @@ def boxscores(spark: SparkSession, sf: str, sport: str) -> DataFrame:
         )
         periods = ", ".join(f"'{p}', '{i}-' || (k % {i + 2})" for i, p in enumerate(("first", "second", "third"), 1))
         game = (
-            f"named_struct('id', k, 'date', {_ISO.format('start_time')}, 'time', '19:00', 'timezone', 'UTC', 'status', named_struct('long', status_detail), "
-            "'league', named_struct('id', 57L, 'season', partition_year), 'teams', named_struct('home', named_struct('id', "
+            f"named_struct('id', k, 'date', {_ISO.format('start_time')}, 'time', '19:00', 'timezone', if(k % 3 > 0, 'UTC', null), 'week', 'W' || k % 20, 'status', named_struct('long', status_detail), "
+            "'league', named_struct('id', 57L, 'name', 'League ' || k % 2, 'type', 'cup', 'season', partition_year), "
+            "'country', if(k % 5 > 0, named_struct('id', k % 5, 'name', 'Land ' || k % 5, 'code', 'L' || k % 5), null), 'teams', named_struct('home', named_struct('id', "
             f"{home}, 'name', home_name), 'away', named_struct('id', {away}, 'name', away_name)), "
             f"'scores', named_struct('home', home_score, 'away', away_score), 'periods', named_struct({periods}))"
         )
@@ -252,8 +253,10 @@ def boxscores(spark: SparkSession, sf: str, sport: str) -> DataFrame:
         return f"named_struct('team', named_struct('id', {ident}), 'statistics', named_struct({stats}))"
 
     game = (
-        "named_struct('game', named_struct('id', k, 'stage', 'Regular', 'week', 'W' || k % 18, 'date', named_struct('timestamp', unix_seconds(start_time)), "
-        "'venue', named_struct('name', venue_name, 'city', venue_city), 'status', named_struct('short', 'FT')), 'league', named_struct('season', "
+        "named_struct('game', named_struct('id', k, 'stage', 'Regular', 'week', 'W' || k % 18, 'date', named_struct('timestamp', unix_seconds(start_time), "
+        "'date', date_format(start_time, 'yyyy-MM-dd'), 'time', date_format(start_time, 'HH:mm'), 'timezone', 'UTC'), "
+        "'venue', named_struct('name', venue_name, 'city', venue_city), 'status', named_struct('short', 'FT', 'long', status_detail)), 'league', "
+        "named_struct('id', 1 + k % 2, 'name', 'League ' || k % 2, 'season', "
         f"cast(partition_year as string)), 'teams', named_struct('home', named_struct('id', {home}, 'name', home_name), 'away', "
         f"named_struct('id', {away}, 'name', away_name)), 'scores', named_struct('home', {total('home')}, 'away', {total('away')}))"
     )

@@ -311,6 +311,7 @@ def _scoreboard_sql(sport: str) -> str:
 
 def _staged_sql(sport: str) -> str:
     kind = next(iter(LEADER_VALUES[sport]))
+    staged = [(c if c.endswith(("fg_pct", "3p_pct", "ft_pct")) else n, c) for n, c in _STATS[sport].items()]
     cols = [
         "game_id", "start_time", "status_state", "status_detail", "status_description", "period",
         "CASE WHEN k % 13 <> 0 THEN clock ELSE '0:00' END AS clock", "venue_name", "venue_city", "venue_state", _text("broadcasts", "broadcasts"),
@@ -319,7 +320,7 @@ def _staged_sql(sport: str) -> str:
     for i, s in enumerate(("home", "away")):
         cols += [f"{s}_{f}" for f in ("id", "name", "abbreviation", "score")]
         cols += [f"coalesce({s}_record, '0-0') AS {s}_record", _text(f"{s}_linescores", f"{s}_linescores")]
-        cols += [f"round({s}_{c}, 6) AS {s}_{n}" if c in _DOUBLES else f"{s}_{c} AS {s}_{n}" for n, c in _STATS[sport].items()]
+        cols += [f"round({s}_{c}, 6) AS {s}_{n}" if c in _DOUBLES else f"{s}_{c} AS {s}_{n}" for n, c in staged]
         f = _leader(sport, kind, i)
         cols += [f"{f['name']} AS {s}_{kind}_name", f"{f['value']} AS {s}_{kind}_value"]
     if sport == "NHL":
@@ -349,7 +350,7 @@ def _pivot_stats(names: list[str], step: int, mod: int, shift: str) -> str:
 
 def _nba_box_sql() -> str:
     def side(s: str, x: str, plus: int, mult: int) -> str:
-        return f"""SELECT k AS game_id, strftime(start_time, '%Y-%m-%dT%H:%MZ') AS date, '2:15' AS duration, status_detail AS status,
+        return f"""SELECT k AS game_id, 1 + k % 3 AS stage, strftime(start_time, '%Y-%m-%dT%H:%MZ') AS date, '2:15' AS duration, status_detail AS status,
   venue_name AS arena_name, venue_city AS arena_city, venue_state AS arena_state, k % 9 AS times_tied, k % 7 AS lead_changes, '{s}' AS side,
   substr({s}_id, 2)::BIGINT + {plus} AS team_id, {s}_name AS team_name, 'N' || {s}_id AS nickname, {s}_abbreviation AS code, {s}_score AS score,
   {_text(f'{s}_linescores', 'linescore')}, ({s}_score > {x}_score)::INT AS win, (NOT {s}_score > {x}_score)::INT AS loss,
@@ -360,8 +361,9 @@ def _nba_box_sql() -> str:
 
 def _football_box_sql() -> str:
     def side(s: str, plus: int, mult: int) -> str:
-        return f"""SELECT k AS game_id, 'Regular' AS stage, 'W' || (k % 18) AS week, epoch(start_time)::BIGINT AS timestamp, venue_name, venue_city,
-  'FT' AS status, partition_year::VARCHAR AS season, '{s}' AS side, substr({s}_id, 2)::BIGINT + {plus} AS team_id, {s}_name AS team_name,
+        return f"""SELECT k AS game_id, 'Regular' AS stage, 'W' || (k % 18) AS week, epoch(start_time)::BIGINT AS timestamp, strftime(start_time, '%Y-%m-%d') AS date,
+  strftime(start_time, '%H:%M') AS time, 'UTC' AS timezone, venue_name, venue_city, 'FT' AS status, status_detail AS status_long,
+  1 + k % 2 AS league_id, 'League ' || (k % 2) AS league_name, partition_year::VARCHAR AS season, '{s}' AS side, substr({s}_id, 2)::BIGINT + {plus} AS team_id, {s}_name AS team_name,
   {_pivot_stats(boxscore.FOOTBALL_STATS, 1, 60, str(mult))}, {s}_linescores[1] AS quarter_1, {s}_score AS total FROM games"""
 
     return f"WITH {games_sql('NFL')} {side('home', 0, 2)} UNION ALL {side('away', 1000, 3)}"
@@ -442,7 +444,10 @@ FROM documents GROUP BY 1""",
   SELECT *, 'home' AS side, substr(home_id, 2)::BIGINT AS team_id, home_name AS team_name, home_score AS score,
     1 + k % 2 + CASE WHEN k % 5 = 3 OR k % 5 = 4 THEN (k % 3 = 0)::INT ELSE 0 END AS assists FROM games
   UNION ALL SELECT *, 'away', substr(away_id, 2)::BIGINT + 1000, away_name, away_score, (k % 5 >= 1)::INT FROM games)
-SELECT k AS game_id, strftime(start_time, '%Y-%m-%dT%H:%MZ') AS date, status_detail AS status, partition_year AS season, '1-' || (k % 3) AS period_first,
+SELECT k AS game_id, strftime(start_time, '%Y-%m-%dT%H:%MZ') AS date, status_detail AS status, '19:00' AS time,
+  CASE WHEN k % 3 > 0 THEN 'UTC' END AS timezone, 'W' || (k % 20) AS week, 57 AS league_id, 'League ' || (k % 2) AS league_name, 'cup' AS league_type,
+  CASE WHEN k % 5 > 0 THEN k % 5 END AS country_id, CASE WHEN k % 5 > 0 THEN 'Land ' || (k % 5) END AS country_name, CASE WHEN k % 5 > 0 THEN 'L' || (k % 5) END AS country_code,
+  partition_year AS season, '1-' || (k % 3) AS period_first,
   '2-' || (k % 4) AS period_second, '3-' || (k % 5) AS period_third, NULL::VARCHAR AS period_overtime, NULL::VARCHAR AS period_penalties, side, team_id, team_name, score, assists,
   score + assists AS total_points FROM s""",
     "live_game_projection": f"""WITH {games_sql('NBA')} SELECT game_id, strftime(start_time, '%Y-%m-%dT%H:%MZ') AS start_time, {_SHARED_LIVE},

@@ -18,7 +18,7 @@ from matchgrid.functions.scores import (
     win_share,
 )
 from matchgrid.operators.windows import Frame, Running, latest_by, running
-from matchgrid.params import by_sport, unite
+from matchgrid.params import by_sport, of_known_sport, unite
 
 _CARRIED = ("partition_year", "partition_month", "partition_day", "ingestion_timestamp")
 NOT_PLAYED = ("Postponed", "Canceled")
@@ -366,10 +366,12 @@ def record_matchup_fact(matchups: DataFrame | Mapping[str, DataFrame]) -> DataFr
             "away_win_pct": away,
             "record_differential": F.abs(home - away),
             "favorite_won": F.coalesce(expected == F.col("winner"), F.lit(False)),
-            "matchup_type": F.when(gap <= by_sport("record_even"), "Even Matchup")
-            .when(gap <= by_sport("record_slight"), "Slight Advantage")
-            .when(gap <= by_sport("record_clear"), "Clear Advantage")
-            .otherwise("Strong Advantage"),
+            "matchup_type": of_known_sport(
+                F.when(gap <= by_sport("record_even"), "Even Matchup")
+                .when(gap <= by_sport("record_slight"), "Slight Advantage")
+                .when(gap <= by_sport("record_clear"), "Clear Advantage")
+                .otherwise("Strong Advantage")
+            ),
         }
     )
 
@@ -470,17 +472,22 @@ def team_game_sequence(
     return running(rows, [frame])
 
 
+# Shooting shares of the curated table under their staged names.
+STAGED_NAMES = {"field_goals": "fg_pct", "three_pointers": "3p_pct", "free_throws": "ft_pct"}
+
+
 def stage_games(raw: DataFrame, ints: Sequence[str], floats: Sequence[str], leaders: Sequence[str]) -> DataFrame:
     """Flat typed games from the nested curated table: rows with a start time, newest ingestion per game.
 
-    ``ints``/``floats`` name fields of the team structs; ``leaders`` the leader structs to carry over.
+    ``ints``/``floats`` name fields of the team structs (shooting shares come out under :data:`STAGED_NAMES`, as the reports
+    need them); ``leaders`` the leader structs to carry over.
     """
     sides: list[Column] = []
     for s in ("home", "away"):
         team = f"{s}_team"
         sides += [F.col(f"{team}.{f}").cast("string").alias(f"{s}_{f}") for f in ("id", "name", "abbreviation", "record")]
         sides += [F.col(f"{team}.{f}").try_cast("int").alias(f"{s}_{f}") for f in ("score", *ints)]
-        sides += [F.col(f"{team}.{f}").try_cast("double").alias(f"{s}_{f}") for f in floats]
+        sides += [F.col(f"{team}.{f}").try_cast("double").alias(f"{s}_{STAGED_NAMES.get(f, f)}") for f in floats]
         sides.append(F.col(f"{team}.linescores").alias(f"{s}_linescores"))
     newest = latest_by(raw.filter(F.col("start_time").isNotNull()), ["game_id"], ["ingestion_timestamp"])
     venue = [F.col("venue.name").alias("venue_name"), F.col("venue.city").alias("venue_city")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.functions.odds import implied_probability
 from matchgrid.operators.windows import latest_by, opening_closing
-from matchgrid.params import SHARP_VIG_CEILING, STEAM_MOVE_CEILING, by_sport, unite
+from matchgrid.params import SHARP_VIG_CEILING, STEAM_MOVE_CEILING, by_sport, of_known_sport, unite
 
 QUOTE = ("game_id", "bookmaker_key", "bookmaker_last_update")
 _CARRIED = ("sport_type", "partition_year", "partition_month", "partition_day", "ingestion_timestamp")
@@ -105,9 +105,9 @@ def odds_movement_fact(movement: DataFrame) -> DataFrame:
     size = F.abs(move)
     return movement.withColumns(
         {
-            "movement_significance": F.when(size <= by_sport("move_minimal"), "Minimal")
-            .when(size <= by_sport("move_moderate"), "Moderate")
-            .otherwise("Significant"),
+            "movement_significance": of_known_sport(
+                F.when(size <= by_sport("move_minimal"), "Minimal").when(size <= by_sport("move_moderate"), "Moderate").otherwise("Significant")
+            ),
             "line_movement_direction": F.when(move > 0, "Line Up").when(move < 0, "Line Down").otherwise("No Movement"),
             "is_steam_move": F.coalesce(
                 (size >= by_sport("sharp_move"))
@@ -153,7 +153,7 @@ def betting_value(
         "closing_home_price",
         "closing_away_price",
         F.round("market_vig", 3).alias("market_vig"),
-        value.alias("value_direction"),
+        of_known_sport(value).alias("value_direction"),
         F.coalesce(sharp, F.lit(False)).alias("is_sharp_move"),
         *_carried(movement),
     )
@@ -171,10 +171,9 @@ def bookmaker_performance(books: DataFrame) -> DataFrame:
         "avg_away_price",
         "home_price_spread",
         "away_price_spread",
-        F.when(spread <= by_sport("spread_tight"), "Tight")
-        .when(spread <= by_sport("spread_moderate"), "Moderate")
-        .otherwise("Wide")
-        .alias("market_spread_category"),
+        of_known_sport(
+            F.when(spread <= by_sport("spread_tight"), "Tight").when(spread <= by_sport("spread_moderate"), "Moderate").otherwise("Wide")
+        ).alias("market_spread_category"),
         F.when(n >= 8, "Highly Competitive")
         .when(n >= 5, "Competitive")
         .otherwise("Limited Competition")

@@ -57,6 +57,11 @@ def by_sport(field: str, sport: str = "sport_type") -> Column:
     return branches
 
 
+def of_known_sport(label: Column, sport: str = "sport_type") -> Column:
+    """``label`` for sports with thresholds, NULL for others."""
+    return F.when(F.col(sport).isin(*SPORTS), label)
+
+
 def with_sport(df: DataFrame, sport: str) -> DataFrame:
     if sport not in SPORTS:
         raise ValueError(f"unknown sport {sport!r}; expected one of {sorted(SPORTS)}")

@@ -73,6 +73,7 @@ def nba_boxscore_rows(docs: DataFrame) -> DataFrame:
     g = F.col("game")
     shared = [
         g["id"].alias("game_id"),
+        g["stage"].alias("stage"),
         g["date"]["start"].alias("date"),
         g["date"]["duration"].alias("duration"),
         g["status"]["long"].alias("status"),
@@ -113,7 +114,10 @@ def nhl_boxscore_rows(docs: DataFrame) -> DataFrame:
     shared = [
         g["id"].alias("game_id"),
         g["date"].alias("date"),
+        *[g[c].alias(c) for c in ("time", "timezone", "week")],
         g["status"]["long"].alias("status"),
+        *[g["league"][c].alias(f"league_{c}") for c in ("id", "name", "type")],
+        *[g["country"][c].alias(f"country_{c}") for c in ("id", "name", "code")],
         g["league"]["season"].alias("season"),
         *[g["periods"][p].alias(f"period_{p}") for p in ("first", "second", "third", "overtime", "penalties")],
     ]
@@ -138,10 +142,12 @@ def football_boxscore_rows(docs: DataFrame) -> DataFrame:
         g["id"].alias("game_id"),
         g["stage"].alias("stage"),
         g["week"].alias("week"),
-        g["date"]["timestamp"].alias("timestamp"),
+        *[g["date"][c].alias(c) for c in ("date", "time", "timezone", "timestamp")],
         g["venue"]["name"].alias("venue_name"),
         g["venue"]["city"].alias("venue_city"),
         g["status"]["short"].alias("status"),
+        g["status"]["long"].alias("status_long"),
+        *[F.col(f"game.league.{c}").alias(f"league_{c}") for c in ("id", "name")],
         F.col("game.league.season").alias("season"),
     ]
 

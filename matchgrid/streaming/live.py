@@ -155,43 +155,34 @@ def _mentions(kind: str) -> Column:
 
 
 def news_sentiment_window(
-    df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay: str = "1 minute", lists: bool = False
+    df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay: str = "1 minute"
 ) -> DataFrame:
-    """Sentiment, article count and entity mentions per source.
-
-    ``lists`` adds the titles as an array; off by default because it grows with the window.
-    """
+    """Sentiment, article count and entity mentions per source; titles stay rows, as an array would grow with the window."""
     aggs = [
         F.avg("sentiment_score").alias("avg_sentiment"),
         F.count("news_id").alias("article_count"),
         _mentions("teams").alias("team_mentions"),
         _mentions("players").alias("player_mentions"),
     ]
-    if lists:
-        aggs.append(F.collect_list("title").alias("article_titles"))
     return _windowed(df, ts, width, delay, ["source"], aggs)
 
 
 def news_relevance_window(
-    df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay: str = "1 minute", lists: bool = False
+    df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay: str = "1 minute"
 ) -> DataFrame:
     """Average relevance and number of highly relevant articles (above 0.8)."""
     aggs = [
         F.avg("relevance_score").alias("avg_relevance"),
         F.count(F.when(F.col("relevance_score") > 0.8, 1)).alias("high_relevance_count"),
     ]
-    if lists:
-        aggs.append(F.collect_list("categories").alias("category_distribution"))
     return _windowed(df, ts, width, delay, [], aggs)
 
 
 def news_entity_window(
-    df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay: str = "1 minute", lists: bool = False
+    df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay: str = "1 minute"
 ) -> DataFrame:
     """Mentions of teams, players and locations over all sources."""
     aggs = [_mentions(k).alias(f"total_{k[:-1]}_mentions") for k in ("teams", "players", "locations")]
-    if lists:
-        aggs += [F.collect_list("entities").alias("entity_mentions"), F.collect_list("related_games").alias("game_connections")]
     return _windowed(df, ts, width, delay, [], aggs)
 
 

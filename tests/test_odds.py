@@ -43,6 +43,14 @@ def test_movement_and_labels(quotes):
     assert (unknown.home_price_movement, unknown.is_steam_move) == (None, False)
 
 
+def test_a_sport_without_thresholds_has_no_labels(spark):
+    rows = spark.createDataFrame([quote("g", "b", 0, -110.0, 150.0, "MLB"), quote("g", "b", 1, -105.0, 140.0, "MLB")], DDL)
+    movement = odds.odds_movement(rows, keep=("home_price", "away_price"))
+    assert {r.movement_significance for r in odds.odds_movement_fact(movement).collect()} == {None}
+    assert {r.value_direction for r in odds.betting_value(movement).collect()} == {None}
+    assert {r.market_spread_category for r in odds.bookmaker_performance(odds.compare_bookmakers(rows)).collect()} == {None}
+
+
 @pytest.mark.parametrize("sport,labels", [("NBA", "Moderate"), ("NFL", "Significant"), ("NHL", "Minimal"), ("CFB", "Significant")])
 def test_thresholds_follow_the_sport(spark, sport, labels):
     rows = [quote("g", "b", 0, 100.0, 100.0, sport), quote("g", "b", 1, 110.0, 100.0, sport)]

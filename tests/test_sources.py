@@ -122,7 +122,7 @@ def test_nesting_and_staging(spark):
     older = nested.withColumn("ingestion_timestamp", F.expr("ingestion_timestamp - interval 1 day")).withColumn("clock", F.lit("old"))
     unstarted = nested.withColumns({"game_id": F.lit("x"), "start_time": F.lit(None).cast("timestamp")})
     staged = game_ops.stage_games(older.unionByName(nested).unionByName(unstarted), ["rebounds"], ["field_goals"], ["home_leaders"]).collect()
-    assert [(r.game_id, r.clock, r.home_score, r.home_rebounds, r.home_field_goals, r.away_score) for r in staged] == [("401", "0:00", 101, 40, 47.1, 99)]
+    assert [(r.game_id, r.clock, r.home_score, r.home_rebounds, r.home_fg_pct, r.away_score) for r in staged] == [("401", "0:00", 101, 40, 47.1, 99)]
     assert quality.violations(nested, quality.first_failure(quality.curated_game_rules()) == "Valid").count() == 0
 
 

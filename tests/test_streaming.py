@@ -72,12 +72,12 @@ def test_news_windows(spark):
     entities = {"teams": ["a", "b"], "players": ["p"], "locations": ["l"]}
     rows = [("n1", "s", "t", 0.8, 0.9, ["c"], entities, ["g"], T0), ("n2", "s2", "t2", None, None, None, None, None, T0)]
     df = spark.createDataFrame(rows, NEWS)
-    one = live.news_sentiment_window(df, lists=True).filter("source = 's'").first()
-    assert (one.avg_sentiment, one.article_count, one.team_mentions, one.player_mentions, one.article_titles) == (0.8, 1, 2, 1, ["t"])
-    rel = live.news_relevance_window(df, lists=True).first()
-    assert (rel.avg_relevance, rel.high_relevance_count, rel.category_distribution) == (0.9, 1, [["c"]])
-    ent = live.news_entity_window(df, lists=True).first()
-    assert (ent.total_team_mentions, ent.total_player_mentions, ent.total_location_mentions, len(ent.entity_mentions), len(ent.game_connections)) == (2, 1, 1, 1, 1)
+    one = live.news_sentiment_window(df).filter("source = 's'").first()
+    assert (one.avg_sentiment, one.article_count, one.team_mentions, one.player_mentions) == (0.8, 1, 2, 1)
+    rel = live.news_relevance_window(df).first()
+    assert (rel.avg_relevance, rel.high_relevance_count) == (0.9, 1)
+    ent = live.news_entity_window(df).first()
+    assert (ent.total_team_mentions, ent.total_player_mentions, ent.total_location_mentions) == (2, 1, 1)
     total = live.news_window_totals(live.news_window(df)).first()
     assert (total.avg_relevance, total.high_relevance_count, total.total_team_mentions) == (0.9, 1, 2)
 

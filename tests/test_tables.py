@@ -84,9 +84,6 @@ def test_reports_build_from_staged_games(spark):
     from matchgrid.operators import leaders
 
     staged = {"NBA": _staged(spark, "/root/testdata/sf0.001", "NBA"), "NHL": _staged(spark, "/root/testdata/sf0.001", "NHL")}
-    staged["NBA"] = staged["NBA"].withColumnsRenamed(
-        {f"{s}_{a}": f"{s}_{b}" for s in ("home", "away") for a, b in (("field_goals", "fg_pct"), ("three_pointers", "3p_pct"), ("free_throws", "ft_pct"))}
-    )
     reports = batch.game_reports(staged)
     assert {"games_fact", "nba_team_trends", "nhl_leader_trends", "dim_dates"} <= set(reports)
     assert reports["games_fact"].count() == sum(df.filter("status_detail not in ('Postponed', 'Canceled')").count() for df in staged.values())
