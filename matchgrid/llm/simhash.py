@@ -300,15 +300,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return fps.join(of_code, "fp").select("id", "fp", "component")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the smallest id (null first), then of a hash of the text.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", grouped=near_copies, **options) -> DataFrame:
+    """``docs`` with one row of each group of near copies as ``grouped`` finds them: that of the smallest id (null first), then of a hash of the text.
 
     Only keys of rows that go, or that occur several times, are joined to the documents; rows that agree in id and text count
     as copies, whatever their other columns hold.
     """
     name, gone, n = (free(c, docs.columns) for c in ("key", "gone", "n"))
     keyed = docs.withColumn(name, F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.hex(F.xxhash64(text_col))))
-    found = near_copies(keyed.select(F.struct(F.col(id_col).alias("own"), F.col(name).alias("key")).alias("id"), F.col(text_col).alias("text")), "id", "text", **options)
+    found = grouped(keyed.select(F.struct(F.col(id_col).alias("own"), F.col(name).alias("key")).alias("id"), F.col(text_col).alias("text")), "id", "text", **options)
     rows = found.groupBy(F.col("id.key").alias(name)).agg(F.max(F.col("id") != F.col("component")).alias(gone), F.count("*").alias(n))
     marked = written(rows.filter(F.col(gone) | (F.col(n) > 1)), "copies")
     # one plan at every size: documents are dealt by key once, whether the list of copies is short or long
