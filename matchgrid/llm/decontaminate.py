@@ -5,8 +5,8 @@ overlaps the next by one window) gets a suffix array: its positions sorted by th
 test item is binary-searched in it; the range of equal prefixes gives all places, and neighbouring hits on one diagonal add
 up to the longest verbatim matches.  Positions whose first words open no test window cannot match and stay out of the array.
 
-Nothing is shuffled: documents are read once and each gives one row.  Test items are sent to the executors in blocks of at
-most ``block_words`` words; further blocks are further passes.
+Test items are sent to the executors in blocks of about ``block_words`` words.  With one block nothing is shuffled; with more,
+each is a pass over the documents, and the passes are put together by a key of the row.
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchgrid.llm import text
-from matchgrid.llm.common import ship, table
+from matchgrid.llm.common import ship, table, written
 from matchgrid.llm.sampling import kept
 
 WINDOW = 10
@@ -180,10 +181,8 @@ SCAN = "id {id}, n_words long, hits array<struct<first: long, words: long>>, ite
 HITS = pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))
 
 
-def _scan(docs: DataFrame, tests: Tests) -> DataFrame:
-    """(id, n_words, hits, items): per document its hit word spans, merged, and the items that occur in it."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(tests)
+def _scan(docs: DataFrame, held: Broadcast) -> DataFrame:
+    """(id, n_words, hits, items): per document its hit word spans, merged, and the items of a block that occur in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = held.value
@@ -231,19 +230,23 @@ def contamination(
 
     Words are runs of digits, letters and characters beyond ASCII, A-Z lower-cased.  An item of fewer words than ``window``
     is one window; null and empty texts have no words and items without words occur nowhere.  ``items`` holds the distinct
-    item ids as sorted strings (a null id is the empty string).  With several blocks of items, ids must be unique.
+    item ids as sorted strings (a null id is the empty string).  Every row of ``docs`` gives one row, whatever its id
+    and however many blocks of items there are.
     """
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    scans = [_scan(base, t) for t in blocks(benchmark, id_col=item_col, text_col=item_text, window=window, block_words=block_words)]
-    if len(scans) < 2:
-        found = scans[0] if scans else _scan(base, Tests.of([], [], window))
+    held = [spark.sparkContext.broadcast(t) for t in blocks(benchmark, id_col=item_col, text_col=item_text, window=window, block_words=block_words)]
+    if len(held) < 2:
+        found = _scan(base, held[0] if held else spark.sparkContext.broadcast(Tests.of([], [], window)))
         return found.select("id", "n_words", F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["words"]).alias("n_hit"), "items")
-    every = scans[0]
-    for more in scans[1:]:
-        every = every.unionByName(more)
+    # ids may be null or repeated, so each row has a key of its own, which the written table keeps for all passes
+    keyed = written(base.select(F.struct(F.monotonically_increasing_id().alias("key"), "id").alias("id"), "text"), "keyed")
+    every = _scan(keyed, held[0])
+    for more in held[1:]:
+        every = every.unionByName(_scan(keyed, more).filter(F.size("items") > 0))
     # spans of several passes are put together per document: sorted, then each adds what lies beyond the ones before
-    one = every.groupBy("id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    one = every.groupBy("id.key").agg(F.first("id.id").alias("id"), F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("hits"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     start = F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("end"))
     total = F.aggregate(
         "hits", start, lambda a, h: F.struct((a["hit"] + F.greatest(F.lit(0), h["first"] + h["words"] - F.greatest(a["end"], h["first"]))).alias("hit"), F.greatest(a["end"], h["first"] + h["words"]).alias("end"))

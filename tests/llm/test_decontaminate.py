@@ -60,6 +60,17 @@ def test_hits(spark, block_words):
     assert found(dc.contamination(df, bench, block_words=block_words)) == plain(docs, items)
 
 
+@pytest.mark.parametrize("block_words", [2_000_000, 25])
+def test_every_row_comes_out(spark, block_words):
+    """Repeated ids with the same and other texts and null ids, with one block of items and with many."""
+    docs, items = cases(3)
+    docs = docs + [(7, docs[30][1]), (7, docs[31][1])] + [(None, b) for _, b in docs[5:20]] + [(None, None), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id int, text string")
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    got = found(dc.contamination(df, bench, block_words=block_words))
+    assert len(got) == len(docs) and got == plain(docs, items)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
