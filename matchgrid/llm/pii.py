@@ -83,6 +83,7 @@ def base_spans(text: str) -> list[Span]:
 
 # ---- proposals
 
+GROUP = re.compile(r"[0-9]+")
 NUMBER = re.compile(r"[(]?[0-9][0-9 ().\-/]*[0-9]")
 COLONS = re.compile(r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}")
 AT_WORDS = ("(at)", "[at]", " at ", " AT ")
@@ -92,13 +93,22 @@ SPELLED = re.compile(r"\s?[A-Za-z0-9-]+(?:(?: dot | DOT |\s?\(dot\)\s?|\s?\[dot\
 def proposals(text: str) -> Iterator[Span]:
     """Overlapping spans that may be personal data."""
     for m in NUMBER.finditer(text):
-        n = sum("0" <= c <= "9" for c in m[0]) if m.end() - m.start() < 64 else 0
-        if 12 <= n <= 19:
-            yield 2, m.start(), m.end()
-        if 7 <= n <= 15:
-            yield 3, m.start(), m.end()
-        if 4 <= n <= 12 and m[0].count(".") == 3:
-            yield 1, m.start(), m.end()
+        groups = [(g.start(), g.end()) for g in GROUP.finditer(text, m.start(), m.end())]
+        # neighbouring numbers make one run, so every span of whole groups with up to 19 digits is tried
+        for i, (start, _) in enumerate(groups):
+            start -= start > m.start() and text[start - 1] == "("
+            n = 0
+            for j in range(i, len(groups)):
+                begin, end = groups[j]
+                n += end - begin
+                if n > 19:
+                    break
+                if n >= 12:
+                    yield 2, start, end
+                if 7 <= n <= 15:
+                    yield 3, start, end
+                if j - i >= 3 and 4 <= n <= 12 and text.count(".", start, end) == 3:
+                    yield 1, start, end
     if text.count(":") >= 3:
         for m in COLONS.finditer(text):
             yield 1, m.start(), m.end()
@@ -124,6 +134,7 @@ CUES = (
 )
 OTHER_CUES = ("version", "order", "ref", "isbn", "hash", "token", "key", "password", "page", "date", "serial")
 FEATURES = 24
+CHUNK = 1 << 14
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
@@ -269,11 +280,19 @@ class Model:
     limits: list[float] = field(default_factory=lambda: [2.0] * len(KINDS))
 
     def added(self, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
-        """For each text the proposals that pass their kind's threshold, without overlaps, the surest first."""
+        """For each text the proposals that pass their kind's threshold, without overlaps, the surest and then the longest first."""
         out: list[list[Span]] = [[] for _ in texts]
         if self.trees is None:
             return out
-        rows, spans = [], []
+        rows, spans, passed = [], [], []
+
+        def score() -> None:
+            for (k, span), s in zip(spans, self.trees.score(np.array(rows, float)).tolist()):
+                if s >= self.limits[span[0]]:
+                    passed.append((-s, span[1] - span[2], k, span))
+            rows.clear()
+            spans.clear()
+
         for k, text in enumerate(texts):
             taken = sorted((s, e) for _, s, e in base[k])
             ends = [e for _, e in taken]
@@ -285,18 +304,17 @@ class Model:
                     continue
                 spans.append((k, span))
                 rows.append(features(text, *span))
-        if not rows:
-            return out
-        score = self.trees.score(np.array(rows, float))
-        chosen: list[dict[int, int]] = [{} for _ in texts]
-        for at in np.lexsort((np.arange(len(score)), -score)).tolist():
-            k, span = spans[at]
-            if score[at] < self.limits[span[0]]:
-                continue
-            # proposals are short, so a look at the places they cover is enough
-            if any(p in chosen[k] for p in range(span[1], span[2])):
+                if len(rows) == CHUNK:
+                    score()
+        if rows:
+            score()
+        chosen: list[list[tuple[int, int]]] = [[] for _ in texts]
+        for _, _, k, span in sorted(passed):
+            own = span[1:]
+            at = bisect_left(chosen[k], own)
+            if (at and chosen[k][at - 1][1] > own[0]) or (at < len(chosen[k]) and chosen[k][at][0] < own[1]):
                 continue
-            chosen[k].update(dict.fromkeys(range(span[1], span[2]), 1))
+            chosen[k].insert(at, own)
             out[k].append(span)
         return out
 

@@ -52,6 +52,29 @@ def test_long_runs_are_quick():
         list(pii.proposals(text))
 
 
+def test_neighbouring_numbers_are_proposed():
+    def of(text, kind):
+        return {text[s:e] for k, s, e in pii.proposals(text) if k == kind}
+
+    assert {"7536784127813050", "4845168114407329"} <= of("7536784127813050 4845168114407329", 2)
+    phones = [f"({200 + k}) 555-{1000 + k}" for k in range(30)]
+    for mark in (" ", "-", " / "):
+        assert set(phones) <= of("call " + mark.join(phones), 3)
+    assert {"10.0.0.1", "10.0.0.2"} <= of("10.0.0.1 10.0.0.2", 1)
+
+
+def test_many_proposals_are_scored_in_parts(monkeypatch):
+    texts = ["853 555 6478 " * 50, "", "1 " * 300, "7536784127813050 4845168114407329"]
+    rows = np.array([pii.features(t, *p) for t in texts for p in pii.proposals(t)], float)
+    model = pii.Model(pii.boost(rows, (rows[:, 2] % 10 == 0).astype(int), np.ones(len(rows)), rounds=5), [0.3] * 4)
+    whole = model.added(texts, [[] for _ in texts])
+    monkeypatch.setattr(pii, "CHUNK", 7)
+    assert model.added(texts, [[] for _ in texts]) == whole and any(whole)
+    for spans in whole:
+        ordered = sorted((s, e) for _, s, e in spans)
+        assert all(a[1] <= b[0] for a, b in zip(ordered, ordered[1:]))
+
+
 def test_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 5))
