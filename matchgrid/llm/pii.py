@@ -5,12 +5,15 @@ other separators or no plus sign, spelled-out addresses, colon-separated address
 score the proposals; a threshold per kind, calibrated on held-out proposals, selects what is added.
 
 The trees learn from the corpus itself: validated base spans and rewritten copies of them in their own context are examples,
-matches that fail validation, damaged copies and other numbers of the corpus are counterexamples.
+matches that fail validation, damaged copies, parts of examples and what surely is nothing (a date, a number without the card's
+check digit, a piece of a longer word) are counterexamples.  Other proposals of the corpus may be real, so they are not
+learned from.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -133,10 +136,17 @@ CUES = (
     ("phone", "tel", "call", "mobile", "fax", "telefon", "fono", "appel"),
 )
 OTHER_CUES = ("version", "order", "ref", "isbn", "hash", "token", "key", "password", "page", "date", "serial")
-FEATURES = 24
+FEATURES = 25
 CHUNK = 1 << 14
 
 
+def _six(value: str) -> bool:
+    try:
+        return value.count(":") > 1 and bool(ipaddress.IPv6Address(value))
+    except ValueError:
+        return False
+
+
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
     value = text[start:end]
     digits = _digits(value)
@@ -172,6 +182,7 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
         any(w in near for w in OTHER_CUES),
         "(" in value or "[" in value,
         value.count("/") + value.count(":"),
+        _six(value),
     ]
 
 
@@ -231,47 +242,116 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 40, de
 # ---- learning
 
 
+DATE = re.compile(r"(?:19|20)[0-9]{2}([-/. ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/. ])[0-9]{1,2}\2(?:19|20)[0-9]{2}")
+
+Example = tuple[list[float], int, bool]  # features, label, whether the generators propose the span
+
+
 def _rewritten(text: str, kind: int, start: int, end: int, draw: int) -> Iterator[tuple[str, int, int, int]]:
-    """Copies of a span in its context: (text, end of the span in it, label 0 or 1, start); ``draw`` picks the form."""
+    """Copies of a span in its context: (text, end of the span in it, label 0 or 1, start); ``draw`` varies the forms."""
     value, head, tail = text[start:end], text[max(0, start - 60) : start], text[end : end + 20]
     digits = _digits(value)
     good: list[str] = []
     bad: list[str] = []
+    column: list[str] = []  # forms that also stand between others of their kind
     if kind == 0:
         local, domain = value.split("@", 1)
         good = [f"{local} at {domain.replace('.', ' dot ')}", f"{local}(at){domain}", f"{local}[at]{domain.replace('.', '[dot]')}"]
-        bad = [f"{re.sub('[^A-Za-z]', '', local) or 'x'} at {re.sub('[^a-z]', '', domain) or 'x'}"]
+        ends = domain.split(".")[-2:]
+        good += [f"{local}[at]{'[dot]'.join(ends)}", f"{local} at {' dot '.join(ends)}"]
+        plain = re.sub("[^A-Za-z]", "", local) or "x", re.sub("[^a-z]", "", domain) or "x"
+        bad = [f"{plain[0]} at {plain[1]}", f"{plain[0]} at {plain[1]}.The"]
     elif kind == 1:
         parts = value.split(".")
+        groups = [f"{draw * (k + 3) * 2654435761 >> 7 & 0xFFFF:x}" for k in range(6)]
+        good = [":".join(["2001", "db8", *groups]), f"2001:db8:{groups[0]}::{groups[1]}", f"fe80::{':'.join(groups[:4])}"]
         bad = [".".join([str(int(parts[0]) % 256 + 256), *parts[1:]]), ".".join(parts[:3])]
+        bad += [":".join(f"{int(g, 16) % 256:02x}" for g in groups), f"{draw % 24:02d}:{draw % 60:02d}:{draw // 7 % 60:02d}:{draw // 11 % 60:02d}"]
     elif kind == 2:
-        good = [".".join(digits[i : i + 4] for i in range(0, len(digits), 4)), "/".join(digits[i : i + 4] for i in range(0, len(digits), 4))]
+        own = _card(digits, draw)
+        quads = [own[i : i + 4] for i in range(0, len(own), 4)]
+        good = [".".join(quads), "/".join(quads), " - ".join(quads)]
+        column = [own, " ".join(quads), "-".join(quads)]
         wrong = digits[:-1] + str((int(digits[-1]) + 1 + draw % 8) % 10)
-        bad = [wrong, " ".join(wrong[i : i + 4] for i in range(0, len(wrong), 4)), wrong + "7" * 3]
+        bad = [w for w in (wrong, " ".join(wrong[i : i + 4] for i in range(0, len(wrong), 4)), wrong + "7" * 3) if not luhn(w.replace(" ", ""))]
     else:
-        good = [value[1:], value[1:].replace("(", "").replace(")", ""), value.split(" ", 1)[-1] if " " in value else value[1:]]
-        bad = [digits[:8], f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}", digits[:5] + "." + digits[5:9]]
-    for label, forms in ((1, good), (0, bad)):
-        if forms:
-            form = forms[draw % len(forms)]
+        bare = value[1:].replace("(", "").replace(")", "")
+        short = value.split(" ", 1)[-1] if " " in value else value[1:]
+        flat = short.replace("(", "").replace(")", "")
+        good = [value[1:], bare, bare.replace(" ", "-")]
+        column = [short, flat, re.sub("[ -]", ("-", ".", " ")[draw % 3], flat)]
+        day = f"{draw % 28 + 1:02d}", f"{draw % 12 + 1:02d}", f"20{draw % 30:02d}"
+        bad = [digits[:8], f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}", digits[:5] + "." + digits[5:9], "-".join(day[::-1]), f"{'.'.join(day)} {'/'.join(day)}"]
+    for label, forms in ((1, good + column), (0, bad)):
+        for form in forms:
             yield head + form + tail, len(head) + len(form), label, len(head)
+    if kind == 3:
+        before = f"{head}{OTHER_CUES[draw % len(OTHER_CUES)]} "
+        for form in (column[2], f"{digits[:3]}-{digits[3:4]}-{digits[4:6]}-{digits[6:9]}-{digits[-1]}"):
+            yield before + form + tail, len(before) + len(form), 0, len(before)
+    for k, form in enumerate(column):
+        # a neighbour of the same form on either side
+        other = _card(_digits(form), draw + k + 1) if kind == 2 else form[::-1].translate(str.maketrans("()", ")("))
+        if kind == 2 and len(form) > len(other):
+            other = form[4].join(other[i : i + 4] for i in range(0, len(other), 4))
+        between = (" ", " / ", "\n")[(draw + k) % 3]
+        before = head + other + between
+        yield before + form + between + other + tail, len(before) + len(form), 1, len(before)
+
+
+def _card(digits: str, draw: int) -> str:
+    """Another number of as many digits that has a card's check digit."""
+    body = digits[:1] + "".join(str((int(d) + (draw >> k % 24)) % 10) for k, d in enumerate(digits[1:-1]))
+    return next(body + str(d) for d in range(10) if luhn(body + str(d)))
+
+
+def _surely_none(text: str, kind: int, start: int, end: int) -> bool:
+    """Whether a proposal cannot be personal data of its kind."""
+    value, before, after = text[start:end], text[start - 1 : start], text[end : end + 1]
+    if kind == 0:
+        last = re.findall("[A-Za-z0-9-]+", value)[-1]
+        return not (last.isalpha() and len(last) > 1)
+    if before.isalnum() or before in ("_", "#") or after.isalnum() or after == "_":
+        return True
+    digits = _digits(value)
+    if kind == 1:
+        return not _six(value) if ":" in value else not all(p.isdigit() and _small(p) for p in value.split("."))
+    if kind == 2:
+        return not (13 <= len(digits) <= 19 and luhn(digits))
+    return bool(DATE.fullmatch(value))
 
 
-def examples(text: str) -> Iterator[tuple[list[float], int]]:
-    """Feature rows and labels that one text of the sample gives."""
+def examples(text: str) -> Iterator[Example]:
+    """Feature rows, labels and whether such a span comes up for decision, that one text of the sample gives."""
     base = list(base_matches(text))
     taken = [(s, e) for _, s, e, valid in base if valid]
+    natural = list(proposals(text))
+    proposed = set(natural)
     for kind, start, end, valid in base:
-        yield features(text, kind, start, end), int(valid)
+        # valid base spans are taken anyway, so they are learned from but set no threshold
+        yield features(text, kind, start, end), int(valid), not valid and (kind, start, end) in proposed
         if valid:
             draw = int.from_bytes(hashlib.md5(text[start:end].encode()).digest()[:4], "little")
             for other, stop, label, begin in _rewritten(text, kind, start, end, draw):
-                yield features(other, kind, begin, stop), label
+                near = list(proposals(other))
+                yield features(other, kind, begin, stop), label, (kind, begin, stop) in near
+                # of a number, parts of up to two thirds of the digits (longer ones may be another form of it) and spans that
+                # reach into a neighbour; of what is none, any part
+                most = len(_digits(other[begin:stop])) * (2 if label else 3) // 3
+                inside = [p for p in near if p[0] and begin <= p[1] and p[2] <= stop and p[1:] != (begin, stop) and len(_digits(other[p[1] : p[2]])) <= most]
+                across = [p for p in near if p[0] and (p[1] < begin < p[2] or p[1] < stop < p[2]) and label]
+                for some in (inside, across) if kind > 1 else ():
+                    for k, s, e in {some[draw // n % len(some)] for n in (1, 7, 49)} if label and some else some:
+                        if k != 2 or not luhn(_digits(other[s:e])):
+                            yield features(other, k, s, e), 0, True
             # a span inside a longer word or number is none
-            yield features(f"{text[max(0, start - 30) : start]}x{draw % 977}{text[start:end]}{draw % 89}z", kind, min(start, 30) + 1 + len(str(draw % 977)), min(start, 30) + 1 + len(str(draw % 977)) + end - start), 0
-    for kind, start, end in proposals(text):
-        if not any(s < end and start < e for s, e in taken):
-            yield features(text, kind, start, end), 0
+            yield features(f"{text[max(0, start - 30) : start]}x{draw % 977}{text[start:end]}{draw % 89}z", kind, min(start, 30) + 1 + len(str(draw % 977)), min(start, 30) + 1 + len(str(draw % 977)) + end - start), 0, False
+    reach = sorted(taken)
+    ends = np.maximum.accumulate([e for _, e in reach]).tolist() if reach else []
+    for kind, start, end in natural:
+        before = bisect_left(reach, (end, 0))
+        if not (before and ends[before - 1] > start) and _surely_none(text, kind, start, end):
+            yield features(text, kind, start, end), 0, True
 
 
 @dataclass
@@ -324,24 +404,27 @@ class Model:
         return base, [sorted(b + a) for b, a in zip(base, self.added(texts, base))]
 
 
-def learn(rows: list[tuple[list[float], int]], precision: float = 0.98, least: int = 10) -> Model:
-    """Trees on two thirds of the examples; on the rest each kind's threshold, the lowest from one half at which the share
-    ``precision`` of what passes is right.  A kind without ``least`` held-out examples that pass adds nothing."""
-    if not rows or len({y for _, y in rows}) < 2:
+def learn(rows: list[Example], precision: float = 0.98, least: int = 10) -> Model:
+    """Trees on two thirds of the examples; on the proposals among the rest each kind's threshold, the lowest from one half at
+    which the share ``precision`` of what passes is right.  A kind without ``least`` held-out examples that pass adds nothing."""
+    if not rows or len({r[1] for r in rows}) < 2:
         return Model()
-    x, y = np.array([r for r, _ in rows], float), np.array([label for _, label in rows])
+    x, y, asked = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows]), np.array([r[2] for r in rows], bool)
     held = np.array([int(hashlib.md5(r.tobytes()).hexdigest(), 16) % 3 == 0 for r in x])
     if len(set(y[~held].tolist())) < 2:
         return Model()
     weight = np.where(y == 1, 1 / max(1, (y[~held] == 1).sum()), 1 / max(1, (y[~held] == 0).sum()))
     trees = boost(x[~held], y[~held], weight[~held] / weight[~held].mean())
+    held &= asked
     score, limits = trees.score(x[held]), []
     for kind in range(len(KINDS)):
         own = x[held][:, 0] == kind
         order = np.argsort(-score[own])
         right = np.cumsum(y[held][own][order])
         good = np.flatnonzero((right >= precision * np.arange(1, len(order) + 1)) & (score[own][order] >= 0.5) & (np.arange(1, len(order) + 1) >= least))
-        limits.append(float(score[own][order][good[-1]]) if len(good) else 2.0)
+        # half-way to the next score below, as every limit between the two lets the same held-out proposals pass
+        below = np.append(score[own][order], 0.0)
+        limits.append(max(0.5, float(below[good[-1]] + below[good[-1] + 1]) / 2) if len(good) else 2.0)
     return Model(trees, limits)
 
 
@@ -358,12 +441,12 @@ def fit(docs: DataFrame, rows: int = 3000, longest: int = 1 << 16, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [e for t in batch.column(1).to_pylist() for e in examples(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([np.array(r, float).tobytes() for r, _ in found], pa.binary()), pa.array([y for _, y in found], pa.int32())], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array([np.array(r[0], float).tobytes() for r in found], pa.binary()), pa.array([r[1] for r in found], pa.int32()), pa.array([r[2] for r in found], pa.bool_())], names=["x", "y", "asked"])
 
     # distinct: copies of a document would count their spans again, and may be many
-    found = kept.mapInArrow(run, "x binary, y int").distinct().orderBy(F.xxhash64("x"), "x", "y").limit(20 * rows).collect()
-    own = sorted((bytes(r["x"]), r["y"]) for r in found)
-    return learn([(np.frombuffer(x).tolist(), y) for x, y in own])
+    found = kept.mapInArrow(run, "x binary, y int, asked boolean").distinct().orderBy(F.xxhash64("x"), "x", "y", "asked").limit(20 * rows).collect()
+    own = sorted((bytes(r["x"]), r["y"], r["asked"]) for r in found)
+    return learn([(np.frombuffer(x).tolist(), y, asked) for x, y, asked in own])
 
 
 # ---- results
