@@ -31,9 +31,7 @@ def _football_trends(spark, sf):
     return present(ops.football_leader_trends(leaders(spark, sf, "FOOTBALL"), LEADER_ORDER, rank_store=scratch(spark, "ranks")))
 
 
-def _blocked_running(spark, sf):
-    """Running totals with the hot-key path forced on: every supplier counts as hot and is cut by month."""
-    rows = leaders(spark, sf, "NBA")
+def _running(spark, sf, rows):
     metrics = {
         "total": Running("sum", "stat_value"),
         "best": Running("max", "stat_value"),
@@ -41,11 +39,16 @@ def _blocked_running(spark, sf):
         "mean_of_5": Running("avg", "stat_value", last=5),
         "games": Running("count"),
     }
-    frame = Frame(["player_name"], LEADER_ORDER, metrics, F.date_trunc("month", "start_time"))
-    out = running(rows, [frame])
+    out = running(rows, [Frame(["player_name"], LEADER_ORDER, metrics)])
     return present(out.drop("sport_type", "team_id", "leader_type", "partition_year"))
 
 
+def _hot_running(spark, sf):
+    """Running totals of a player who holds half of all rows, cut and dealt over the tasks, and of all others."""
+    hot = F.when(F.col("line") < 4, F.lit("everyone")).otherwise(F.col("player_name"))
+    return _running(spark, sf, leaders(spark, sf, "NBA").withColumn("player_name", hot))
+
+
 def _latest_leader(spark, sf):
     rows = leaders(spark, sf, "NBA").drop("sport_type", "partition_year")
     return present(latest_by(rows, ["player_name", "leader_type"], LEADER_ORDER))
@@ -73,7 +76,8 @@ QUERIES = {
     "nba_leader_trends": lambda s, sf: present(ops.nba_leader_trends(leaders(s, sf, "NBA"), LEADER_ORDER, rank_store=scratch(s, "ranks"))),
     "nhl_leader_trends": lambda s, sf: present(ops.nhl_leader_trends(leaders(s, sf, "NHL"), LEADER_ORDER, rank_store=scratch(s, "ranks"))),
     "football_leader_trends": _football_trends,
-    "running_over_hot_keys": _blocked_running,
+    "running_over_hot_keys": lambda s, sf: _running(s, sf, leaders(s, sf, "NBA")),
+    "running_over_one_hot_key": _hot_running,
     "latest_by_key": _latest_leader,
     "latest_values": _latest_values,
     "percent_rank": _price_rank,
@@ -90,6 +94,10 @@ _FLAG = """CASE WHEN (leader_type = 'POINTS' AND stat_value >= 30) OR (leader_ty
     OR (leader_type = 'ASSISTS' AND stat_value >= 10) THEN 1 ELSE 0 END"""
 _MARK = """CASE WHEN leader_type = 'GOALS' AND stat_value >= 3 THEN 'Hat Trick' WHEN leader_type = 'GOALS' AND stat_value = 2 THEN 'Brace'
     WHEN leader_type = 'POINTS' AND stat_value >= 4 THEN 'Four Point Night' ELSE 'Regular Performance' END"""
+_RUNNING = """SELECT game_id, player_name, stat_value, line, part, start_time, sum(stat_value) OVER w AS total, max(stat_value) OVER w AS best,
+  round(avg(stat_value) OVER w, 6) AS mean, count(*) OVER w AS games,
+  round(avg(stat_value) OVER (PARTITION BY player_name ORDER BY start_time, game_id, line, part ROWS 4 PRECEDING), 6) AS mean_of_5
+FROM leaders WINDOW w AS (PARTITION BY player_name ORDER BY start_time, game_id, line, part ROWS UNBOUNDED PRECEDING)"""
 _MILE = """CASE WHEN leader_type = 'PASSING' THEN stat_value >= 300 ELSE stat_value >= 100 END"""
 
 
@@ -110,11 +118,9 @@ SELECT *, {_FORM}, {_COMMON}, count(*) FILTER (performance_milestone = 'Hat Tric
 SELECT *, {_FORM}, max(stat_value) OVER (PARTITION BY player_name, leader_type, partition_year) AS season_high,
   sum(milestone_achievement) OVER (PARTITION BY player_name, leader_type, partition_year ORDER BY game_id) AS season_milestones,
   round(percent_rank() OVER (PARTITION BY leader_type, sport_type, partition_year ORDER BY stat_value), 6) AS performance_percentile FROM f""",
-    "running_over_hot_keys": f"""WITH {lineitem_leaders_sql('NBA')}
-SELECT game_id, player_name, stat_value, line, part, start_time, sum(stat_value) OVER w AS total, max(stat_value) OVER w AS best,
-  round(avg(stat_value) OVER w, 6) AS mean, count(*) OVER w AS games,
-  round(avg(stat_value) OVER (PARTITION BY player_name ORDER BY start_time, game_id, line, part ROWS 4 PRECEDING), 6) AS mean_of_5
-FROM leaders WINDOW w AS (PARTITION BY player_name ORDER BY start_time, game_id, line, part ROWS UNBOUNDED PRECEDING)""",
+    "running_over_hot_keys": f"WITH {lineitem_leaders_sql('NBA')} {_RUNNING}",
+    "running_over_one_hot_key": f"""WITH {lineitem_leaders_sql('NBA').replace("leaders AS", "l AS")},
+leaders AS (SELECT * REPLACE (CASE WHEN line < 4 THEN 'everyone' ELSE player_name END AS player_name) FROM l) {_RUNNING}""",
     "latest_by_key": f"""WITH {lineitem_leaders_sql('NBA')} SELECT * EXCLUDE (sport_type, partition_year) FROM leaders QUALIFY row_number() OVER (
   PARTITION BY player_name, leader_type ORDER BY start_time DESC, game_id DESC, line DESC, part DESC) = 1""",
     "latest_values": f"""WITH {lineitem_leaders_sql('NBA')} SELECT team_id, player_name AS player, stat_value AS value FROM leaders

@@ -53,7 +53,7 @@ def _dim_markets_in_points(spark, sf):
 def _price_versions(spark, sf):
     q = odds(spark, sf).withColumn("band", F.floor(F.abs("home_price") / 50))
     return present(
-        history.scd2(q, ["game_id", "bookmaker_key"], "bookmaker_last_update", ["band"], block=F.to_date("bookmaker_last_update"))
+        history.scd2(q, ["game_id", "bookmaker_key"], "bookmaker_last_update", ["band"])
     )
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchgrid.operators.windows import day_of, neighbor
+from matchgrid.operators.windows import neighbor
 
 
 def changes(
@@ -15,17 +15,14 @@ def changes(
     keys: Sequence[str],
     order: Sequence[str],
     tracked: Sequence[str],
-    block: Column | None = None,
 ) -> DataFrame:
     """Rows that differ in a tracked column from their key's previous row (the first row always counts).
 
-    ``change_type`` is INSERT or UPDATE.  Keys are cut at ``block`` (by default the day of the first ``order`` column, which
-    must then be a date or timestamp).
+    ``change_type`` is INSERT or UPDATE.
     """
-    cut = day_of(df, order[0]) if block is None else block
     previous = F.col("_previous")
     return (
-        neighbor(df, keys, order, tracked, "_previous", cut)
+        neighbor(df, keys, order, tracked, "_previous")
         .filter(previous.isNull() | ~previous.eqNullSafe(F.struct(*tracked)))
         .withColumn("change_type", F.when(previous.isNull(), "INSERT").otherwise("UPDATE"))
         .drop("_previous")
@@ -38,12 +35,10 @@ def scd2(
     ts: str,
     tracked: Sequence[str],
     order: Sequence[str] = (),
-    block: Column | None = None,
 ) -> DataFrame:
     """Versions of each key: ``valid_from``, ``valid_to`` (NULL while current) and ``is_current``."""
-    cut = day_of(df, ts) if block is None else block
-    versions = changes(df, keys, [ts, *order], tracked, cut)
-    ahead = neighbor(versions, keys, [ts, *order], [ts], "_next", cut, following=True)
+    versions = changes(df, keys, [ts, *order], tracked)
+    ahead = neighbor(versions, keys, [ts, *order], [ts], "_next", following=True)
     until = F.col(f"_next.{ts}")
     return ahead.select(
         *keys, *tracked, F.col(ts).alias("valid_from"), until.alias("valid_to"), until.isNull().alias("is_current")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchgrid.operators.windows import Frame, Running, attach_ranks, day_of, percent_ranks, running
+from matchgrid.operators.windows import Frame, Running, attach_ranks, percent_ranks, running
 from matchgrid.params import FOOTBALL_MILESTONES, NBA_EXCEPTIONAL, unite
 
 NBA_LEADERS = ("points", "rebounds", "assists", "rating")
@@ -67,21 +67,15 @@ def _form(**more: Running) -> dict[str, Running]:
     }
 
 
-def _block(df: DataFrame, order: Sequence[str], block: Column | None) -> Column:
-    return day_of(df, order[0]) if block is None else block
-
-
 def nba_leader_trends(
     leaders: DataFrame,
     order: Sequence[str] = GAME_ORDER,
-    block: Column | None = None,
     rank_store: str | None = None,
 ) -> DataFrame:
     """Form of basketball leaders with season high and exceptional games.
 
-    ``order`` must be a total order of a player's games, oldest first; ``block`` cuts each player's
-    history (by default at days of the first ``order`` column).  ``rank_store`` is a
-    folder for the table of ranks (see ``windows.attach_ranks``).
+    ``order`` must be a total order of a player's games, oldest first.  ``rank_store`` is a folder for the table of
+    ranks (see ``windows.attach_ranks``).
     """
     flagged = leaders.withColumn("exceptional_performance", _thresholds(NBA_EXCEPTIONAL))
     metrics = _form(
@@ -89,7 +83,7 @@ def nba_leader_trends(
         games_as_leader=Running("count"),
         total_exceptional_games=Running("sum", "exceptional_performance"),
     )
-    trends = running(flagged, [Frame(PLAYER, order, metrics, _block(leaders, order, block))])
+    trends = running(flagged, [Frame(PLAYER, order, metrics)])
     ranks = percent_ranks(leaders, ["leader_type"], "stat_value", "performance_percentile")
     return attach_ranks(trends, ranks, ["leader_type", "stat_value"], rank_store)
 
@@ -97,7 +91,6 @@ def nba_leader_trends(
 def nhl_leader_trends(
     leaders: DataFrame,
     order: Sequence[str] = GAME_ORDER,
-    block: Column | None = None,
     rank_store: str | None = None,
 ) -> DataFrame:
     """Form of hockey leaders with milestone labels; hat tricks are counted per player over all leader types."""
@@ -110,11 +103,10 @@ def nhl_leader_trends(
     )
     hat_trick = F.when(F.col("performance_milestone") == "Hat Trick", 1).otherwise(0)
     labelled = leaders.withColumn("performance_milestone", milestone).withColumn("_hat", hat_trick)
-    cut = _block(leaders, order, block)
     metrics = _form(season_high=Running("max", "stat_value"), games_as_leader=Running("count"))
     frames = [
-        Frame(["player_name"], [*order, "leader_type"], {"total_hat_tricks": Running("sum", "_hat")}, cut),
-        Frame(PLAYER, order, metrics, cut),
+        Frame(["player_name"], [*order, "leader_type"], {"total_hat_tricks": Running("sum", "_hat")}),
+        Frame(PLAYER, order, metrics),
     ]
     trends = running(labelled, frames).drop("_hat")
     ranks = percent_ranks(leaders, ["leader_type"], "stat_value", "performance_percentile")
@@ -125,8 +117,6 @@ def football_leader_trends(
     leaders: DataFrame | Mapping[str, DataFrame],
     order: Sequence[str] = GAME_ORDER,
     peers: str = "game_id",
-    block: Column | None = None,
-    peer_block: Column | None = None,
     rank_store: str | None = None,
 ) -> DataFrame:
     """Form of football leaders with yearly highs and cumulative yearly milestones.
@@ -141,8 +131,8 @@ def football_leader_trends(
         "season_milestones": Running("sum", "milestone_achievement", peers=True),
     }
     frames = [
-        Frame(player, order, _form(), _block(df, order, block)),
-        Frame([*player, "partition_year"], [peers], season, F.col(peers) if peer_block is None else peer_block),
+        Frame(player, order, _form()),
+        Frame([*player, "partition_year"], [peers], season),
     ]
     trends = running(flagged, frames)
     ranked = ["leader_type", "sport_type", "partition_year"]

@@ -86,141 +86,218 @@ class Running:
 
 @dataclass(frozen=True)
 class Frame:
-    """Metrics over the rows of ``keys`` in a total ``order``.
-
-    ``block`` is a deterministic expression that never decreases along ``order`` (a day, a range of ids); every
-    key is cut there, whatever its size.
-    """
+    """Metrics over the rows of ``keys`` in a total ``order`` (ties are allowed for ``peers`` and ``whole``)."""
 
     keys: Sequence[str]
     order: Sequence[str]
     metrics: Mapping[str, Running]
-    block: Column
 
 
-def _blocked(df: DataFrame, frame: Frame) -> DataFrame:
-    """The same metrics with every key cut into ordered blocks that are windowed independently.
+#: Rows looked at for each shuffle partition to find hot keys, and blocks of a hot key for each partition that it would fill.
+SAMPLED, BLOCKS = 64, 4
+#: Longer lists of bounds are searched in two steps.
+STEP = 32
+
 
-    Each block's totals are prefix-summed per key (one row per block) and added to the rows of the block.  A
-    trailing average also needs the last rows of earlier blocks; only the first rows of a block look at them.
+@dataclass(frozen=True)
+class Cuts:
+    """Bounds in the order of the keys that are too large for one task, by a hash of the key; no bounds for all others."""
+
+    keys: Sequence[str]
+    order: Sequence[Column]
+    bounds: Mapping[int, Sequence[Sequence[Column]]]
+    large: bool = False
+
+    def __bool__(self) -> bool:
+        return bool(self.bounds)
+
+    def hot(self) -> Column:
+        return F.xxhash64(*self.keys).isin(list(self.bounds))
+
+    def block(self) -> Column:
+        """How many bounds of its key a row has reached; it never decreases along the order, and 0 for all but hot keys."""
+        names = [f"c{i}" for i in range(len(self.order))]
+        here, key, out = F.struct(*[c.alias(n) for c, n in zip(self.order, names)]), F.xxhash64(*self.keys), None
+        for own, bounds in self.bounds.items():
+            all_ = [F.struct(*[c.alias(n) for c, n in zip(b, names)]) for b in bounds]
+            coarse = all_[STEP - 1 :: STEP]
+            reached = F.size(F.filter(F.array(*coarse), lambda b: b <= here)) * STEP if coarse else F.lit(0)
+            near = F.slice(F.array(*all_), reached + 1, STEP) if coarse else F.array(*all_)
+            at = reached + F.size(F.filter(near, lambda b: b <= here))
+            out = F.when(key == own, at) if out is None else out.when(key == own, at)
+        return F.lit(0) if out is None else out.otherwise(0)
+
+
+def cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], total: int | None = None) -> Cuts:
+    """Where to cut keys that hold more rows than one of the shuffle partitions should.
+
+    Looks at about ``SAMPLED`` rows for each partition, chosen by a hash of key and order.  A key with more than a
+    partition's share is cut at quantiles of its own order, so there are at most ``BLOCKS + 1`` blocks of hot keys for each
+    partition, whatever the data.  The cuts decide only where rows lie, never what comes out.
     """
-    keys, metrics = list(frame.keys), {n: m for n, m in frame.metrics.items() if not m.whole}
-    columns = sorted({m.column for m in metrics.values()})
-    value = {c: F.lit(1) if c == "*" else F.col(c) for c in columns}
-    slot = {c: i for i, c in enumerate(columns)}
-    trailing = sorted({m.column for m in metrics.values() if m.last})
-    depth = max([m.last or 1 for m in metrics.values()], default=1)
-    # partial results each metric is put together from
-    used = {(kind, m.column) for m in metrics.values() if not m.last for kind in (("sum", "count") if m.kind == "avg" else (m.kind,))}
-
-    local = Window.partitionBy(*keys, "_block").orderBy(*frame.order)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = []
+    for c in order:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+            raise ValueError(f"{c} is {kind.simpleString()}: order by its fields")
+        # instants as numbers, so that bounds do not depend on a time zone
+        columns.append(F.unix_micros(F.col(c)) if isinstance(kind, T.TimestampType) else F.col(c))
+    names = [f"_o{i}" for i in range(len(columns))]
+    placed = df.select(F.xxhash64(*keys).alias("_h"), *[c.alias(n) for c, n in zip(columns, names)])
+    total = df.count() if total is None else total
+    step = max(1, total // (SAMPLED * partitions))
+    picked = placed.filter(F.pmod(F.xxhash64("_h", *names), F.lit(step)) == 0)
+    # rows that agree in key and order are one row with their number: they cannot be cut and must not fill the driver
+    sample: dict[int, list[tuple]] = {}
+    for own, *at, n in picked.groupBy("_h", *names).agg(F.count(F.lit(1))).collect():
+        sample.setdefault(own, []).append((at, n))
+    kinds = [placed.schema[n].dataType for n in names]
+    seen = sum(n for rows in sample.values() for _, n in rows)
+    size = seen / (partitions * BLOCKS)
+    bounds: dict[int, list[list[Column]]] = {}
+    large = {own: rows for own, rows in sample.items() if sum(n for _, n in rows) * partitions > seen}
+    for own, rows in large.items():
+        reached = 0
+        for at, n in sorted(rows, key=lambda r: [_sort_key(v) for v in r[0]]):
+            if reached and int((reached + n) / size) > int(reached / size):
+                bounds.setdefault(own, []).append([F.lit(v).cast(t) for v, t in zip(at, kinds)])
+            reached += n
+    return Cuts(list(keys), columns, bounds, bool(large))
+
+
+def _sort_key(value: object) -> tuple:
+    """Spark's order: NULL first, NaN last."""
+    nan = value != value
+    return value is not None, nan, 0 if nan or value is None else value
+
+
+def _carried(df: DataFrame, extra: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join the carries of hot keys: at most ``BLOCKS + 1`` rows for each shuffle partition, so they are sent to every task."""
+    renamed = F.broadcast(extra.withColumnsRenamed({k: f"_match_{k}" for k in on}))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_match_{k}")) for k in on])
+    return df.join(renamed, same, "left").drop(*[f"_match_{k}" for k in on])
+
+
+def _scanned(df: DataFrame, frame: Frame, cut: Cuts) -> DataFrame:
+    """One frame: running values inside each block of a key, plus what the key's earlier blocks carry."""
+    keys, order, metrics = list(frame.keys), list(frame.order), dict(frame.metrics)
+    rows = df.withColumn("_block", cut.block()) if cut else df
+    inside = [*keys, "_block"] if cut else keys
+    local = Window.partitionBy(*inside).orderBy(*order)
     upto = local.rowsBetween(Window.unboundedPreceding, 0)
-    parts: dict[str, Column] = {
-        "_pos": F.row_number().over(local),
-        "_end": F.lead(F.lit(1), max(depth - 1, 1)).over(local).isNull(),
-    }
-    for kind, c in used:
-        parts[f"_{kind}{slot[c]}"] = getattr(F, kind)(value[c]).over(upto)
+    value = {m.column: F.lit(1) if m.column == "*" else F.col(m.column) for m in metrics.values()}
+    slot = {c: i for i, c in enumerate(sorted(value))}
+
+    here: dict[str, Column] = {}
     for name, m in metrics.items():
-        if m.peers:
-            parts[f"_peer_{name}"] = F.sum(value[m.column]).over(local.rangeBetween(Window.unboundedPreceding, 0))
-        if m.last:
-            near = local.rowsBetween(-(m.last - 1), 0)
-            parts[f"_sum_{name}"] = F.sum(value[m.column].cast("double")).over(near)
-            parts[f"_count_{name}"] = F.count(value[m.column]).over(near)
-    rows = df.withColumn("_block", frame.block).withColumns(parts)
-
-    # the last rows of each block: running values at its end, and up to depth - 1 values for trailing frames
-    ends = [F.max_by(f"_{kind}{slot[c]}", "_pos").alias(f"_{kind}{slot[c]}") for kind, c in used]
-    tails = [F.array_sort(F.collect_list(F.struct("_pos", value[c].alias("v")))).alias(f"_tail{slot[c]}") for c in trailing]
-    blocks = rows.filter("_end").groupBy(*keys, "_block").agg(F.max("_pos").alias("_rows"), *ends, *tails)
-    by_block = Window.partitionBy(*keys).orderBy("_block")
-    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    carried = {
-        f"_earlier_{kind}{slot[c]}": (F.max if kind == "max" else F.sum)(f"_{kind}{slot[c]}").over(before) for kind, c in used
-    }
-    for c in trailing:
-        previous = F.collect_list(f"_tail{slot[c]}").over(by_block.rowsBetween(-(depth - 1), -1))
-        carried[f"_before{slot[c]}"] = F.flatten(previous)
-    totals = blocks.withColumns(carried).select(*keys, "_block", *carried)
-    joined = attach(rows, totals, [*keys, "_block"])
-
-    added = {}
+        v = value[m.column]
+        if m.whole:
+            here[f"_max_{name}"] = F.max(v).over(Window.partitionBy(*inside))
+        elif m.kind == "avg":
+            frame_ = local.rowsBetween(-(m.last - 1), 0) if m.last else upto
+            here[f"_sum_{name}"] = F.sum(v.cast("double") if m.last else v).over(frame_)
+            here[f"_count_{name}"] = F.count(v).over(frame_)
+        else:
+            frame_ = local.rangeBetween(Window.unboundedPreceding, 0) if m.peers else upto
+            here[f"_{m.kind}_{name}"] = getattr(F, m.kind)(v).over(frame_)
+    depth = max([m.last or 1 for m in metrics.values()])
+    if cut and depth > 1:
+        here["_pos"] = F.row_number().over(local)
+    rows = rows.withColumns(here)
+
+    if cut:
+        hot = df.filter(cut.hot()).withColumn("_block", cut.block())
+        parts = [getattr(F, kind)(value[c]).alias(f"_{kind}{slot[c]}") for c in value for kind in ("sum", "count", "max") if kind in _kinds(metrics, c)]
+        blocks = hot.groupBy(*inside).agg(F.count(F.lit(1)).alias("_rows"), *parts)
+        by_block = Window.partitionBy(*keys).orderBy("_block")
+        before = by_block.rowsBetween(Window.unboundedPreceding, -1)
+        carry: dict[str, Column] = {}
+        for c in value:
+            for kind in _kinds(metrics, c):
+                carry[f"_earlier_{kind}{slot[c]}"] = (F.max if kind == "max" else F.sum)(f"_{kind}{slot[c]}").over(before)
+            if "max" in _kinds(metrics, c):
+                carry[f"_whole{slot[c]}"] = F.max(f"_max{slot[c]}").over(Window.partitionBy(*keys))
+        trailing = sorted({m.column for m in metrics.values() if m.last})
+        if trailing:
+            last = Window.partitionBy(*inside).orderBy(*[F.col(c).desc() for c in order])
+            ends = hot.withColumn("_back", F.row_number().over(last)).filter(F.col("_back") < depth)
+            tails = [F.transform(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("at"), value[c].cast("double").alias("v")))), lambda x: x["v"]).alias(f"_tail{slot[c]}") for c in trailing]
+            blocks = attach(blocks, ends.groupBy(*inside).agg(*tails), inside)
+            for c in trailing:
+                carry[f"_before{slot[c]}"] = F.flatten(F.collect_list(f"_tail{slot[c]}").over(by_block.rowsBetween(-(depth - 1), -1)))
+        rows = _carried(rows, blocks.withColumns(carry).select(*inside, *carry), inside)
+
+    def combined(kind: str, name: str, c: str) -> Column:
+        now = F.col(f"_{kind}_{name}")
+        if not cut:
+            return now
+        earlier = F.col(f"_earlier_{kind}{slot[c]}")
+        return F.greatest(earlier, now) if kind == "max" else F.coalesce(earlier + now, earlier, now)
+
+    out: dict[str, Column] = {}
     for name, m in metrics.items():
-        i = slot[m.column]
-        if m.last:
-            wanted, older = F.lit(m.last) - F.col("_pos"), F.col(f"_before{i}")
-            reach = F.slice(older, F.greatest(F.size(older) - wanted + 1, F.lit(1)), F.greatest(wanted, F.lit(0)))
-            early = (wanted > 0) & (F.size(older) > 0)
-            extra = F.when(early, F.aggregate(reach, F.lit(0.0), lambda a, x: a + F.coalesce(x["v"].cast("double"), F.lit(0.0))))
-            known = F.when(early, F.size(F.filter(reach, lambda x: x["v"].isNotNull())))
-            zero = F.lit(0)
-            total = F.coalesce(F.col(f"_sum_{name}"), zero) + F.coalesce(extra, zero)
-            added[name] = F.try_divide(total, F.col(f"_count_{name}") + F.coalesce(known, zero))
-            continue
-
-        def combined(kind: str, here: Column, at: int = i) -> Column:
-            earlier = F.col(f"_earlier_{kind}{at}")
-            return F.greatest(earlier, here) if kind == "max" else F.coalesce(earlier + here, earlier, here)
-
-        if m.kind == "avg":
-            total, count = combined("sum", F.col(f"_sum{i}")), combined("count", F.col(f"_count{i}"))
-            added[name] = F.try_divide(total.cast("double"), count.cast("double"))
+        if m.whole:
+            out[name] = F.coalesce(F.col(f"_whole{slot[m.column]}"), F.col(f"_max_{name}")) if cut else F.col(f"_max_{name}")
+        elif m.last:
+            total_, known = F.coalesce(F.col(f"_sum_{name}"), F.lit(0.0)), F.col(f"_count_{name}")
+            if cut:
+                older = F.col(f"_before{slot[m.column]}")
+                wanted = F.greatest(F.lit(m.last) - F.col("_pos"), F.lit(0))
+                reach = F.when((wanted > 0) & (F.size(older) > 0), F.slice(older, F.greatest(F.size(older) - wanted + 1, F.lit(1)), wanted))
+                total_ = total_ + F.coalesce(F.aggregate(reach, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0))), F.lit(0.0))
+                known = known + F.coalesce(F.size(F.filter(reach, lambda x: x.isNotNull())), F.lit(0))
+            out[name] = F.try_divide(total_, known)
+        elif m.kind == "avg":
+            out[name] = F.try_divide(combined("sum", name, m.column).cast("double"), combined("count", name, m.column).cast("double"))
         else:
-            here = f"_peer_{name}" if m.peers else f"_{m.kind}{i}"
             # the type of the plain aggregate, however many partial results are added up
-            added[name] = combined(m.kind, F.col(here)).cast(rows.schema[here].dataType)
-    out = joined.withColumns(added).select(*df.columns, *added) if metrics else df
-    whole = {n: m for n, m in frame.metrics.items() if m.whole}
-    if whole:
-        out = attach(out, df.groupBy(*keys).agg(*[F.max(m.column).alias(n) for n, m in whole.items()]), keys)
-    return out
+            out[name] = combined(m.kind, name, m.column).cast(rows.schema[f"_{m.kind}_{name}"].dataType)
+    return rows.withColumns(out).select(*df.columns, *out)
+
+
+def _kinds(metrics: Mapping[str, Running], column: str) -> set[str]:
+    """The partial results that a block of ``column`` hands on."""
+    own = [m for m in metrics.values() if m.column == column and not m.last]
+    return {kind for m in own for kind in (("sum", "count") if m.kind == "avg" else (m.kind,))}
 
 
 def running(df: DataFrame, frames: Sequence[Frame]) -> DataFrame:
-    """Running metrics over one or more frames.
+    """Running metrics over one or more frames, as distributed prefix scans.
+
+    All metrics of a frame take one shuffle and one sort.  A key that would fill more than a shuffle partition is cut at
+    quantiles of its order (:func:`cuts`) and its blocks are dealt over the tasks; each block adds what the blocks before it
+    carry, one row per block.  Other keys carry nothing.  The rows are counted and sampled when this is called.
 
-    Every key is cut at the frame's ``block`` and stitched together exactly, so no task sorts more than one block of a key.
-    There is one plan for all sizes, and result types do not depend on the data: averages are double, sums, counts and
-    maxima have the type of the aggregate.
+    Result types do not depend on the data: averages are double, sums, counts and maxima have the type of the aggregate.
     """
-    for frame in frames:
-        df = _blocked(df, frame)
+    total, found = df.count(), {}
+    for k in sorted(range(len(frames)), key=lambda k: len(set(frames[k].keys))):
+        keys, order = frames[k].keys, frames[k].order
+        # no key is large where some of its columns alone make none
+        small = any(set(c.keys) <= set(keys) and not c.large for c in found.values())
+        found[k] = Cuts(list(keys), [], {}) if small else cuts(df, keys, order, total)
+    for k, frame in enumerate(frames):
+        df = _scanned(df, frame, found[k])
     return df
 
 
-def neighbor(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    cols: Sequence[str],
-    name: str,
-    block: Column,
-    following: bool = False,
-) -> DataFrame:
+def neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], name: str, following: bool = False) -> DataFrame:
     """Add ``name``: a struct of ``cols`` from the key's previous (or ``following``) row, NULL at the end.
 
-    Keys are cut at ``block`` as in :func:`running`; the row at a block's edge takes the nearest row of the neighbouring
-    block.
+    Hot keys are cut as in :func:`running`; the row at a block's edge takes the nearest row of the neighbouring block.
     """
-    step = F.lead if following else F.lag
-    here = F.struct(*cols)
-    cut = df.withColumn("_block", block)
-    local = Window.partitionBy(*keys, "_block").orderBy(*order)
-    inner = cut.withColumns({"_near": step(here).over(local), "_edge": (F.lag if following else F.lead)(here).over(local)})
-    edges = inner.filter("_edge is null").select(*keys, "_block", here.alias("_edge_row"))
-    beyond = step("_edge_row").over(Window.partitionBy(*keys).orderBy("_block"))
-    edges = edges.select(*keys, "_block", beyond.alias("_beyond"))
-    stitched = attach(inner, edges, [*keys, "_block"]).withColumn(name, F.coalesce("_near", "_beyond"))
-    return stitched.select(*df.columns, name)
-
-
-def day_of(df: DataFrame, column: str) -> Column:
-    """Days of a date or timestamp column as blocks; any other type needs a block of its own, whatever the data."""
-    kind = df.schema[column].dataType.typeName()
-    if kind not in ("date", "timestamp", "timestamp_ntz"):
-        raise ValueError(f"{column} is {kind}: name a block that never decreases along the order")
-    return F.date_trunc("day", column)
+    step, here = F.lead if following else F.lag, F.struct(*cols)
+    cut = cuts(df, keys, order)
+    if not cut:
+        return df.withColumn(name, step(here).over(Window.partitionBy(*keys).orderBy(*order)))
+    inside = [*keys, "_block"]
+    rows = df.withColumn("_block", cut.block()).withColumn("_near", step(here).over(Window.partitionBy(*inside).orderBy(*order)))
+    at = F.struct(*order)
+    edge = (F.min_by if following else F.max_by)(here, at).alias("_edge")
+    edges = df.filter(cut.hot()).withColumn("_block", cut.block()).groupBy(*inside).agg(edge)
+    beyond = edges.withColumn("_beyond", step("_edge").over(Window.partitionBy(*keys).orderBy("_block"))).drop("_edge")
+    return _carried(rows, beyond, inside).withColumn(name, F.coalesce("_near", "_beyond")).select(*df.columns, name)
 
 
 def value_run(df: DataFrame, value: str) -> Column:
