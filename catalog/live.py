@@ -187,6 +187,58 @@ def _stream_messages(spark, sf):
     return present(kept.unionByName(broken, allowMissingColumns=True))
 
 
+FIRST, LATE, DELAY, ROLL = "event_id % 2 = 0", "event_id % 10 = 3", "2 days", "6 days"
+
+
+def _arrivals(spark, sf):
+    """The events as a stream of three batches; the last brings a tenth of them, mostly when their windows are closed.
+
+    A batch drops what the watermark of the batch before it had passed, so the first batch decides what is late in the third.
+    """
+    rows, folder = _events(spark, sf), scratch(spark, "arrivals")
+    for part in (FIRST, f"not ({FIRST}) and not ({LATE})", LATE):
+        rows.filter(part).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _appended(spark: SparkSession, windows: DataFrame) -> DataFrame:
+    """Run a windowed stream in append mode: each window once, when it is closed."""
+    folder = scratch(spark, "closed")
+    runner.run_stream(windows, "parquet", f"{folder}/checkpoint", "append", {"path": f"{folder}/rows"}, available_now=True).awaitTermination()
+    return spark.read.schema(windows.schema).parquet(f"{folder}/rows")
+
+
+def _stream_news_joined(spark, sf):
+    """Windows of one in three periods have no article with relevance."""
+    score = F.when(F.expr("floor(unix_seconds(ts) / 259200) % 3 <> 0"), F.col("relevance_score"))
+    rows = news_messages(_arrivals(spark, sf)).withColumn("relevance_score", score)
+    return _show(_appended(spark, live.joined_news_windows(rows, WIDTH, delay=DELAY)))
+
+
+def _stream_rollup(spark, sf, sport):
+    windows = live.live_game_window(game_messages(_arrivals(spark, sf), sport), sport, WIDTH, delay=DELAY)
+    out = _appended(spark, serving.windowed_rollup(windows, sport, ROLL))
+    return present(out.withColumn("roll_end", F.col("window.end")).drop("window"))
+
+
+def _stream_late(spark, sf):
+    """Late messages count as long as their window is open."""
+    rows = volume_messages(_arrivals(spark, sf))
+    return _show(_streamed(spark, live.market_window(rows, WIDTH, delay=DELAY), ["window", "game_id"]))
+
+
+def _soon(messages: DataFrame) -> DataFrame:
+    """Adaptive windows over games that start every 6 hours; one message in ten says that the game has begun."""
+    start = F.expr("timestamp_seconds(ceil(unix_seconds(ts) / 21600) * 21600)")
+    status = F.expr("case when event_id % 10 = 0 then 'in' else 'pre' end")
+    return live.adaptive_odds_window(messages, start, status, delay=NO_LATE)
+
+
+def _stream_adaptive(spark, sf):
+    windows = _soon(odds_messages(_stream(spark, sf)))
+    return _show(_streamed(spark, windows, ["window", "window_minutes", "game_id", "sport_key"]))
+
+
 def _window_minutes(spark, sf):
     rows = _events(spark, sf).selectExpr("event_id", "cast(ts as timestamp) as ts", "case when event_id % 10 = 0 then 'in' else 'pre' end as status")
     as_of = F.lit("2024-01-15 00:00:00").cast("timestamp")
@@ -238,6 +290,12 @@ QUERIES = {
     "stream_news_sentiment": _stream_news,
     "stream_dedup": _stream_dedup,
     "stream_json_messages": _stream_messages,
+    "stream_news_joined": _stream_news_joined,
+    "stream_nba_rollup": lambda s, sf: _stream_rollup(s, sf, "NBA"),
+    "stream_nhl_rollup": lambda s, sf: _stream_rollup(s, sf, "NHL"),
+    "stream_late_messages": _stream_late,
+    "odds_adaptive_window": lambda s, sf: _show(_soon(odds_messages(_events(s, sf)))),
+    "stream_odds_adaptive_window": _stream_adaptive,
     "score_analytics": lambda s, sf: present(game_ops.score_analytics(_snapshots(s, sf))),
     "team_analytics": lambda s, sf: present(game_ops.team_analytics(_snapshots(s, sf))),
     "period_analytics": lambda s, sf: present(game_ops.period_analytics(_snapshots(s, sf))),
@@ -366,7 +424,46 @@ def _rollup(source: str, sport: str, time: str = "timestamp", rename: str = "")
 
 _SNAP = "s AS (SELECT 'g' || (user_id % 20) AS game_id, event_id % 4 AS period, ts, event_id % 120 AS h, (event_id * 7) % 110 AS a, value, event_id FROM events)"
 
+# what a stream of three batches counts: late messages only while their window is open
+_CLOSED = f"SELECT max(ts) - INTERVAL 2 DAY FROM events WHERE {FIRST}"
+_COUNTED = f"counted AS (SELECT * FROM events WHERE NOT ({LATE}) OR {_END} > ({_CLOSED}))"
+_ALL_CLOSED = "(SELECT max(ts) - INTERVAL 2 DAY FROM events)"
+_KNOWN = f"CASE WHEN floor(epoch(ts) / 259200) % 3 <> 0 THEN {_REL} END"
+_ROLL = "time_bucket(INTERVAL '6 days', timestamp, TIMESTAMP '1970-01-01')"
+
+
+def _stream_rollup_sql(windows: str, source: str, sport: str) -> str:
+    windows = windows.replace("FROM events)", "FROM counted)", 1)
+    return (
+        f"WITH {_COUNTED}, {windows} SELECT *, __time + INTERVAL 6 DAY AS roll_end FROM ({_rollup(source, sport, _ROLL)}) "
+        f"WHERE __time + INTERVAL 6 DAY <= {_ALL_CLOSED}"
+    )
+
+
+_ADAPTIVE_SQL = f"""WITH h AS (SELECT *, ceil(floor(epoch(ts)) / 21600) * 21600 - epoch(ts) AS left_s FROM events),
+m AS (SELECT *, CASE WHEN event_id % 10 = 0 THEN 15 WHEN left_s >= 14400 THEN 35 WHEN left_s >= 10800 THEN 30 WHEN left_s >= 7200 THEN 25
+  WHEN left_s >= 3600 THEN 20 ELSE 15 END AS minutes FROM h),
+b AS (SELECT *, epoch_us(ts) // (minutes * 60000000) * (minutes * 60000000) AS b FROM m)
+SELECT minutes AS window_minutes, make_timestamp(b) AS timestamp, make_timestamp(b + minutes * 60000000) AS window_end, """ + _ODDS_SQL.split("AS window_end,", 1)[1].replace(
+    f"FROM events GROUP BY {_B}, user_id % 20", "FROM b GROUP BY b, minutes, user_id % 20"
+)
+
 ORACLE = {
+    "stream_news_joined": f"""WITH {_COUNTED},
+a AS (SELECT {_B} AS b, event_type AS source, round({_SENT}, 6) AS avg_sentiment, count(*) AS article_count, sum(event_id % 4) AS team_mentions,
+  sum(event_id % 3) AS player_mentions FROM counted GROUP BY ALL),
+r AS (SELECT {_B} AS b, round(avg({_KNOWN}), 6) AS avg_relevance, count(*) FILTER ({_KNOWN} > 0.8) AS high_relevance_count
+  FROM counted WHERE {_KNOWN} IS NOT NULL GROUP BY ALL),
+n AS (SELECT {_B} AS b, {_ENTITIES} FROM counted GROUP BY ALL)
+SELECT a.b AS timestamp, a.b + INTERVAL 3 DAY AS window_end, a.* EXCLUDE (b), r.* EXCLUDE (b), n.* EXCLUDE (b)
+FROM a LEFT JOIN r ON a.b = r.b LEFT JOIN n ON a.b = n.b WHERE a.b + INTERVAL 3 DAY <= {_ALL_CLOSED}""",
+    "stream_nba_rollup": _stream_rollup_sql(_NBA_SQL, "nba", "NBA"),
+    "stream_nhl_rollup": _stream_rollup_sql(_NHL_SQL, "nhl", "NHL"),
+    "stream_late_messages": f"""WITH {_COUNTED} SELECT {_NEWS}, 'g' || (user_id % 20) AS game_id, count(DISTINCT event_type) AS bookmaker_count,
+  array_to_string(list_sort(list(DISTINCT ['h2h', 'spreads', 'totals'][event_id % 3 + 1])), ',') AS market_types, sum(event_id % 1000)::DOUBLE AS total_market_volume
+FROM counted GROUP BY {_B}, user_id % 20""",
+    "odds_adaptive_window": _ADAPTIVE_SQL,
+    "stream_odds_adaptive_window": _ADAPTIVE_SQL,
     "nba_live_window": f"WITH {_NBA_SQL} SELECT * FROM nba",
     "stream_nba_window": f"WITH {_NBA_SQL} SELECT * FROM nba",
     "nhl_live_window": f"WITH {_NHL_SQL} SELECT * REPLACE ({_ROUND_SAVES}) FROM nhl",

@@ -105,6 +105,17 @@ def serving_rollup(analytics: DataFrame, sport: str, time: str | Column = "times
     return rollup(analytics, time, dims, metrics)
 
 
+def windowed_rollup(windows: DataFrame, sport: str, width: str) -> DataFrame:
+    """Rows of one window rolled up into longer windows of ``width``, by the sport's dimensions.
+
+    ``windows`` are the rows of a windowed aggregate with its ``window`` column.  On a stream this is a second aggregation
+    in the same query: a window comes in when the first one closes it, and its time is the instant before its end.
+    """
+    dims, metrics = ROLLUPS[sport]
+    out = rollup(windows, F.window(F.window_time("window"), width), dims, metrics)
+    return out.withColumnRenamed("__time", "window").withColumn("__time", F.col("window.start"))
+
+
 def source_health(polls: DataFrame) -> DataFrame:
     """Per source: successful, failed and rate-limited polls with latency figures.
 

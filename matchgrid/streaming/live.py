@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchgrid.functions.dates import odds_window_minutes
 from matchgrid.functions.weather import severity_points, wind_direction
 
 GAME_KEYS = [
@@ -95,6 +96,10 @@ def odds_window(
 
     ``current_*`` and the odds by bookmaker are those of the newest message; odds are decimal.
     """
+    return _windowed(df, ts, width, delay, keys, _odds_aggregates(ts, tie)).select("*", "_latest.*").drop("_latest")
+
+
+def _odds_aggregates(ts: str, tie: str | None) -> list[Column]:
     at = _position(ts, tie)
     info = ["sport_title", "commence_time", "home_team", "away_team", "home_odds_by_bookie", "away_odds_by_bookie"]
     latest = {
@@ -117,8 +122,38 @@ def odds_window(
             F.try_divide(high - low, low).alias(f"{s}_odds_movement_pct"),
         ]
     books = F.col("bookmakers_count")
-    aggs += [F.avg(books).alias("avg_bookmakers"), F.max(books).alias("max_bookmakers")]
-    return _windowed(df, ts, width, delay, keys, aggs).select("*", "_latest.*").drop("_latest")
+    return [*aggs, F.avg(books).alias("avg_bookmakers"), F.max(books).alias("max_bookmakers")]
+
+
+#: Every window length of :func:`odds_window_minutes` divides this one.
+ALL_LENGTHS = 2100
+
+
+def adaptive_odds_window(
+    df: DataFrame,
+    start: Column,
+    status: Column,
+    ts: str = "ts",
+    delay: str = "1 minute",
+    tie: str | None = None,
+    keys: Sequence[str] = ("game_id", "sport_key"),
+) -> DataFrame:
+    """:func:`odds_window` in windows of 15 to 35 minutes, the shorter the closer a message lies to the ``start`` of its game.
+
+    The length belongs to the message, so a game passes from long to short windows, and windows of two lengths may overlap
+    where it does.  It is one aggregation: windows of each length begin at multiples of it, so each lies inside one window of
+    ``ALL_LENGTHS`` minutes, whose end tells a stream when the state can go.  Streams use update mode; a length without a
+    known start is that of a distant game.
+    """
+    minutes = odds_window_minutes(start, F.col(ts), status)
+    placed = df.withColumn("window_minutes", minutes)
+    length = F.col("window_minutes").cast("bigint") * 60_000_000
+    begin = F.timestamp_micros(F.floor(F.unix_micros(ts) / length) * length)
+    placed = placed.withColumn("_begin", begin)
+    grouped = placed.withWatermark(ts, delay).groupBy(F.window(ts, f"{ALL_LENGTHS} minutes"), "_begin", "window_minutes", *keys)
+    out = grouped.agg(*_odds_aggregates(ts, tie)).withColumn("timestamp", F.col("_begin"))
+    ends = F.timestamp_micros(F.unix_micros("_begin") + length)
+    return out.withColumn("window", F.struct(F.col("_begin").alias("start"), ends.alias("end"))).select("*", "_latest.*").drop("_latest", "_begin")
 
 
 def weather_window(
@@ -205,6 +240,21 @@ def news_window(df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay:
     return _windowed(df, ts, width, delay, ["source"], aggs)
 
 
+def joined_news_windows(df: DataFrame, width: str = "5 minutes", ts: str = "ts", delay: str = "1 minute") -> DataFrame:
+    """Sentiment per source beside relevance and entities of the same window: three windowed aggregates joined per window.
+
+    Relevance and entities are those of the articles that have any; a window without such articles keeps NULL there.  On a
+    stream each aggregate closes a window by its own watermark and the joins hold a window until both sides have passed
+    it, so the query runs in append mode with bounded state.
+    """
+    known = df.filter(F.col("relevance_score").isNotNull())
+    named = df.filter(F.exists(F.map_values("entities"), lambda names: F.coalesce(F.size(names), F.lit(0)) > 0))
+    out = news_sentiment_window(df, width, ts, delay).drop("timestamp")
+    for other in (news_relevance_window(known, width, ts, delay), news_entity_window(named, width, ts, delay)):
+        out = out.join(other.drop("timestamp"), "window", "left_outer")
+    return out.withColumn("timestamp", F.col("window.start"))
+
+
 def news_window_totals(by_source: DataFrame) -> DataFrame:
     """:func:`news_window` rows combined over sources."""
     mentions = [f"{k}_mentions" for k in ("team", "player", "location")]
