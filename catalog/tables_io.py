@@ -39,7 +39,7 @@ def _incremental_form(spark, sf):
 
     def form(df):
         metrics = {"mean": Running("avg", "stat_value"), "games": Running("count")}
-        return running(df, [Frame(keys, LEADER_ORDER, metrics, F.date_trunc("month", "start_time"))])
+        return running(df, [Frame(keys, LEADER_ORDER, metrics)])
 
     old = rows.filter("start_time < timestamp'2001-06-01'")
     files.replace_partitions(form(old), path, ["partition_year"])

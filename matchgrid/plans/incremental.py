@@ -54,7 +54,8 @@ def incremental_merge(
     merged = latest_by(merge_columns(old, incoming), keys, [*order, "_new"]).drop("_new")
     merged.write.partitionBy(*by).parquet(f"{staging}/merged")
 
-    staged = spark.read.parquet(f"{staging}/merged")
+    # nothing to merge leaves no files to take the schema from
+    staged = spark.read.schema(merged.schema).parquet(f"{staging}/merged")
     # partitions whose rows all moved elsewhere are not overwritten by a dynamic overwrite: remove their folders
     emptied = [r["_folder"] for r in attach(touched, staged.select(*by).distinct(), by, "left_anti").collect()]
     replace_partitions(staged, path, by)
