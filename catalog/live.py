@@ -417,9 +417,8 @@ def _sums(names: list[str]) -> str:
 
 
 def _rollup(source: str, sport: str, time: str = "timestamp", rename: str = "") -> str:
-    dims, metrics = serving.ROLLUPS[sport]
-    keys = [f"status_state AS {d}" if d == "game_state" else d for d in dims]
-    return f"SELECT {time} AS __time, {', '.join(keys)}, {_sums(metrics)} FROM {source} GROUP BY ALL"
+    dims, metrics = serving.rollup_columns(sport)
+    return f"SELECT {time} AS __time, {', '.join(dims)}, {_sums(metrics)} FROM {source} GROUP BY ALL"
 
 
 _SNAP = "s AS (SELECT 'g' || (user_id % 20) AS game_id, event_id % 4 AS period, ts, event_id % 120 AS h, (event_id * 7) % 110 AS a, value, event_id FROM events)"

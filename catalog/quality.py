@@ -180,9 +180,9 @@ WHERE status_detail IS NULL OR home_record IS NULL OR away_record IS NULL""",
   count(DISTINCT bookmaker_last_update) AS ups FROM efficiency GROUP BY ALL),
 r AS (SELECT *, sign(s) * ((2 * abs(s) + n) // (2 * n)) AS mean FROM m)
 SELECT game_id, bookmaker_key, partition_day FROM r WHERE NOT mean BETWEEN lo AND hi - 1000 OR favs > ups""",
-    "check_nba_leaders": f"""{_LEAD} SELECT CASE f WHEN 'N' THEN 'Rebounds above 40' ELSE 'Assists above 30' END AS failure_reason, count(*) AS rows
+    "check_nba_leaders": f"""{_LEAD} SELECT CASE f WHEN 'N' THEN 'Rebounds exceed maximum (40)' ELSE 'Assists exceed maximum (30)' END AS failure_reason, count(*) AS rows
 FROM leaders WHERE (f = 'N' AND q > 40) OR (f = 'R' AND q > 30) GROUP BY 1""",
-    "check_nhl_leaders": f"""{_LEAD} SELECT 'Goals above 5' AS failure_reason, count(*) AS rows FROM leaders WHERE f = 'A' AND q % 7 > 5 HAVING count(*) > 0""",
+    "check_nhl_leaders": f"""{_LEAD} SELECT 'Goals exceed maximum (5)' AS failure_reason, count(*) AS rows FROM leaders WHERE f = 'A' AND q % 7 > 5 HAVING count(*) > 0""",
     "check_nba_trends": f"""WITH {games_sql('NBA')}, {_NBA_PERF} SELECT team_name, partition_year, partition_month FROM nba GROUP BY ALL
 HAVING round(avg(assists), 3) < 17 OR round(avg(rebounds), 3) < 38""",
     "check_nhl_trends": f"""WITH {games_sql('NHL')}, {_NHL_PERF} SELECT team_name, partition_year, partition_month FROM nhl GROUP BY ALL

@@ -81,37 +81,44 @@ def market_metrics(facts: DataFrame) -> DataFrame:
     return violations(facts, ok)
 
 
+# The rules of a basketball leader row in the order in which their reasons are given.
+NBA_LEADER_RULES = [
+    ("leader_type = 'POINTS' and stat_value > 100", "Points exceed maximum (100)"),
+    ("leader_type = 'REBOUNDS' and stat_value > 40", "Rebounds exceed maximum (40)"),
+    ("leader_type = 'ASSISTS' and stat_value > 30", "Assists exceed maximum (30)"),
+    ("leader_type = 'RATING' and stat_value > 120", "Rating exceeds maximum (50)"),
+    ("avg_stat_value > season_high", "Average exceeds season high"),
+    ("exceptional_performance not in (0, 1)", "Invalid exceptional performance flag"),
+    ("stat_value is null", "Null stat value"),
+    ("avg_stat_value is null", "Null average stat value"),
+    ("season_high is null", "Null season high"),
+    ("exceptional_performance is null", "Null exceptional performance"),
+]
+# The rules of a hockey leader row in the order in which they are tested; the reasons are named here.
+NHL_LEADER_RULES = [
+    ("leader_type = 'GOALS' and stat_value > 5", "Goals exceed maximum (5)"),
+    ("leader_type = 'ASSISTS' and stat_value > 6", "Assists exceed maximum (6)"),
+    ("leader_type = 'POINTS' and stat_value > 8", "Points exceed maximum (8)"),
+    ("performance_milestone not in ('Hat Trick', 'Brace', 'Four Point Night', 'Regular Performance')", "Invalid performance milestone"),
+    ("performance_milestone is null", "Null performance milestone"),
+    ("total_hat_tricks is null", "Null total hat tricks"),
+    ("games_as_leader is null", "Null games as leader"),
+]
+
+
+def _first_reason(rows: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    reason = F.coalesce(*[F.when(F.expr(rule), name) for rule, name in rules])
+    return rows.withColumn("failure_reason", reason).filter("failure_reason is not null")
+
+
 def nba_leader_limits(trends: DataFrame) -> DataFrame:
     """Basketball leader rows with impossible values, each with the first reason found."""
-    kind, value = F.col("leader_type"), F.col("stat_value")
-    # Highest believable figure per leader type.
-    limits = {"POINTS": 100, "REBOUNDS": 40, "ASSISTS": 30, "RATING": 120}
-    reason = F.when(value.isNull(), "Null stat value")
-    for name, top in limits.items():
-        reason = reason.when((kind == name) & (value > top), f"{name.capitalize()} above {top}")
-    flag = F.col("exceptional_performance")
-    reason = (
-        reason.when(F.col("avg_stat_value").isNull(), "Null average")
-        .when(F.col("season_high").isNull(), "Null season high")
-        .when(F.col("avg_stat_value") > F.col("season_high"), "Average above season high")
-        .when(flag.isNull() | ~flag.isin(0, 1), "Invalid exceptional flag")
-    )
-    return trends.withColumn("failure_reason", reason).filter(F.col("failure_reason").isNotNull())
+    return _first_reason(trends, NBA_LEADER_RULES)
 
 
 def nhl_leader_limits(trends: DataFrame) -> DataFrame:
-    kind, value = F.col("leader_type"), F.col("stat_value")
-    # Highest believable figure per leader type, and the known milestone labels.
-    limits = {"GOALS": 5, "ASSISTS": 6, "POINTS": 8}
-    labels = ["Hat Trick", "Brace", "Four Point Night", "Regular Performance"]
-    reason = F.when(F.lit(False), "")
-    for name, top in limits.items():
-        reason = reason.when((kind == name) & (value > top), f"{name.capitalize()} above {top}")
-    label = F.col("performance_milestone")
-    reason = reason.when(label.isNull() | ~label.isin(*labels), "Unknown milestone").when(
-        F.col("total_hat_tricks").isNull() | F.col("games_as_leader").isNull(), "Null count"
-    )
-    return trends.withColumn("failure_reason", reason).filter(F.col("failure_reason").isNotNull())
+    """Hockey leader rows with impossible values, each with the first reason found."""
+    return _first_reason(trends, NHL_LEADER_RULES)
 
 
 def nba_trend_sanity(trends: DataFrame, min_assists: float = 15, min_rebounds: float = 30) -> DataFrame:

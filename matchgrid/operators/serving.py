@@ -75,33 +75,45 @@ def rollup(df: DataFrame, time: str | Column, dims: Sequence[str], metrics: Sequ
     return df.groupBy(when, *dims).agg(*[F.sum(F.col(m).try_cast("double")).alias(m) for m in metrics])
 
 
-# Dimensions and summed metrics of each sport's serving table.
-_COMMON = ["game_id", "venue_name", "venue_city", "venue_state", "broadcasts"]
-_TEAMS = ["home_team_name", "away_team_name"]
-ROLLUPS: dict[str, tuple[list[str], list[str]]] = {
-    "NBA": (
-        [*_COMMON, "status_state", "status_detail", "status_description", "current_period", "time_remaining", *_TEAMS]
-        + [f"{s}_{m}_pct" for s in ("home", "away") for m in ("fg", "three_pt", "ft")],
-        ["home_team_score", "away_team_score", "home_rebounds", "home_assists", "away_rebounds", "away_assists"]
-        + ["home_team_scoring_run", "away_team_scoring_run"],
-    ),
-    "NHL": (
-        [*_COMMON, "status_state", "current_period", "time_remaining", *_TEAMS, "home_team_abbreviation"]
-        + ["away_team_abbreviation", "home_team_record", "away_team_record"],
-        ["home_team_score", "away_team_score"]
-        + [f"{s}_{m}" for s in ("home", "away") for m in ("saves", "save_pct", "goals", "assists", "points")]
-        + ["home_scoring_run", "away_scoring_run"],
-    ),
-    "CFB": (
-        [*_COMMON, "status_state", "status_detail", "status_description", "current_period", "time_remaining", *_TEAMS]
-        + ["home_team_record", "away_team_record", "passing_leader_name", "rushing_leader_name", "receiving_leader_name"],
-        ["home_team_score", "away_team_score", "home_scoring_run", "away_scoring_run"],
-    ),
+# Dimensions and summed metrics of each sport's serving table, in its order.
+NBA_DIMENSIONS = [
+    "game_id", "venue_name", "venue_city", "venue_state", "broadcasts", "status_state", "status_detail", "status_description", "current_period", "time_remaining",
+    "home_team_name", "away_team_name", "home_fg_pct", "home_three_pt_pct", "home_ft_pct", "away_fg_pct", "away_three_pt_pct", "away_ft_pct",
+]
+NBA_METRICS = [
+    "home_team_score", "away_team_score", "home_rebounds", "home_assists", "away_rebounds", "away_assists", "home_team_scoring_run", "away_team_scoring_run",
+]
+NHL_DIMENSIONS = [
+    "game_id", "venue_name", "venue_city", "venue_state", "broadcasts", "game_state", "current_period", "time_remaining", "home_team_name", "home_team_abbrev",
+    "away_team_name", "away_team_abbrev", "home_team_record", "away_team_record",
+]
+NHL_METRICS = [
+    "home_team_score", "away_team_score", "home_saves", "home_save_pct", "home_goals", "home_assists", "home_points", "away_saves", "away_save_pct", "away_goals",
+    "away_assists", "away_points", "home_scoring_run", "away_scoring_run",
+]
+CFB_DIMENSIONS = [
+    "game_id", "venue_name", "venue_city", "venue_state", "broadcasts", "game_state", "status_detail", "status_description", "current_period", "time_remaining",
+    "home_team_name", "away_team_name", "home_team_record", "away_team_record", "home_passing_leader", "home_rushing_leader", "home_receiving_leader",
+    "away_passing_leader", "away_rushing_leader", "away_receiving_leader",
+]
+CFB_METRICS = ["home_team_score", "away_team_score", "home_scoring_run", "away_scoring_run"]
+
+#: Columns of the live windows that are called otherwise; football windows have one leader of each kind for the game.
+RENAMED = {
+    "NHL": {"game_state": "status_state", "home_team_abbrev": "home_team_abbreviation", "away_team_abbrev": "away_team_abbreviation"},
+    "CFB": {"game_state": "status_state"} | {f"{s}_{k}_leader": f"{k}_leader_name" for s in ("home", "away") for k in ("passing", "rushing", "receiving")},
 }
 
 
+def rollup_columns(sport: str) -> tuple[list[str], list[str]]:
+    """Dimensions and metrics of a serving table, as the live windows call them."""
+    dims, metrics = {"NBA": (NBA_DIMENSIONS, NBA_METRICS), "NHL": (NHL_DIMENSIONS, NHL_METRICS), "CFB": (CFB_DIMENSIONS, CFB_METRICS)}[sport]
+    names = RENAMED.get(sport, {})
+    return list(dict.fromkeys(names.get(d, d) for d in dims)), metrics
+
+
 def serving_rollup(analytics: DataFrame, sport: str, time: str | Column = "timestamp") -> DataFrame:
-    dims, metrics = ROLLUPS[sport]
+    dims, metrics = rollup_columns(sport)
     return rollup(analytics, time, dims, metrics)
 
 
@@ -111,7 +123,7 @@ def windowed_rollup(windows: DataFrame, sport: str, width: str) -> DataFrame:
     ``windows`` are the rows of a windowed aggregate with its ``window`` column.  On a stream this is a second aggregation
     in the same query: a window comes in when the first one closes it, and its time is the instant before its end.
     """
-    dims, metrics = ROLLUPS[sport]
+    dims, metrics = rollup_columns(sport)
     out = rollup(windows, F.window(F.window_time("window"), width), dims, metrics)
     return out.withColumnRenamed("__time", "window").withColumn("__time", F.col("window.start"))
 

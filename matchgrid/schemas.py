@@ -64,7 +64,12 @@ SCOREBOARD_EVENT = (
     f"ARRAY<{_COMPETITOR}>, leaders: {_LEADER_LIST}, venue: {_RAW_VENUE}, "
     "broadcasts: ARRAY<STRUCT<names: ARRAY<STRING>>>>>"
 )
-SCOREBOARD = f"events ARRAY<STRUCT<{SCOREBOARD_EVENT.replace('id STRING', 'id: STRING', 1).replace('date STRING', 'date: STRING', 1).replace('status STRUCT', 'status: STRUCT', 1).replace('competitions ARRAY', 'competitions: ARRAY', 1)}>>"
+SCOREBOARD = (
+    "events ARRAY<STRUCT<id: STRING, date: STRING, status: STRUCT<period: INT, displayClock: STRING, type: STRUCT<state: STRING, "
+    "detail: STRING, description: STRING>>, competitions: ARRAY<STRUCT<competitors: "
+    f"ARRAY<{_COMPETITOR}>, leaders: {_LEADER_LIST}, venue: {_RAW_VENUE}, "
+    "broadcasts: ARRAY<STRUCT<names: ARRAY<STRING>>>>>>>"
+)
 
 
 def _market(price: str) -> str:

@@ -69,3 +69,20 @@ def test_periods(spark):
     ddl = "game_id string, total_periods int, " + ", ".join(f"{s}_q{i}_score int" for s in ("home", "away") for i in range(1, 5)) + ", home_ot_scores array<int>, away_ot_scores array<int>"
     rows = [("ok", 5, *[1] * 8, [1], [1]), ("short", 4, *[1] * 3, None, *[1] * 4, None, None), ("late", 4, *[1] * 8, [2], [2])]
     assert ids(quality.periods_match_linescores(spark.createDataFrame(rows, ddl)), "game_id") == ["late", "short"]
+
+
+def test_leader_reasons_come_in_order(spark):
+    ddl = "leader_type string, stat_value int, avg_stat_value double, season_high int, exceptional_performance int"
+    rows = [
+        ("POINTS", 101, 200.0, 50, 7), ("RATING", 121, None, None, None), ("POINTS", 100, 51.0, 50, 7), ("X", 1, 1.0, 1, 7), ("X", None, None, 1, 0), ("X", 1, None, None, 0),
+        ("X", 1, 1.0, None, None), ("X", 1, 1.0, 1, None), ("ASSISTS", 30, 1.0, 1, 1),
+    ]
+    got = [r.failure_reason for r in quality.nba_leader_limits(spark.createDataFrame(rows, ddl).coalesce(1)).collect()]
+    assert got == [
+        "Points exceed maximum (100)", "Rating exceeds maximum (50)", "Average exceeds season high", "Invalid exceptional performance flag", "Null stat value",
+        "Null average stat value", "Null season high", "Null exceptional performance",
+    ]
+    ddl = "leader_type string, stat_value int, performance_milestone string, total_hat_tricks int, games_as_leader int"
+    rows = [("GOALS", 6, "Trick", None, 1), ("POINTS", 9, None, None, 1), ("POINTS", 8, "Trick", None, 1), ("GOALS", 1, None, None, 1), ("GOALS", 1, "Brace", 1, None), ("GOALS", 5, "Brace", 1, 1)]
+    got = [r.failure_reason for r in quality.nhl_leader_limits(spark.createDataFrame(rows, ddl).coalesce(1)).collect()]
+    assert got == ["Goals exceed maximum (5)", "Points exceed maximum (8)", "Invalid performance milestone", "Null performance milestone", "Null games as leader"]
