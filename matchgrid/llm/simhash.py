@@ -20,7 +20,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from matchgrid.llm.common import free, ship, table, written
 
-FAN_OUT = 16
+FAN_OUT = 4
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 PIECE = 1 << 16
 
@@ -150,19 +150,13 @@ def _hook(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def forest(codes: np.ndarray, limit: int, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """(code, smallest linked place's code): a spanning forest of all links within ``limit`` bits among distinct codes."""
-    if len(codes) <= 64:
-        ordered = codes
-        a, b = np.nonzero(np.triu(np.bitwise_count(codes[:, None] ^ codes[None, :]) <= limit, 1))
-        label = np.arange(len(codes))
-        _hook(label, a, b)
-    else:
-        index = GrayIndex(codes)
-        ordered, label = index.codes, np.arange(len(codes))
-        for begin in range(0, len(ordered), block):
-            a, b = index.search(ordered[begin : begin + block], limit)
-            a = a + begin
-            later = b > a
-            _hook(label, a[later], b[later])
+    index = GrayIndex(codes)
+    ordered, label = index.codes, np.arange(len(codes))
+    for begin in range(0, len(ordered), block):
+        a, b = index.search(ordered[begin : begin + block], limit)
+        a = a + begin
+        later = b > a
+        _hook(label, a[later], b[later])
     moved = np.flatnonzero(label != np.arange(len(label)))
     return ordered[moved], ordered[label[moved]]
 

@@ -94,3 +94,21 @@ def test_long_chain_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(900, 901), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, 901: 900}
+
+
+def test_buckets_of_the_query_have_upper_nodes(spark):
+    """The crowded buckets of registered data lie under several levels of the index, and a search leaves groups whole."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    codes = np.unique(np.array([r.fp for r in simhash.fingerprints(rows, "doc_id", "text", 4).select("fp").collect()], np.int64).view(np.uint64))
+    deep = left = asked = 0
+    for mask in simhash._cuts(0, 5):
+        key = codes & np.uint64(mask)
+        for k, n in zip(*np.unique(key, return_counts=True)):
+            if n > simhash.FAN_OUT:
+                own = codes[key == k]
+                index = simhash.GrayIndex(own)
+                deep += len(index.levels) > 1
+                top, pattern = index.levels[-1]
+                far = np.bitwise_count((own[:, None] ^ pattern[None, :]) & top[None, :]) > 4
+                left, asked = left + int(far.sum()), asked + far.size
+    assert deep > 100 and left > 0.2 * asked
