@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from matchgrid.llm.common import table, written
 
 SHARDS = 16
-#: Runs of keys, by a hash, into which each shard's records are cut for numbering; no task orders a whole shard.
+#: Runs of records, by a hash, into which each shard's records are cut for numbering; no task orders a whole shard.
 RUNS = 1024
 
 
@@ -44,8 +44,9 @@ def with_shard(df: DataFrame, key: str, weights: Sequence[float] = (1.0,) * SHAR
     return df.withColumn(name, winner(F.col(f"`{key}`"), weights))
 
 
-def _run(key: Column) -> Column:
-    return (F.conv(F.substring(F.md5(_key(key)), 14, 3), 16, 10).cast("int") / F.lit(4096 // RUNS)).cast("int")
+def _run(*values: Column) -> Column:
+    """By key and what else tells rows apart, so that the different rows of one key are dealt over all runs."""
+    return (F.conv(F.substring(F.md5(F.concat_ws("|", *map(_key, values))), 14, 3), 16, 10).cast("int") / F.lit(4096 // RUNS)).cast("int")
 
 
 def numbered(rows: DataFrame, shard: str, key: str, ties: Sequence[str]) -> DataFrame:
@@ -58,7 +59,7 @@ def numbered(rows: DataFrame, shard: str, key: str, ties: Sequence[str]) -> Data
     names = [c for c in rows.columns if c.lower() != "slot"]
     short = {c: f"c{k}" for k, c in enumerate(names)}
     packed = rows.select(*(F.col(f"`{c}`").alias(n) for c, n in short.items()), F.col(f"`{shard}`").alias("shard"), F.col(f"`{key}`").alias("key"))
-    counted = written(packed.withColumn("run", _run(F.col("key"))).groupBy(*short.values(), "shard", "key", "run").agg(F.count("*").alias("n")), "shards")
+    counted = written(packed.withColumn("run", _run(F.col("key"), *(F.col(short[t]) for t in ties))).groupBy(*short.values(), "shard", "key", "run").agg(F.count("*").alias("n")), "shards")
     inside = Window.partitionBy("shard", "run").orderBy(F.col("key").asc_nulls_first(), *(short[t] for t in ties), *short.values())
     before = Window.partitionBy("shard").orderBy("run")
     upto = (Window.unboundedPreceding, -1)
@@ -93,11 +94,14 @@ d AS (
     list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes
   FROM documents
 ),
+c AS (
+  SELECT doc_id, k, size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295) AS text_crc32
+  FROM d, crc
+),
 s AS (
-  SELECT doc_id, k, size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), 4294967295) AS text_crc32,
-    CAST('0x' || substr(md5(k), 14, 3) AS BIGINT) // {4096 // RUNS} AS run,
+  SELECT *, CAST('0x' || substr(md5(k || '|' || text_crc32 || '|' || size), 14, 3) AS BIGINT) // {4096 // RUNS} AS run,
     {_winner_sql(SHARDS)} AS shard, {_winner_sql(SHARDS + 1)} AS grown_shard
-  FROM d, crc
+  FROM c
 )
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY run, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
