@@ -119,7 +119,7 @@ def proposals(text: str) -> Iterator[Span]:
         at = text.find(word)
         while at >= 0:
             start = at
-            while start > 0 and at - start < 64 and text[start - 1] in LOCAL:
+            while start > 0 and text[start - 1] in LOCAL:
                 start -= 1
             found = SPELLED.match(text, at + len(word))
             if start < at and found:
@@ -428,12 +428,15 @@ def learn(rows: list[Example], precision: float = 0.98, least: int = 10) -> Mode
     return Model(trees, limits)
 
 
-def fit(docs: DataFrame, rows: int = 3000, longest: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Learn from at most ``rows`` texts of at most ``longest`` bytes, the first by a hash of text and id."""
+def fit(docs: DataFrame, rows: int = 3000, longest: int = 1 << 16, examples_kept: int = 60_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Learn from at most ``rows`` different texts of at most ``longest`` bytes, the first by a hash of text and id.
+
+    Of the spans in them at most ``examples_kept`` different ones, the first by a hash, come to the driver as examples.
+    """
     ship(docs.sparkSession)
     text = F.col(text_col).cast("string")
-    base = docs.select(F.xxhash64(F.col(id_col), F.lit(23)).alias("h"), text.alias("text")).filter(text.rlike("[0-9@]") & (F.octet_length(text) <= longest))
-    limit = base.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    base = docs.select(F.xxhash64(F.col(id_col), text, F.lit(23)).alias("h"), text.alias("text")).filter(text.rlike("[0-9@]") & (F.octet_length(text) <= longest))
+    limit = base.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
     if limit is None:
         return Model()
     kept = base.filter(F.col("h") <= limit)
@@ -444,7 +447,7 @@ def fit(docs: DataFrame, rows: int = 3000, longest: int = 1 << 16, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array([np.array(r[0], float).tobytes() for r in found], pa.binary()), pa.array([r[1] for r in found], pa.int32()), pa.array([r[2] for r in found], pa.bool_())], names=["x", "y", "asked"])
 
     # distinct: copies of a document would count their spans again, and may be many
-    found = kept.mapInArrow(run, "x binary, y int, asked boolean").distinct().orderBy(F.xxhash64("x"), "x", "y", "asked").limit(20 * rows).collect()
+    found = kept.mapInArrow(run, "x binary, y int, asked boolean").distinct().orderBy(F.xxhash64("x"), "x", "y", "asked").limit(examples_kept).collect()
     own = sorted((bytes(r["x"]), r["y"], r["asked"]) for r in found)
     return learn([(np.frombuffer(x).tolist(), y, asked) for x, y, asked in own])
 

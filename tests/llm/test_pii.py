@@ -145,3 +145,17 @@ def test_edge_cases(spark):
     assert pii.found_spans(none, pii.fit(none)).collect() == []
     out = pii.redacted(df, pii.Model())
     assert out.schema == df.schema and sorted(str(r.text)[-7:] for r in out.filter("doc_id = 4 or doc_id = 1").collect()) == ["None", "[EMAIL]", "[EMAIL]"]
+
+
+def test_long_spelled_addresses_are_whole():
+    name = "a" * 70
+    for text in (f"write to {name} at example.org today", f"{name}(at)example(dot)org"):
+        assert any(k == 0 and text[s:e].startswith(name) for k, s, e in pii.proposals(text))
+    assert sum(1 for _ in pii.proposals("a" * 200_000 + " at b.c")) == 1
+
+
+def test_learning_keeps_different_texts(spark):
+    """Rows of one id, or without one, are no group of their own: texts are drawn by id and text."""
+    rows = [(1, f"call +49 170 {1000000 + k} or mail a{k}@b.de") for k in range(300)] + [(None, "call +49 170 1234567")] * 50
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"), rows=20, examples_kept=500)
+    assert model.spans(["mail a5@b.de"])[0][0] == [(0, 5, 12)]
