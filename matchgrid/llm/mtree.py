@@ -7,7 +7,8 @@ entry of a page keeps its distance to the page's centre and, above the leaves, t
 
 A query first searches the trees of its own region.  That gives a k-th score, and only regions whose bound reaches it are
 searched in a second pass.  Inside a tree pages are taken best first; an entry whose stored distance already rules it out by
-the triangle inequality is left without computing its distance.  Scores are exact integers, bounds are rounded outwards.
+the triangle inequality is left without computing its distance.  Bounds are doubles rounded outwards; scores are exact
+integers, computed as such for the entries that are left wherever doubles might not hold them.
 """
 
 from __future__ import annotations
@@ -23,9 +24,16 @@ from pyspark.sql import functions as F
 
 from matchgrid.llm.common import ship, table, written
 
-PAGE = 512
-FAN_OUT = 16
+PAGE = 64
+FAN_OUT = 8
 SLACK = 1e-6
+#: Products of vectors whose squared lengths add up to less than twice this are whole numbers that doubles hold.
+EXACT = float(1 << 51)
+LONGEST = (1 << 63) - 1
+#: Bounds of scores are not lowered below this, as scores below the lowest long tie.
+LOWEST = -(2.0**62)
+#: Components beyond this are taken as this large, so that squares stay finite.
+FARTHEST = 1e150
 
 
 # ---- tree
@@ -36,6 +44,12 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
+def _score(a: np.ndarray, b: np.ndarray) -> int:
+    """The inner product of whole numbers, or the nearest long."""
+    exact = sum(int(x) * int(y) for x, y in zip(a.tolist(), b.tolist()))
+    return max(-LONGEST, min(LONGEST, exact))
+
+
 class Tree:
     """Pages over lifted points.  ``pages``: per page (centre, children or None, entries' vectors, ids or radii, distances to
     the centre, smallest id below)."""
@@ -92,7 +106,7 @@ class Tree:
         worst_id = np.inf
 
         def bound(distance):
-            return np.floor(reach - np.maximum(distance, 0) ** 2 / 2 + SLACK * (1 + abs(reach)))
+            return np.maximum(np.floor(reach - np.maximum(distance, 0) ** 2 / 2 + SLACK * (1 + abs(reach))), LOWEST)
 
         centre = self.pages[self.root][0]
         start = float(np.sqrt(max(0.0, 2 * (reach - query @ centre[:-1]))))
@@ -112,6 +126,9 @@ class Tree:
             products = points[open_, :-1] @ query
             if children is None:
                 ids = extra[open_]
+                if abs(reach) >= EXACT:  # doubles only bound these scores
+                    left = np.flatnonzero((np.maximum(products, LOWEST) >= worst - SLACK * (1 + abs(reach))) & (ids != own))
+                    ids, products = ids[left], np.array([_score(query, points[open_[k], :-1]) for k in left.tolist()], dtype=np.int64)
                 good = np.flatnonzero((products >= worst) & (ids != own))
                 if len(good) > k:  # the page's best and their ties
                     good = good[products[good] >= np.partition(products[good], len(good) - k)[len(good) - k]]
@@ -136,6 +153,11 @@ class Tree:
 # ---- vectors
 
 
+def _floor(x: Column) -> Column:
+    """Down to a whole number, as a double; from 2**52 on a double is one already."""
+    return F.when(F.abs(x) < F.lit(float(1 << 52)), F.floor(x).cast("double")).otherwise(F.greatest(F.least(x, F.lit(FARTHEST)), F.lit(-FARTHEST)))
+
+
 def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v): floor(scale * x) of each component; ids or vectors that are null, or that hold null, NaN or infinity, drop out.
 
@@ -144,7 +166,7 @@ def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str, scale: int)
     v = F.col(f"`{vector_col}`").cast("array<double>")
     sound = F.forall(v, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     base = vectors.filter(F.col(id_col).isNotNull() & v.isNotNull()).filter(sound)
-    return base.select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x * scale).cast("double")).alias("v"))
+    return base.select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: _floor(x * scale)).alias("v"))
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -170,19 +192,17 @@ def top_k(
     """(query_id, rank, id, score): the ``k`` rows of the highest integer inner product with each query row, without its own id.
 
     ``is_query`` is a condition on ``id``.  Ties go to the smaller id; repeated rows count as rows, a repeated query row as
-    one query.  Pivots (a documented sample of ``pivots`` rows by a hash of the id) only decide which tree a row lies in.
+    one query.  An empty table gives no rows.  Scores beyond a long are given as the nearest long.  Pivots (a documented sample of ``pivots`` rows by a hash of the id) only decide which tree a row lies in.
     """
     spark = vectors.sparkSession
     ship(spark)
     result = "query_id long, score long, id long"
     points = written(whole_numbers(vectors, id_col, vector_col, scale), "vectors")
-    facts = points.agg(F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))), F.count("*")).first()
+    facts = points.agg(F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)), F.count("*")).first()
     empty = spark.range(0).select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id"), F.col("id").alias("score"))
-    if not facts[3]:
+    if not facts[2]:
         return empty
-    width, longest, largest = max(1, facts[0]), facts[1], facts[2]
-    if largest * largest * width >= 2**52:
-        raise ValueError("products beyond 2**52 are not exact in doubles")
+    width, longest = max(1, facts[0]), facts[1]
     picked = points.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(pivots).collect()
     centres = _lift(np.array([list(r["v"]) + [0.0] * (width - len(r["v"])) for r in picked]), longest)
 
@@ -241,7 +261,7 @@ def top_k(
             reach = ((matrix * matrix).sum(axis=1) + longest) / 2
             distance = np.sqrt(np.maximum(0, 2 * (reach[:, None] - matrix @ centres[:, :-1].T)))
             far = np.array([regions[r][1] for r in known])
-            limit = np.floor(reach[:, None] - np.maximum(0, distance[:, known] - far) ** 2 / 2 + SLACK * (1 + np.abs(reach[:, None])))
+            limit = np.maximum(np.floor(reach[:, None] - np.maximum(0, distance[:, known] - far) ** 2 / 2 + SLACK * (1 + np.abs(reach[:, None]))), LOWEST)
             floor = batch.column(4).to_numpy(zero_copy_only=False).astype(float)
             home = batch.column(2).to_numpy()
             to = (~(limit < floor[:, None])) & (np.array(known)[None, :] != home[:, None])
