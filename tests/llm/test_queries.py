@@ -1,5 +1,8 @@
 """Queries with SQL against it; sharding, search and URL rules on odd tables; the pipeline against plain code."""
 
+from fractions import Fraction
+from math import floor
+
 import duckdb
 import numpy as np
 import public_tokenizers
@@ -59,15 +62,23 @@ def test_slots_are_gapless(spark, monkeypatch):
     assert sharding.numbered(sharding.with_shard(df.limit(0), "doc_id"), "shard", "doc_id", ["text"]).collect() == []
 
 
+def test_different_rows_of_one_key_are_dealt(spark):
+    df = spark.createDataFrame([(7, f"text {k}") for k in range(3000)], "doc_id long, text string")
+    keyed = df.select(sharding._run(F.col("doc_id"), F.col("text")).alias("run"))
+    assert keyed.distinct().count() > 900
+    out = sharding.numbered(sharding.with_shard(df, "doc_id"), "shard", "doc_id", ["text"]).collect()
+    assert sorted(r.slot for r in out) == list(range(3000)) and len({r.shard for r in out}) == 1
+
+
 # ---- search
 
 
 def nearest(rows, k, is_query):
-    rows = [(i, np.floor(np.array(v, float) * 256)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    rows = [(i, [floor(Fraction(x) * 256) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = set()
     for q, a in rows:
         if is_query(q):
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in rows if i != q)[:k]
+            scores = sorted((-max(1 - 2**63, min(2**63 - 1, sum(x * y for x, y in zip(a, b)))), i) for i, b in rows if i != q)[:k]
             out |= {(q, r + 1, i, int(-s)) for r, (s, i) in enumerate(scores)}
     return out
 
@@ -88,8 +99,40 @@ def test_search_in_small_tables(spark):
     got = sorted(tuple(r) for r in mtree.top_k(df, F.col("id") == 0).select("query_id", "rank", "id", "score").collect())
     assert got == [(0, 1, 1, 131072), (0, 2, 1, 131072)]
     assert mtree.top_k(df.limit(0), F.col("id") == 0).collect() == []
-    with pytest.raises(ValueError):
-        mtree.top_k(spark.createDataFrame([(0, [1e20])], df.schema), F.col("id") == 0)
+
+
+@pytest.mark.parametrize("large", [33_000.0, 1e7, 1e15, 1e30, 1e120])
+def test_scores_beyond_doubles(spark, large):
+    """Large components cost exactness nowhere; scores that no long holds are the nearest long."""
+    rng = np.random.default_rng(2)
+    rows = [(k, (rng.normal(size=4) * (large if k % 50 == 7 else 3 if k % 2 else large / 7)).tolist()) for k in range(300)] + [(400, [large] * 4), (401, [large] * 4), (425, [-large] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in mtree.top_k(df, F.col("id") % 25 == 0, pivots=3).select("query_id", "rank", "id", "score").collect()}
+    assert got == nearest(rows, 5, lambda q: q % 25 == 0)
+
+
+def test_search_over_several_levels():
+    """Pages of pages, with ties and floors, against all products; most pages stay closed."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(30, 6)) * 400
+    points = np.floor(np.concatenate([centres[rng.integers(0, 30, 9000)] + 20 * rng.normal(size=(9000, 6)), np.full((500, 6), 90.0)]))
+    ids = rng.permutation(len(points))
+    longest = float((points * points).sum(axis=1).max())
+    tree = mtree.Tree(ids, mtree._lift(points, longest))
+
+    def depth(page):
+        children = tree.pages[page][1]
+        return 1 if children is None else 1 + max(map(depth, children))
+
+    assert depth(tree.root) >= 3
+    for q in list(range(0, 9000, 600)) + [9100, 9400]:
+        scores = points @ points[q]
+        order = [k for k in np.lexsort((ids, -scores)) if k != q][:5]
+        want = [(int(scores[k]), int(ids[k])) for k in order]
+        reach = (points[q] @ points[q] + longest) / 2
+        assert tree.search(int(ids[q]), points[q], reach, 5, None) == want
+        assert tree.search(int(ids[q]), points[q], reach, 5, want[2][0]) == [w for w in tree.search(int(ids[q]), points[q], reach, 5, want[2][0]) if w[0] >= want[2][0]]
+        assert set(want[:3]) <= set(tree.search(int(ids[q]), points[q], reach, 5, want[2][0]))
 
 
 def test_tree_bounds_hold():
@@ -141,6 +184,31 @@ def test_mined_rules_judge_the_rest(spark):
     assert (got[300], got[301], got[302], got[303]) == ("block", "allow", "allow", "block")
 
 
+def test_rules_of_three_tokens(spark):
+    """Two tokens tell nothing, three do; the third kind of URL has each pair of them with the other verdict."""
+    block = [(k, f"http://x.net/a/b/c/{k}") for k in range(40)]
+    pairs = [p for p in ("a/b", "a/c", "b/c")]
+    allow = [(100 + k, f"http://y.org/fr/{pairs[k % 3]}/{k}") for k in range(90)]
+    asked = [(500, "http://z.com/a/b/c"), (501, "http://z.com/a/b"), (502, "http://z.com/c/b")]
+    rows = spark.createDataFrame(block + allow + asked, "page_id int, url string")
+    got = {r.page_id: r.verdict for r in url_rules.filtered(rows).collect()}
+    examples = spark.createDataFrame([(["a", "b", "c"], "block")] * 40 + [(p.split("/"), "allow") for p in pairs] * 30, "tokens array<string>, verdict string")
+    rules, known = url_rules.mine(examples)
+    found = {(tuple(r["items"]), r.verdict) for r in rules.collect()}
+    assert (("a", "b", "c"), "block") in found and got[500] == "block"
+    assert {r.token: r["item"] for r in known.collect()} == {"a": "a", "b": "b", "c": "c"}
+
+
+def test_long_hot_urls(spark):
+    """Forty parts in one URL that many rows have are one item; a part of them is enough to be judged."""
+    path = "/".join(f"part{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40))
+    rows = [(k, f"http://a.net/{path}") for k in range(200)] + [(300 + k, f"http://b.org/fr/news{k}") for k in range(100)] + [(900, "http://c.com/partab"), (901, "http://c.com/" + "x" * 300_000), (None, None), (None, None)]
+    got = {r.page_id: r.verdict for r in url_rules.filtered(spark.createDataFrame(rows, "page_id int, url string")).collect()}
+    assert (got[0], got[900], got[901], got[None]) == ("block", "block", "allow", "allow")
+    examples = spark.createDataFrame([(path.split("/"), "block")] * 20 + [(["news"], "allow")] * 20, "tokens array<string>, verdict string")
+    assert {tuple(r["items"]) for r in url_rules.mine(examples)[0].collect()} == {("partaa",), ("news",)}
+
+
 # ---- pipeline
 
 
