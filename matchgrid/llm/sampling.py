@@ -31,7 +31,9 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, learn, rows: int, lo
         part = own.filter(F.col("y") == y).orderBy(*order).limit(rows // 2)
         picked = part if picked is None else picked.unionByName(part)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter(F.octet_length("text") <= longest)
-    return texts.join(F.broadcast(picked), "id").select("id", "text", "y")
+    met = texts.join(F.broadcast(picked), "id")
+    # of an id with several texts the first by a hash, so that no more rows than ids come together
+    return met.groupBy("id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("id", "text", "y")
 
 
 def collected(sample: DataFrame, features: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> list:

@@ -1,14 +1,16 @@
 """Toxicity classifier with counterfactual regularisation.
 
 A logistic regression on which words and word beginnings occur in a text.  Labelled texts that mention an identity group
-are paired with copies in which each identity term is swapped for the next of its group; besides the usual loss, training
-penalises the squared difference of both scores, so a mention alone does not move the score of a neutral text.  The learned
+are paired with copies in which each identity term is swapped for the next of its group, all others with copies into which
+one term is inserted; besides the usual loss, training penalises the squared difference of both scores, so a mention alone
+does not move the score of a neutral text.  The learned
 table keeps only keys that carry weight; scoring looks up 64-bit hashes, so buckets are not shared between words.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,17 +69,24 @@ def distinct_keys(value: str) -> np.ndarray:
 
 
 def features(groups):
-    """Distinct keys of each text of a sample and, where it mentions a group, of its counterfactual copy."""
+    """Distinct keys of each text of a sample and of its counterfactual copy.
+
+    A text that mentions a group has its terms swapped.  Into any other one term, chosen by a hash of the text, is inserted
+    between two words: the copy has the keys of the text and, kept by themselves, those of the term.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         pattern, after = _swaps(groups)
-        own, other = [], []
+        own, other, added = [], [], []
+        terms = [distinct_keys(t) for t in after]
         for value in batch.column(1).to_pylist():
             value = value or ""
             swapped = pattern.sub(lambda m: after[m[0].lower()], value) if pattern else value
-            own.append(distinct_keys(value).tobytes())
+            keys = distinct_keys(value)
+            own.append(keys.tobytes())
             other.append(distinct_keys(swapped).tobytes() if swapped != value else None)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(own, pa.binary()), pa.array(other, pa.binary())], names=["id", "y", "keys", "swapped"])
+            added.append(terms[zlib.crc32(value.encode()) % len(terms)].tobytes() if terms and swapped == value else None)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, pa.binary()) for c in (own, other, added))], names=["id", "y", "keys", "swapped", "inserted"])
 
     return run
 
@@ -141,6 +150,7 @@ def train(rows: list, least: int = 4, margin: float = 3.5, epochs: int = 12, rat
     empty = np.zeros(0, np.uint64)
     own = [np.frombuffer(r["keys"], np.uint64) for r in rows]
     other = [None if r["swapped"] is None else np.frombuffer(r["swapped"], np.uint64) for r in rows]
+    added = [None if r["inserted"] is None else np.frombuffer(r["inserted"], np.uint64) for r in rows]
     y = np.array([int(r["y"]) for r in rows], np.int64)
     keys = np.unique(np.concatenate(own + [o for o in other if o is not None] or [empty]))
     keys = keys[telling([np.searchsorted(keys, k) for k in own], y, len(keys), least, margin)]
@@ -152,7 +162,8 @@ def train(rows: list, least: int = 4, margin: float = 3.5, epochs: int = 12, rat
         at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
         return at[keys[at] == k]
 
-    own, other = [places(k) for k in own], [None if k is None else places(k) for k in other]
+    own, other, added = [places(k) for k in own], [None if k is None else places(k) for k in other], [None if k is None else places(k) for k in added]
+    other = [np.union1d(o, a) if s is None and a is not None else s for o, s, a in zip(own, other, added)]
     weight, seen = np.zeros(len(keys)), np.full(len(keys), 1e-2)
     bias, bias_seen = 0.0, 1e-2
     rng = np.random.default_rng(seed)
@@ -185,7 +196,7 @@ def fit(
     """Learn from at most ``rows`` labelled texts of at most ``longest`` bytes (see ``sampling.sampled``)."""
     sample = sampled(docs, labels, label, learn, rows, longest, id_col, text_col)
     kind = sample.schema["id"].dataType.simpleString()
-    return train(collected(sample, features(groups), f"id {kind}, y int, keys binary, swapped binary"), **options)
+    return train(collected(sample, features(groups), f"id {kind}, y int, keys binary, swapped binary, inserted binary"), **options)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

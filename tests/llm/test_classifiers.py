@@ -5,7 +5,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from matchgrid.llm import quality, text, toxicity
+from pyspark.sql import functions as F
+
+from matchgrid.llm import quality, sampling, text, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -100,3 +102,25 @@ def test_linear_scoring_equals_averaged_vectors():
     for r, p in zip(rows, model.score(pa.array(["good text here", "BAD!! BAD!! BAD!!"])).to_pylist()):
         z = np.frombuffer(r["shares"], np.float32) @ model.weight[np.frombuffer(r["keys"], np.int32)] + model.bias
         assert abs(p - 1 / (1 + np.exp(-z))) < 1e-5
+
+
+def test_every_text_has_a_counterfactual_copy(spark):
+    """On registered data, where no text mentions a group: one pair a text, and a neutral mention moves no score."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    sample = sampling.sampled(docs, labels, "toxic", lambda c: sampling.fold(c, 4) != 2, 6000, 1 << 16)
+    rows = sampling.collected(sample, toxicity.features(toxicity.IDENTITY_TERMS), "id long, y int, keys binary, swapped binary, inserted binary")
+    assert len(rows) > 1000 and all((r["swapped"] is None) != (r["inserted"] is None) for r in rows)
+    assert len({r["inserted"] for r in rows}) > 60
+    model = toxicity.train(rows)
+    own = [r.text for r in docs.filter("doc_id < 60").collect()]
+    before = model.score(pa.array(own)).to_numpy()
+    for term in ("women", "muslims", "refugees", "deaf", "hommes", "turkish"):
+        after = model.score(pa.array([f"{t} {term}" for t in own])).to_numpy()
+        assert np.abs(after - before).max() < 0.05
+
+
+def test_one_text_of_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows = sampling.sampled(docs, labels, "toxic", lambda c: F.lit(True), 100, 1000).collect()
+    assert sorted(r.id for r in rows) == [1, 2]
