@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.llm.common import ship, table, written
 
-PAGE = 64
+PAGE = 128
 FAN_OUT = 8
 SLACK = 1e-6
 #: Products of vectors whose squared lengths add up to less than twice this are whole numbers that doubles hold.
@@ -68,9 +68,11 @@ class Tree:
         return len(self.pages) - 1
 
     def _groups(self, points: np.ndarray) -> list[np.ndarray]:
-        seeds = self.rng.choice(len(points), FAN_OUT, replace=False)
+        # pages come out about half full, not in splinters
+        parts = min(FAN_OUT, -(-2 * len(points) // PAGE))
+        seeds = self.rng.choice(len(points), parts, replace=False)
         nearest = _distances(points, points[seeds]).argmin(axis=1)
-        groups = [np.flatnonzero(nearest == k) for k in range(FAN_OUT)]
+        groups = [np.flatnonzero(nearest == k) for k in range(parts)]
         if max(map(len, groups)) > 0.9 * len(points):  # nearly all alike: cut by place
             groups = np.array_split(np.arange(len(points)), min(FAN_OUT, -(-len(points) // PAGE)))
         return [g for g in groups if len(g)]
