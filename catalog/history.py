@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.tables import odds, odds_sql, present, scratch, table
 from matchgrid.operators import history
+from matchgrid.operators.asof import asof_join
 from matchgrid.plans import versions
 from matchgrid.sources import files
 
@@ -60,12 +61,24 @@ def _growth(spark, sf):
     return present(history.growth_accounting(events, ["user_id"], F.expr("unix_seconds(cast(ts as timestamp)) div 21600")))
 
 
+def _played(spark, sf):
+    """Scores of 20 venues with the weather at that time: the newest report of the last six hours; one venue is half of all."""
+    events = table(spark, sf, "events")
+    venue = F.expr("if(event_id % 2 = 0, 20, user_id % 20)").alias("venue")
+    at = F.col("ts").cast("timestamp")
+    games = events.filter("event_id % 3 = 0").select("event_id", venue, at.alias("played"), F.expr("event_id % 120 + (event_id * 7) % 110").alias("points"))
+    reports = events.filter("event_id % 15 = 7").select(venue, at.alias("reported"), F.expr("floor(value) / 8").alias("temperature"), F.expr("event_id % 37").alias("wind"))
+    return asof_join(games, reports, ["venue"], "played", "reported", ["temperature", "wind"], F.expr("interval 6 hours"))
+
+
 QUERIES = {
     "stored_versions": lambda s, sf: present(versions.versions(_stored(s, sf), _BOOK, _BAND)),
     "versions_as_of": lambda s, sf: present(versions.as_of(_stored(s, sf), F.lit("2024-01-12 06:30:00").cast("timestamp"))),
     "change_feed": _feed,
     "change_feed_applied": _applied,
     "growth_accounting": _growth,
+    "weather_at_game_time": lambda s, sf: present(_played(s, sf)),
+    "weather_at_game_correlation": lambda s, sf: present(history.correlation(_played(s, sf), "temperature", "points", ["venue"]), 4),
 }
 
 _SEEN = f"""WITH {odds_sql('hour')}, o AS (SELECT game_id, CASE WHEN event_id % 29 <> 0 THEN bookmaker_key END AS bookmaker_key, bookmaker_last_update AS valid_from,
@@ -79,8 +92,17 @@ new AS (
   SELECT k, CASE WHEN busy AND c % 7 = 0 THEN p + 1 ELSE p END AS p, s FROM (SELECT *, unnest(range(CASE WHEN busy AND c % 17 = 0 THEN 3 ELSE 1 END)) FROM o WHERE NOT busy OR c % 13 <> 0)
   UNION ALL SELECT -k, p, s FROM o WHERE busy AND c % 11 = 0
 )"""
+_PLAYED = """WITH v AS (SELECT *, CASE WHEN event_id % 2 = 0 THEN 20 ELSE user_id % 20 END AS venue FROM events),
+g AS (SELECT event_id, venue, ts AS played, event_id % 120 + (event_id * 7) % 110 AS points FROM v WHERE event_id % 3 = 0),
+w AS (SELECT venue, ts AS reported, max(struct_pack(temperature := floor(value) / 8, wind := event_id % 37)) AS s FROM v WHERE event_id % 15 = 7 GROUP BY ALL),
+j AS (SELECT event_id, g.venue, played, points, CASE WHEN reported >= played - INTERVAL 6 HOUR THEN reported END AS matched_at,
+  CASE WHEN reported >= played - INTERVAL 6 HOUR THEN s END AS s FROM g ASOF LEFT JOIN w ON g.venue = w.venue AND g.played >= w.reported),
+p AS (SELECT * EXCLUDE (s), s.temperature AS temperature, s.wind AS wind FROM j)"""
 
 ORACLE = {
+    "weather_at_game_time": f"{_PLAYED} SELECT * REPLACE (round(temperature, 6) AS temperature) FROM p",
+    "weather_at_game_correlation": f"""{_PLAYED} SELECT venue, count(*) AS pairs, round(corr(temperature, points::DOUBLE), 4) AS correlation FROM p
+WHERE temperature IS NOT NULL GROUP BY 1""",
     "stored_versions": f"""{_SEEN} SELECT game_id, bookmaker_key, band, home_team, valid_from, until AS valid_to, until IS NULL AS is_current
 FROM (SELECT *, lead(valid_from) OVER (PARTITION BY game_id, bookmaker_key ORDER BY valid_from) AS until FROM c WHERE changed) WHERE NOT deleted""",
     "versions_as_of": f"""{_SEEN} SELECT game_id, bookmaker_key, band, home_team, valid_from, next_at AS valid_to FROM c

@@ -172,7 +172,7 @@ def _sort_key(value: object) -> tuple:
     return value is not None, nan, 0 if nan or value is None else value
 
 
-def _carried(df: DataFrame, extra: DataFrame, on: Sequence[str]) -> DataFrame:
+def carried(df: DataFrame, extra: DataFrame, on: Sequence[str]) -> DataFrame:
     """Join the carries of hot keys: at most ``BLOCKS + 1`` rows for each shuffle partition, so they are sent to every task."""
     renamed = F.broadcast(extra.withColumnsRenamed({k: f"_match_{k}" for k in on}))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_match_{k}")) for k in on])
@@ -226,7 +226,7 @@ def _scanned(df: DataFrame, frame: Frame, cut: Cuts) -> DataFrame:
             blocks = attach(blocks, ends.groupBy(*inside).agg(*tails), inside)
             for c in trailing:
                 carry[f"_before{slot[c]}"] = F.flatten(F.collect_list(f"_tail{slot[c]}").over(by_block.rowsBetween(-(depth - 1), -1)))
-        rows = _carried(rows, blocks.withColumns(carry).select(*inside, *carry), inside)
+        rows = carried(rows, blocks.withColumns(carry).select(*inside, *carry), inside)
 
     def combined(kind: str, name: str, c: str) -> Column:
         now = F.col(f"_{kind}_{name}")
@@ -297,7 +297,7 @@ def neighbor(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Seq
     edge = (F.min_by if following else F.max_by)(here, at).alias("_edge")
     edges = df.filter(cut.hot()).withColumn("_block", cut.block()).groupBy(*inside).agg(edge)
     beyond = edges.withColumn("_beyond", step("_edge").over(Window.partitionBy(*keys).orderBy("_block"))).drop("_edge")
-    return _carried(rows, beyond, inside).withColumn(name, F.coalesce("_near", "_beyond")).select(*df.columns, name)
+    return carried(rows, beyond, inside).withColumn(name, F.coalesce("_near", "_beyond")).select(*df.columns, name)
 
 
 def value_run(df: DataFrame, value: str) -> Column:
