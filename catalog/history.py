@@ -101,7 +101,7 @@ p AS (SELECT * EXCLUDE (s), s.temperature AS temperature, s.wind AS wind FROM j)
 
 ORACLE = {
     "weather_at_game_time": f"{_PLAYED} SELECT * REPLACE (round(temperature, 6) AS temperature) FROM p",
-    "weather_at_game_correlation": f"""{_PLAYED} SELECT venue, count(*) AS pairs, round(corr(temperature, points::DOUBLE), 4) AS correlation FROM p
+    "weather_at_game_correlation": f"""{_PLAYED} SELECT venue, count(*) AS pairs, CASE WHEN stddev_pop(temperature) * stddev_pop(points) > 0 THEN round(corr(temperature, points::DOUBLE), 4) END AS correlation FROM p
 WHERE temperature IS NOT NULL GROUP BY 1""",
     "stored_versions": f"""{_SEEN} SELECT game_id, bookmaker_key, band, home_team, valid_from, until AS valid_to, until IS NULL AS is_current
 FROM (SELECT *, lead(valid_from) OVER (PARTITION BY game_id, bookmaker_key ORDER BY valid_from) AS until FROM c WHERE changed) WHERE NOT deleted""",

@@ -46,9 +46,9 @@ def scd2(
 
 
 def correlation(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    """Pearson correlation of two measures with the number of pairs (rows where both are known)."""
+    """Pearson correlation of two measures with the number of pairs (rows where both are known); NULL where one never varies."""
     both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    return both.groupBy(*by).agg(F.count(F.lit(1)).alias("pairs"), F.corr(x, y).alias("correlation"))
+    return both.groupBy(*by).agg(F.count(F.lit(1)).alias("pairs"), F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias("correlation"))
 
 
 # -- what changed between two states of a table ------------------------------------------------------------------
