@@ -468,7 +468,7 @@ def team_game_sequence(
     """Position of each game in its team's month, as rows (``position`` from 1), of any group size."""
     order = ["partition_day", "game_id", "team_type"]
     rows = perf.select(*by, *order, F.col(score).alias("score"))
-    frame = Frame(by, order, {"position": Running("count")}, F.col("partition_day"))
+    frame = Frame(by, order, {"position": Running("count")})
     return running(rows, [frame])
 
 
