@@ -1,4 +1,4 @@
-"""Histories: stored versions, change feeds between two states of a table, growth of the active users."""
+"""Histories: stored versions, change feeds between two states of a table, growth of the active users, news and weather of games."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.tables import odds, odds_sql, present, scratch, table
 from matchgrid.operators import history
 from matchgrid.operators.asof import asof_join
+from matchgrid.operators.mentions import mentions, news_before_games, words
 from matchgrid.plans import versions
 from matchgrid.sources import files
 
@@ -71,7 +72,28 @@ def _played(spark, sf):
     return asof_join(games, reports, ["venue"], "played", "reported", ["temperature", "wind"], F.expr("interval 6 hours"))
 
 
+def _mentions(spark, sf):
+    """The first words of every document are a name; every name is searched in every document."""
+    texts = table(spark, sf, "documents").selectExpr(
+        "doc_id", "text", "timestamp'2024-01-01' + make_dt_interval(0, doc_id * 37 % 720) as published", "case when doc_id % 5 <> 0 then doc_id % 16 / 16 end as mood"
+    )
+    names = texts.select(F.array_join(F.slice(words(F.col("text")), 1, 2 + (F.col("doc_id") % 2).cast("int")), " ").alias("name")).distinct()
+    return mentions(texts, names.filter("name <> ''").withColumn("team", F.length("name") % 20), "text", "name", ["doc_id", "published", "mood"])
+
+
+def _news_and_points(spark, sf):
+    """The points of a team's games with its news of the two days before."""
+    folder = scratch(spark, "mentions")  # read several times below; the texts are searched once
+    _mentions(spark, sf).groupBy("doc_id", "published", "mood", "team").agg(F.sum("mentions").alias("mentions")).write.parquet(folder)
+    found = spark.read.parquet(folder)
+    games = table(spark, sf, "events").selectExpr("event_id", "cast(user_id % 20 as int) as team", "cast(ts as timestamp) as played", "event_id % 120 as points")
+    return news_before_games(games, found, "team", "played", "published", F.expr("interval 2 days"), "mood")
+
+
 QUERIES = {
+    "news_mentions": lambda s, sf: present(_mentions(s, sf).select("doc_id", "name", "mentions")),
+    "news_before_games": lambda s, sf: present(_news_and_points(s, sf)),
+    "news_points_correlation": lambda s, sf: present(history.correlation(_news_and_points(s, sf), "mentions", "points", ["team"]), 4),
     "stored_versions": lambda s, sf: present(versions.versions(_stored(s, sf), _BOOK, _BAND)),
     "versions_as_of": lambda s, sf: present(versions.as_of(_stored(s, sf), F.lit("2024-01-12 06:30:00").cast("timestamp"))),
     "change_feed": _feed,
@@ -98,8 +120,22 @@ w AS (SELECT venue, ts AS reported, max(struct_pack(temperature := floor(value)
 j AS (SELECT event_id, g.venue, played, points, CASE WHEN reported >= played - INTERVAL 6 HOUR THEN reported END AS matched_at,
   CASE WHEN reported >= played - INTERVAL 6 HOUR THEN s END AS s FROM g ASOF LEFT JOIN w ON g.venue = w.venue AND g.played >= w.reported),
 p AS (SELECT * EXCLUDE (s), s.temperature AS temperature, s.wind AS wind FROM j)"""
+_MENTIONS = """WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS ws FROM documents),
+n AS (SELECT DISTINCT array_to_string(ws[1:2 + doc_id % 2], ' ') AS name FROM d WHERE len(ws) > 0),
+r AS (SELECT doc_id, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS name FROM d, (SELECT unnest([1, 2, 3]) AS k)),
+m AS (SELECT doc_id, name, count(*) AS mentions FROM r JOIN n USING (name) GROUP BY ALL)"""
+_BEFORE = f"""{_MENTIONS},
+f AS (SELECT doc_id, length(name) % 20 AS team, TIMESTAMP '2024-01-01' + to_hours(doc_id * 37 % 720) AS published, CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 16) / 16e0 END AS mood,
+  sum(mentions) AS mentions FROM m GROUP BY ALL),
+p AS (SELECT event_id, g.user_id % 20 AS team, g.ts AS played, event_id % 120 AS points, max(published) AS last_published, count(doc_id) AS articles,
+  coalesce(sum(mentions), 0)::BIGINT AS mentions, round(avg(mood), 6) AS avg_sentiment
+  FROM events g LEFT JOIN f ON f.team = g.user_id % 20 AND published <= g.ts AND published > g.ts - INTERVAL 2 DAY GROUP BY ALL)"""
 
 ORACLE = {
+    "news_mentions": f"{_MENTIONS} SELECT * FROM m",
+    "news_before_games": f"{_BEFORE} SELECT * FROM p",
+    "news_points_correlation": f"""{_BEFORE} SELECT team, count(*) AS pairs, CASE WHEN stddev_pop(mentions) * stddev_pop(points) > 0 THEN round(corr(mentions::DOUBLE, points::DOUBLE), 4) END AS correlation
+FROM p GROUP BY 1""",
     "weather_at_game_time": f"{_PLAYED} SELECT * REPLACE (round(temperature, 6) AS temperature) FROM p",
     "weather_at_game_correlation": f"""{_PLAYED} SELECT venue, count(*) AS pairs, CASE WHEN stddev_pop(temperature) * stddev_pop(points) > 0 THEN round(corr(temperature, points::DOUBLE), 4) END AS correlation FROM p
 WHERE temperature IS NOT NULL GROUP BY 1""",

@@ -227,6 +227,19 @@ def _stream_late(spark, sf):
     return _show(_streamed(spark, live.market_window(rows, WIDTH, delay=DELAY), ["window", "game_id"]))
 
 
+def _stream_sketches(spark, sf):
+    """Hourly sketches of a stream, merged over each kind's windows, beside the exact numbers of the whole table."""
+    rows = _stream(spark, sf).selectExpr("cast(ts as timestamp) as ts", "event_type", "user_id", "value")
+    windows = _streamed(spark, live.sketch_window(rows, ["event_type"], "value", "user_id", "1 hour", delay=NO_LATE), ["window", "event_type"])
+    merged = live.merged_sketches(windows, ["event_type"])
+    at = {f"q{q}": F.avg((F.col("value") <= F.col(f"q{q}")).cast("int")) for q in (25, 50, 75)}
+    beside = _events(spark, sf).join(merged, "event_type").groupBy("event_type", "messages", "distinct_estimate")
+    exact = beside.agg(F.count(F.lit(1)).alias("exact_messages"), F.count_distinct("user_id").alias("users"), *[c.alias(n) for n, c in at.items()])
+    near = [(F.abs(F.col(f"q{q}") - q / 100) <= 0.05).alias(f"q{q}_within_bound") for q in (25, 50, 75)]
+    close = (F.abs(F.col("distinct_estimate") - F.col("users")) <= 0.07 * F.col("users")).alias("users_within_bound")
+    return present(exact.select("event_type", "messages", "exact_messages", "users", close, *near))
+
+
 def _soon(messages: DataFrame) -> DataFrame:
     """Adaptive windows over games that start every 6 hours; one message in ten says that the game has begun."""
     start = F.expr("timestamp_seconds(ceil(unix_seconds(ts) / 21600) * 21600)")
@@ -288,6 +301,7 @@ QUERIES = {
     "stream_odds_window": _stream_odds,
     "stream_weather_window": _stream_weather,
     "stream_news_sentiment": _stream_news,
+    "stream_sketches": _stream_sketches,
     "stream_dedup": _stream_dedup,
     "stream_json_messages": _stream_messages,
     "stream_news_joined": _stream_news_joined,
@@ -473,6 +487,8 @@ FROM counted GROUP BY {_B}, user_id % 20""",
     "stream_weather_window": f"WITH {_WEATHER_SQL} {_WEATHER_ROUNDED}",
     "news_sentiment": _SENTIMENT_SQL,
     "stream_news_sentiment": _SENTIMENT_SQL,
+    "stream_sketches": """SELECT event_type, count(*) AS messages, count(*) AS exact_messages, count(DISTINCT user_id) AS users, true AS users_within_bound,
+  true AS q25_within_bound, true AS q50_within_bound, true AS q75_within_bound FROM events GROUP BY 1""",
     "news_relevance": f"SELECT {_NEWS}, {_RELEVANCE} FROM events GROUP BY {_B}",
     "news_entities": f"SELECT {_NEWS}, {_ENTITIES} FROM events GROUP BY {_B}",
     "news_totals": f"SELECT {_NEWS}, {_RELEVANCE}, {_ENTITIES} FROM events GROUP BY {_B}",

@@ -308,3 +308,33 @@ def market_window(
         F.sum("volume.total").alias("total_market_volume"),
     ]
     return _windowed(df, ts, width, delay, keys, aggs)
+
+
+def sketch_window(
+    messages: DataFrame, keys: Sequence[str], value: str, distinct: str, width: str = "5 minutes", ts: str = "ts", delay: str = "10 minutes", lg_k: int = 12, k: int = 200
+) -> DataFrame:
+    """Windows with sketches of bounded size: distinct ``distinct`` (HyperLogLog) and the distribution of ``value`` (KLL).
+
+    A sketch stays mergeable (:func:`merged_sketches`), as exact distinct counts and percentiles of windows do not, and
+    holds a few KB of state whatever the number of messages.  Standard error of a distinct count: 1.04 / sqrt(2^lg_k), 1.6 %
+    by default; a quantile's rank is off by 1.65 % or less in 99 of 100 cases with ``k`` = 200, about as 1 / k.  NULLs do
+    not count.
+    """
+    aggs = [
+        F.count(F.lit(1)).alias("messages"),
+        F.hll_sketch_agg(distinct, lg_k).alias("distinct_sketch"),
+        F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("value_sketch"),
+    ]
+    return _windowed(messages, ts, width, delay, keys, aggs)
+
+
+def merged_sketches(windows: DataFrame, keys: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Counts, distinct counts and quantiles (``q25``, ...) over the windows of each ``keys``, from their sketches alone."""
+    merged = windows.groupBy(*keys).agg(
+        F.sum("messages").alias("messages"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct_sketch")).alias("distinct_estimate"),
+        F.kll_merge_agg_double("value_sketch").alias("_values"),
+    )
+    some = F.kll_sketch_get_n_double("_values") > 0
+    at = [F.when(some, F.kll_sketch_get_quantile_double("_values", F.lit(q))).alias(f"q{round(q * 100):02d}") for q in quantiles]
+    return merged.select(*keys, "messages", "distinct_estimate", *at)

@@ -160,3 +160,18 @@ def test_every_sport_has_a_window(spark, sport):
     empty = spark.createDataFrame([], schemas.LIVE_GAMES[sport])
     out = live.live_game_window(runner.with_event_time(empty), sport)
     assert out.count() == 0 and "home_team_score" in out.columns
+
+
+def test_merged_sketches(spark):
+    """Sketches of windows merged: exact for few values, within the stated errors for many, NULLs left out."""
+    rows = spark.range(200_000).selectExpr("timestamp_seconds(id % 7200) as ts", "'many' as kind", "(id * 7919) % 200000 as value", "id % 50000 as who")
+    few = spark.range(90).selectExpr("timestamp_seconds(id * 60) as ts", "'few' as kind", "if(id % 3 = 0, null, id) as value", "if(id % 2 = 0, null, id % 7) as who")
+    none = spark.range(5).selectExpr("timestamp_seconds(id) as ts", "'none' as kind", "cast(null as long) as value", "cast(null as long) as who")
+    windows = live.sketch_window(rows.unionByName(few).unionByName(none), ["kind"], "value", "who")
+    got = {r.kind: r for r in live.merged_sketches(windows, ["kind"]).collect()}
+    assert (got["many"].messages, got["few"].messages, got["none"].messages) == (200_000, 90, 5)
+    assert abs(got["many"].distinct_estimate - 50_000) <= 4 * 0.0163 * 50_000
+    assert all(abs(got["many"][f"q{q}"] / 200_000 - q / 100) <= 0.05 for q in (25, 50, 75))
+    values = sorted(k for k in range(90) if k % 3)
+    assert got["few"].distinct_estimate == 7 and got["few"].q50 == values[29]
+    assert (got["none"].distinct_estimate, got["none"].q50) == (0, None)
