@@ -78,7 +78,7 @@ def _flatten_odds(spark, sf):
 
 
 def _best_prices(spark, sf):
-    out = odds_feed.best_prices(odds_feed.explode_outcomes(_odds_games(spark, sf)))
+    out = odds_feed.best_prices(odds_feed.explode_outcomes(_odds_games(spark, sf)), books_as_lists=True)
     n = [F.size(f"{s}_odds_by_bookie").alias(f"{s}_books") for s in ("home", "away")]
     return present(out.select("*", *n).drop("home_odds_by_bookie", "away_odds_by_bookie"))
 

@@ -144,7 +144,8 @@ def route_news(
 ) -> DataFrame:
     """Articles of all dialects in one pass, each normalised by the dialect its row names.
 
-    Rows of an unknown dialect stay, with NULL in every column but ``keep``, so nothing is lost unseen.
+    Rows of an unknown dialect pass through: what they have in columns of the common schema's names and types stays, the
+    rest is NULL.
     """
     by_dialect = {name: _fields(name, as_of) for name in ("newsapi", "gnews", "rss")}
     out = []
@@ -153,8 +154,11 @@ def route_news(
         for name, fields in by_dialect.items():
             test = F.col(dialect) == name
             choice = F.when(test, fields[c]) if choice is None else choice.when(test, fields[c])
-        out.append(choice.alias(c))
-    return articles.select(*keep, *out)
+        out.append(choice)
+    known = articles.select(*[choice.alias(c) for c, choice in zip(NEWS_COLUMNS, out)]).schema
+    own = {f.name for f in articles.schema if f.name in NEWS_COLUMNS and f.dataType == known[f.name].dataType}
+    passed = [choice.otherwise(F.col(c)) if c in own else choice for c, choice in zip(NEWS_COLUMNS, out)]
+    return articles.select(*keep, *[choice.alias(c) for c, choice in zip(NEWS_COLUMNS, passed)])
 
 
 _ARTICLE_LIST = (

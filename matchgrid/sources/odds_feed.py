@@ -88,25 +88,26 @@ def explode_outcomes(games: DataFrame) -> DataFrame:
     )
 
 
-def best_prices(outcomes: DataFrame, books_as_lists: bool = True) -> DataFrame:
+def best_prices(outcomes: DataFrame, books_as_lists: bool = False) -> DataFrame:
     """Best price per side and number of bookmakers over all outcomes of a game.
 
-    ``books_as_lists`` adds the prices per bookmaker; one entry per bookmaker and price, sorted by bookmaker.
+    ``books_as_lists`` adds each bookmaker's newest price per side (of equally new ones the greatest), sorted by bookmaker; it
+    has one entry per bookmaker, however many quotes a game has.
     """
-
-    def side(s: str) -> Column:
-        return F.col("outcome") == F.col(f"{s}_team")
-
-    aggs = [F.max(F.when(side(s), F.col("price"))).alias(f"best_{s}_odds") for s in ("home", "away")]
-    if books_as_lists:
-        entry = F.struct(F.col("bookmaker_key").alias("bookie_key"), "price")
-        aggs += [
-            F.array_sort(F.collect_set(F.when(side(s), entry))).alias(f"{s}_odds_by_bookie") for s in ("home", "away")
-        ]
-    return outcomes.groupBy("game_id", *_GAME).agg(
-        *aggs,
-        F.count_distinct("bookmaker_key").alias("bookmakers_count"),
-        F.max("last_update").alias("last_update"),
+    sides = ("home", "away")
+    price = {s: F.when(F.col("outcome") == F.col(f"{s}_team"), F.col("price")) for s in sides}
+    age = {s: F.when(price[s].isNotNull(), F.struct("last_update", "price")) for s in sides}
+    books = outcomes.groupBy("game_id", *_GAME, "bookmaker_key").agg(
+        *[F.max(price[s]).alias(f"_best_{s}") for s in sides],
+        *[F.max(age[s])["price"].alias(f"_newest_{s}") for s in sides if books_as_lists],
+        F.max("last_update").alias("_update"),
+    )
+    entry = {s: F.when(F.col(f"_newest_{s}").isNotNull(), F.struct(F.col("bookmaker_key").alias("bookie_key"), F.col(f"_newest_{s}").alias("price"))) for s in sides if books_as_lists}
+    return books.groupBy("game_id", *_GAME).agg(
+        *[F.max(f"_best_{s}").alias(f"best_{s}_odds") for s in sides],
+        *[F.array_sort(F.collect_list(entry[s])).alias(f"{s}_odds_by_bookie") for s in sides if books_as_lists],
+        F.count("bookmaker_key").alias("bookmakers_count"),
+        F.max("_update").alias("last_update"),
     )
 
 

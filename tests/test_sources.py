@@ -93,7 +93,7 @@ def test_live_odds(spark):
     assert e1.avg_home_odds == pytest.approx(2.0)
     assert (got["e2"].best_home_odds, got["e2"].avg_home_odds, got["e2"].bookmakers_count) == (None, None, 0)
     assert (got["e3"].best_home_odds, got["e3"].bookmakers_count) == (None, 0)
-    best = odds_feed.best_prices(odds_feed.explode_outcomes(games)).first()
+    best = odds_feed.best_prices(odds_feed.explode_outcomes(games), books_as_lists=True).first()
     assert (best.best_home_odds, best.best_away_odds, best.bookmakers_count) == (2.1, 2.0, 2)
 
 
@@ -163,9 +163,10 @@ def test_news_dialects(spark):
     }
     rss = {"link": "http://n/2", "title": "t", "published": "garbage", "summary": "s", "tags": ["a", "b"], "score": 0.7}
     default = dt.datetime(2030, 1, 1)
-    raw = spark.createDataFrame([(json.dumps(api), "newsapi"), (json.dumps({**api, "category": ["x"], "source": None}), "gnews"), (json.dumps(rss), "rss"), ("{}", "fax")], "value string, dialect string")
+    raw = spark.createDataFrame([(json.dumps(api), "newsapi"), (json.dumps({**api, "category": ["x"], "source": None}), "gnews"), (json.dumps(rss), "rss"), (json.dumps({"title": "as is", "url": "http://n/3"}), "fax")], "value string, dialect string")
     got = {r.dialect: r for r in news_feed.route_news(news_feed.parse_articles(raw), as_of=F.lit(default), keep=("dialect",)).collect()}
     assert set(got) == {"newsapi", "gnews", "rss", "fax"} and got["fax"].news_id is None
+    assert (got["fax"].title, got["fax"].url, got["fax"].source) == ("as is", "http://n/3", None)
     a = got["newsapi"]
     assert a.news_id == "news_" + hashlib.md5(b"http://n/1").hexdigest()
     assert (a.source, a.content, a.categories) == ("Paper", "d", ["basketball", "nba", "sports"])
@@ -177,6 +178,19 @@ def test_news_dialects(spark):
     assert r.relevance_score == pytest.approx(0.7)
 
 
+def test_best_prices_keep_the_newest_price_of_a_bookmaker(spark):
+    game = ("g", "k", "t", "c", "H", "A")
+    quotes = [("b1", "H", 2.0, 1), ("b1", "H", 1.5, 2), ("b1", "A", 3.0, 1), ("b2", "H", 1.8, 1), ("b2", "H", None, 9), ("b2", "Draw", 9.0, 1)]
+    keys = ["game_id", *odds_feed._GAME]
+    rows = spark.createDataFrame([(*game[: len(keys)], b, o, p, u) for b, o, p, u in quotes], [*keys, "bookmaker_key", "outcome", "price", "last_update"])
+    rows = rows.withColumns({"home_team": F.lit("H"), "away_team": F.lit("A")})
+    best = odds_feed.best_prices(rows, books_as_lists=True).first()
+    assert [tuple(b) for b in best.home_odds_by_bookie] == [("b1", 1.5), ("b2", 1.8)]
+    assert [tuple(b) for b in best.away_odds_by_bookie] == [("b1", 3.0)]
+    assert (best.best_home_odds, best.best_away_odds, best.bookmakers_count, best.last_update) == (2.0, 3.0, 2, 9)
+    assert "home_odds_by_bookie" not in odds_feed.best_prices(rows).columns
+
+
 def test_article_and_feed_rows(spark):
     raw = docs(spark, {"totalArticles": 2, "articles": [{"title": "a", "source": {"name": "S"}}, {"title": "b"}]}, {"articles": []})
     assert sorted((r.title, r.source, r.total_articles) for r in news_feed.article_rows(raw).collect()) == [("a", "S", 2), ("b", None, 2)]
