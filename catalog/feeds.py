@@ -14,12 +14,14 @@ from catalog.tables import (
     odds,
     odds_sql,
     present,
+    scratch,
     table,
 )
 from matchgrid.functions import news_id
 from matchgrid.operators import filters
 from matchgrid.operators import games as game_ops
-from matchgrid.sources import boxscore, news_feed, odds_feed, reshape, scoreboard, weather_feed
+from matchgrid.sources import boxscore, files, news_feed, odds_feed, reshape, scoreboard, weather_feed
+from matchgrid.sources.reshape import GAME_LEADERS
 
 def now():
     return F.lit("2024-03-01").cast("timestamp")
@@ -42,7 +44,8 @@ def _curated(spark, sf, sport):
 def _staged(spark, sf, sport):
     ints = {"NBA": ["rebounds", "assists"], "NHL": ["goals", "assists", "saves", "points"]}.get(sport, [])
     floats = {"NBA": ["field_goals", "three_pointers", "free_throws"], "NHL": ["save_pct"]}.get(sport, [])
-    return game_ops.stage_games(_curated(spark, sf, sport), ints, floats, ["home_leaders", "away_leaders"])
+    sides = list(GAME_LEADERS) if sport in ("NFL", "CFB") else ["home_leaders", "away_leaders"]
+    return game_ops.stage_games(_curated(spark, sf, sport), ints, floats, sides)
 
 
 def _staged_flat(spark, sf, sport):
@@ -52,6 +55,12 @@ def _staged_flat(spark, sf, sport):
     return present(staged.select("*", *best).drop("home_leaders", "away_leaders"))
 
 
+def _staged_football(spark, sf, sport):
+    """Football has one leader of each kind for the whole game."""
+    leaders = [F.col(f"{kind}.{f}").alias(f"{kind}_{f}") for kind in GAME_LEADERS for f in ("name", "display_value", "value", "team")]
+    return present(_staged(spark, sf, sport).select("*", *leaders).drop(*GAME_LEADERS))
+
+
 def _curated_counts(spark, sf):
     nested = reshape.nest_games(_flat(spark, sf, "CFB"), "CFB")
     return present(
@@ -171,8 +180,8 @@ def _football_boxscore(spark, sf):
     return present(rows.select(*[c for c in rows.columns if c != "scores"], "scores.quarter_1", "scores.total"))
 
 
-def _projection(spark, sf):
-    return present(reshape.project_live_games(_flat(spark, sf, "NBA"), "NBA"))
+def _projection(spark, sf, sport="NBA"):
+    return present(reshape.project_live_games(_flat(spark, sf, sport), sport))
 
 
 def _nested_football(spark, sf):
@@ -204,6 +213,19 @@ def _baseball(spark, sf):
     return present(out.select(*[c for c in out.columns if c != "stats"], "stats.batting.*", "stats.pitching.*"))
 
 
+def _raw_day(spark, sf):
+    """Daily odds documents landed one folder a day; each day is read by its name, one of them was never written."""
+    root = scratch(spark, "raw")
+    days = ["2024-01-15", "2024-01-16", "2024-01-17"]
+    quotes = odds(spark, sf).select("game_id", "home_price", F.date_format("bookmaker_last_update", "yyyy-MM-dd").alias("day"), F.to_json(F.struct("event_id", "home_team", "away_price")).alias("extra"))
+    for day in (days[0], days[2]):
+        quotes.filter(F.col("day") == day).drop("day").write.json(f"{root}/{day}/odds.json")
+    schema = "game_id STRING, home_price BIGINT, extra STRING, never_there INT"
+    read = [files.read_json_day(spark, root, day, "odds.json", schema, multi_line=False).withColumn("day", F.lit(day)) for day in days]
+    rows = files.merge_columns(*read).withColumn("away_price", F.get_json_object("extra", "$.away_price").cast("bigint"))
+    return present(rows.drop("extra"))
+
+
 def _listing(spark, sf):
     events = scoreboard.explode_scoreboard(docs.scoreboard_pages(spark, sf, "CFB"))
     return present(scoreboard.game_listing(events, "college-football"))
@@ -228,6 +250,8 @@ QUERIES = {
     "curated_games": _curated_counts,
     "nba_staged_games": lambda s, sf: _staged_flat(s, sf, "NBA"),
     "nhl_staged_games": lambda s, sf: _staged_flat(s, sf, "NHL"),
+    "nfl_staged_games": lambda s, sf: _staged_football(s, sf, "NFL"),
+    "cfb_staged_games": lambda s, sf: _staged_football(s, sf, "CFB"),
     "live_odds_flatten": _flatten_odds,
     "odds_best_prices": _best_prices,
     "odds_history": _odds_history,
@@ -247,6 +271,9 @@ QUERIES = {
     "nhl_boxscore": _nhl_boxscore,
     "football_boxscore": _football_boxscore,
     "live_game_projection": _projection,
+    "nhl_game_projection": lambda s, sf: _projection(s, sf, "NHL"),
+    "cfb_game_projection": lambda s, sf: _projection(s, sf, "CFB"),
+    "raw_json_day": _raw_day,
     "nested_football_projection": _nested_football,
     "baseball_games": _baseball,
     "live_or_soon_games": lambda s, sf: present(
@@ -328,6 +355,37 @@ def _staged_sql(sport: str) -> str:
     return f"WITH {games_sql(sport)} SELECT {', '.join(cols)} FROM games WHERE status_state = 'post'"
 
 
+def _staged_football_sql(sport: str) -> str:
+    cols = [
+        "game_id", "start_time", "status_state", "status_detail", "status_description", "period",
+        "CASE WHEN k % 13 <> 0 THEN clock ELSE '0:00' END AS clock", "venue_name", "venue_city", "venue_state", _text("broadcasts", "broadcasts"),
+        "CASE WHEN k % 7 <> 0 THEN is_indoor ELSE false END AS is_indoor", "partition_year", "partition_month", "partition_day", "ingestion_timestamp",
+    ]
+    for s in ("home", "away"):
+        cols += [f"{s}_{f}" for f in ("id", "name", "abbreviation", "score")]
+        cols += [f"coalesce({s}_record, '0-0') AS {s}_record", _text(f"{s}_linescores", f"{s}_linescores")]
+    for kind in GAME_LEADERS:
+        cols += [f"{e} AS {kind}_{f}" for f, e in _leader(sport, kind, 0).items()]
+    return f"WITH {games_sql(sport)} SELECT {', '.join(cols)} FROM games WHERE status_state = 'post'"
+
+
+def _projection_sql(sport: str) -> str:
+    football = sport in ("NFL", "CFB")
+    cols = [
+        "game_id", "strftime(start_time, '%Y-%m-%dT%H:%MZ') AS start_time", _SHARED_LIVE, "CASE WHEN k % 13 <> 0 THEN clock ELSE '0:00' END AS clock",
+        "venue_name", "venue_city", "venue_state", f"CASE WHEN k % 7 <> 0 THEN is_indoor ELSE {'false' if football else 'true'} END AS venue_indoor",
+        _text("broadcasts", "broadcasts"), "epoch(ingestion_timestamp)::BIGINT AS processing_time",
+    ]
+    for s in ("home", "away"):
+        cols += [f"{s}_name AS {s}_team_name", f"{s}_abbreviation AS {s}_team_abbrev", _records(s), f"{s}_score{'' if football else '::VARCHAR'} AS {s}_team_score"]
+        if football:
+            leaders = {kind: _leader(sport, kind, 0) for kind in GAME_LEADERS}
+            cols += [f"CASE WHEN {f['team']} = {s}_id THEN {f['display_value']} END AS {s}_{kind}_leader" for kind, f in leaders.items()]
+        else:
+            cols += [f"{s}_{c}::{'DOUBLE::' if c in _DOUBLES else ''}VARCHAR AS {s}_{n}" for n, c in _STATS[sport].items()]
+    return f"WITH {games_sql(sport)} SELECT {', '.join(cols)} FROM games"
+
+
 _SEC = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
 _NEWS = """n AS (SELECT *, 'http://news.example/' || source || '/' || doc_id AS url, TIMESTAMP '2023-11-14 22:13:20' + to_minutes(doc_id) AS published FROM documents)"""
 
@@ -383,6 +441,12 @@ ORACLE = {
   CASE WHEN k % 7 <> 0 THEN is_indoor ELSE false END AS indoor FROM games WHERE status_state = 'post'""",
     "nba_staged_games": _staged_sql("NBA"),
     "nhl_staged_games": _staged_sql("NHL"),
+    "nfl_staged_games": _staged_football_sql("NFL"),
+    "cfb_staged_games": _staged_football_sql("CFB"),
+    "nhl_game_projection": _projection_sql("NHL"),
+    "cfb_game_projection": _projection_sql("CFB"),
+    "raw_json_day": f"""WITH {odds_sql()} SELECT game_id, home_price, NULL::INT AS never_there, strftime(bookmaker_last_update, '%Y-%m-%d') AS day, away_price FROM odds
+WHERE strftime(bookmaker_last_update, '%Y-%m-%d') IN ('2024-01-15', '2024-01-17')""",
     "live_odds_flatten": f"""WITH {docs.ODDS_SQL} SELECT game_id, sport_key, sport_title, {_SEC.format('ts')} AS commence_time, home_team, away_team,
   string_agg(bookmaker_key || '@' || (home_price * 64)::INT, ',' ORDER BY b) AS home_odds_by_bookie,
   string_agg(bookmaker_key || '@' || (away_price * 64)::INT, ',' ORDER BY b) AS away_odds_by_bookie,

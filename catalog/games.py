@@ -38,6 +38,12 @@ def _price_margin_correlation(spark, sf):
     return present(history.correlation(stats, "p", "margin", ["sport_type"]), 4)
 
 
+def _form(spark, sf):
+    """Seasons with gaps: no games in three months of the year."""
+    perf = ops.nba_team_performance(games(spark, sf, "NBA")).filter("partition_month % 4 <> 2")
+    return present(ops.trailing_form(ops.nba_team_trends(perf)).select("team_name", "partition_year", "partition_month", "avg_points_per_game", "last_6_months_avg_points", "months_played"))
+
+
 QUERIES = {
     "nba_game_stats": lambda s, sf: present(ops.game_stats(games(s, sf, "NBA"))),
     "nhl_game_stats": lambda s, sf: present(ops.game_stats(games(s, sf, "NHL"))),
@@ -57,6 +63,7 @@ QUERIES = {
     "record_matchup_fact": lambda s, sf: present(ops.record_matchup_fact(ops.record_matchup(games(s, sf)))),
     "nba_team_trends": lambda s, sf: present(ops.nba_team_trends(ops.nba_team_performance(games(s, sf, "NBA")))),
     "nhl_team_trends": lambda s, sf: present(ops.nhl_team_trends(ops.nhl_team_performance(games(s, sf, "NHL")))),
+    "team_form_of_six_months": _form,
     "team_game_sequence": lambda s, sf: present(ops.team_game_sequence(ops.nba_team_performance(games(s, sf, "NBA")))),
     "dim_teams": lambda s, sf: present(dims.dim_teams(games(s, sf), valid_from=fixed())),
     "dim_teams_by_venue": lambda s, sf: present(
@@ -258,6 +265,10 @@ SELECT * EXCLUDE (hp, ap, gap), round(hp, 6) AS home_win_pct, round(ap, 6) AS aw
   round(avg(assists_per_goal), 3) AS avg_assists_per_goal, round(avg(actual_save_pct) * 100, 3) AS avg_save_percentage,
   sum(played_overtime) AS total_overtime_games, sum((played_overtime = 1 AND is_winner = 1)::INT) AS overtime_wins,
   {_trend('goals_scored')} FROM nhl GROUP BY 1, 2, 3""",
+    "team_form_of_six_months": f"""WITH {games_sql('NBA')}, {_NBA_PERF}, t AS (SELECT team_name, partition_year, partition_month,
+  round(avg(points_scored), 3) AS avg_points_per_game, make_date(partition_year, partition_month, 1) AS m FROM nba WHERE partition_month % 4 <> 2 GROUP BY 1, 2, 3)
+SELECT t.* EXCLUDE (m), round(avg(avg_points_per_game) OVER w, 6) AS last_6_months_avg_points, count(*) OVER w AS months_played
+FROM t WINDOW w AS (PARTITION BY team_name ORDER BY m RANGE BETWEEN INTERVAL 5 MONTH PRECEDING AND CURRENT ROW)""",
     "team_game_sequence": f"""WITH {games_sql('NBA')}, {_NBA_PERF} SELECT team_name, partition_year, partition_month, partition_day, game_id,
   team_type, points_scored AS score, row_number() OVER (PARTITION BY team_name, partition_year, partition_month
     ORDER BY partition_day, game_id, team_type) AS position FROM nba""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.tables import odds, odds_sql, present, scratch, table
+from catalog.tables import odds, odds_sql, present, scratch, spread, table
 from matchgrid.operators import history
 from matchgrid.operators.asof import asof_join
 from matchgrid.operators.mentions import mentions, news_before_games, words
@@ -74,7 +74,7 @@ def _played(spark, sf):
 
 def _mentions(spark, sf):
     """The first words of every document are a name; every name is searched in every document."""
-    texts = table(spark, sf, "documents").selectExpr(
+    texts = spread(table(spark, sf, "documents")).selectExpr(
         "doc_id", "text", "timestamp'2024-01-01' + make_dt_interval(0, doc_id * 37 % 720) as published", "case when doc_id % 5 <> 0 then doc_id % 16 / 16 end as mood"
     )
     names = texts.select(F.array_join(F.slice(words(F.col("text")), 1, 2 + (F.col("doc_id") % 2).cast("int")), " ").alias("name")).distinct()

@@ -14,6 +14,7 @@ from catalog.tables import (
     table,
 )
 from matchgrid.operators import leaders as ops
+from matchgrid.operators.trailing import trailing
 from matchgrid.operators.windows import Frame, Running, latest_by, latest_values, percent_rank_by, running
 from matchgrid.params import unite
 
@@ -59,6 +60,14 @@ def _latest_values(spark, sf):
     return present(latest_values(rows, ["team_id"], "at", {"player": "player_name", "value": "stat_value"}))
 
 
+def _trailing(spark, sf):
+    """Six months up to each game, where one name holds most rows; months without games leave gaps."""
+    rows = leaders(spark, sf, "NBA").withColumn("player_name", F.when(F.col("line") < 4, "everyone").otherwise(F.col("player_name")))
+    metrics = {"total": ("sum", "stat_value"), "games": ("count", "stat_value"), "mean": ("avg", "stat_value")}
+    out = trailing(rows, ["player_name"], "start_time", F.expr("interval 6 months"), metrics)
+    return present(out.select("game_id", "player_name", "line", "part", "start_time", *metrics))
+
+
 def _price_rank(spark, sf):
     """Percent rank over very many distinct values."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
@@ -78,6 +87,7 @@ QUERIES = {
     "football_leader_trends": _football_trends,
     "running_over_hot_keys": lambda s, sf: _running(s, sf, leaders(s, sf, "NBA")),
     "running_over_one_hot_key": _hot_running,
+    "trailing_months": _trailing,
     "latest_by_key": _latest_leader,
     "latest_values": _latest_values,
     "percent_rank": _price_rank,
@@ -121,6 +131,10 @@ SELECT *, {_FORM}, max(stat_value) OVER (PARTITION BY player_name, leader_type,
     "running_over_hot_keys": f"WITH {lineitem_leaders_sql('NBA')} {_RUNNING}",
     "running_over_one_hot_key": f"""WITH {lineitem_leaders_sql('NBA').replace("leaders AS", "l AS")},
 leaders AS (SELECT * REPLACE (CASE WHEN line < 4 THEN 'everyone' ELSE player_name END AS player_name) FROM l) {_RUNNING}""",
+    "trailing_months": f"""WITH {lineitem_leaders_sql('NBA').replace("leaders AS", "l AS")},
+leaders AS (SELECT * REPLACE (CASE WHEN line < 4 THEN 'everyone' ELSE player_name END AS player_name, start_time::TIMESTAMP AS start_time) FROM l)
+SELECT game_id, player_name, line, part, start_time, sum(stat_value) OVER w AS total, count(*) OVER w AS games, round(avg(stat_value) OVER w, 6) AS mean
+FROM leaders WINDOW w AS (PARTITION BY player_name ORDER BY start_time RANGE BETWEEN INTERVAL 6 MONTH PRECEDING AND CURRENT ROW)""",
     "latest_by_key": f"""WITH {lineitem_leaders_sql('NBA')} SELECT * EXCLUDE (sport_type, partition_year) FROM leaders QUALIFY row_number() OVER (
   PARTITION BY player_name, leader_type ORDER BY start_time DESC, game_id DESC, line DESC, part DESC) = 1""",
     "latest_values": f"""WITH {lineitem_leaders_sql('NBA')} SELECT team_id, player_name AS player, stat_value AS value FROM leaders

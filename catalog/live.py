@@ -146,6 +146,11 @@ def _stream_nba(spark, sf):
     return _show(_streamed(spark, w, ["window", "game_id"]))
 
 
+def _stream_nfl(spark, sf):
+    w = live.live_game_window(game_messages(_stream(spark, sf), "NFL"), "NFL", WIDTH, delay=NO_LATE)
+    return _show(_streamed(spark, w, ["window", "game_id"]))
+
+
 def _stream_odds(spark, sf):
     w = live.odds_window(odds_messages(_stream(spark, sf)), WIDTH, delay=NO_LATE)
     return _show(_streamed(spark, w, ["window", "game_id", "sport_key"]))
@@ -287,6 +292,8 @@ QUERIES = {
     "nba_live_window": lambda s, sf: _show(_nba(s, sf)),
     "nhl_live_window": lambda s, sf: _show(_nhl(s, sf)),
     "football_live_window": lambda s, sf: _show(_football(s, sf)),
+    "nfl_live_window": lambda s, sf: _show(live.live_game_window(game_messages(_events(s, sf), "NFL"), "NFL", WIDTH)),
+    "stream_nfl_window": _stream_nfl,
     "odds_live_window": lambda s, sf: _show(live.odds_window(odds_messages(_events(s, sf)), WIDTH)),
     "weather_live_window": lambda s, sf: _show(_weather(s, sf)),
     "news_sentiment": lambda s, sf: _show(live.news_sentiment_window(news_messages(_events(s, sf)), WIDTH)),
@@ -376,6 +383,7 @@ _FB_SQL = f"""{_G}, fb AS (SELECT {_B} AS timestamp, {_END} AS window_end, {_KEY
     for k, n in (("passing", 400), ("rushing", 150), ("receiving", 170))
 ) + f""",
   {_run("home_scoring_run,away_scoring_run")} FROM g GROUP BY {_B}, game)"""
+_NFL_SQL = f"WITH {_FB_SQL} SELECT * RENAME (home_team_linescores AS home_team_quarters, away_team_linescores AS away_team_quarters) FROM fb"
 _ROUND_SAVES = ", ".join(f"round({s}_{m}, 6) AS {s}_{m}" for s in ("home", "away") for m in ("saves", "save_pct"))
 
 
@@ -481,6 +489,8 @@ FROM counted GROUP BY {_B}, user_id % 20""",
     "stream_nba_window": f"WITH {_NBA_SQL} SELECT * FROM nba",
     "nhl_live_window": f"WITH {_NHL_SQL} SELECT * REPLACE ({_ROUND_SAVES}) FROM nhl",
     "football_live_window": f"WITH {_FB_SQL} SELECT * FROM fb",
+    "nfl_live_window": _NFL_SQL,
+    "stream_nfl_window": _NFL_SQL,
     "odds_live_window": _ODDS_SQL,
     "stream_odds_window": _ODDS_SQL,
     "weather_live_window": f"WITH {_WEATHER_SQL} {_WEATHER_ROUNDED}",

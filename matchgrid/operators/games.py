@@ -17,6 +17,7 @@ from matchgrid.functions.scores import (
     score_total,
     win_share,
 )
+from matchgrid.operators.trailing import trailing
 from matchgrid.operators.windows import Frame, Running, latest_by, running
 from matchgrid.params import by_sport, of_known_sport, unite
 
@@ -445,6 +446,19 @@ def nba_team_trends(perf: DataFrame, by: Sequence[str] = MONTH, sequence: bool =
     return _trend(perf, by, "points_scored", metrics, sequence)
 
 
+def trailing_form(trends: DataFrame, value: str = "avg_points_per_game", months: int = 6, keys: Sequence[str] = ("team_name",)) -> DataFrame:
+    """Monthly trends with the average of ``value`` over the last ``months`` calendar months, this one included.
+
+    Months without games are gaps: they shorten the average instead of letting older months in.  ``months_played`` counts the
+    months that the average is taken of.
+    """
+    month = F.make_date("partition_year", "partition_month", F.lit(1)).cast("timestamp")
+    name = f"last_{months}_months_{value.removesuffix('_per_game')}"
+    metrics = {name: ("avg", value), "months_played": ("count", value)}
+    out = trailing(trends.withColumn("_month", month), keys, "_month", F.make_interval(months=F.lit(months - 1)), metrics)
+    return out.drop("_month")
+
+
 def nhl_team_trends(perf: DataFrame, by: Sequence[str] = MONTH, sequence: bool = False) -> DataFrame:
     """Monthly goals, saves, overtime and win statistics per hockey team (``sequence`` as in NBA)."""
     ot = F.col("played_overtime")

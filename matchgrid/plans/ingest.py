@@ -16,26 +16,26 @@ from matchgrid.sources.files import align_columns, has_files
 LEDGER = "file STRING, batch INT, schema STRING"
 
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    for batch in batches:
-        schemas = []
-        for file in batch["file"]:
-            local = file.startswith(("file:", "/"))
-            where, path = (fs.LocalFileSystem(), file.removeprefix("file:").replace("//", "/")) if local else fs.FileSystem.from_uri(file)
-            found = pq.read_schema(path, filesystem=where)
-            written = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
-            schemas.append(written.decode() if written else from_arrow_schema(found, prefer_timestamp_ntz=True).json())
-        yield pd.DataFrame({"file": batch["file"], "schema": schemas})
-
-
 def file_schemas(files: DataFrame) -> DataFrame:
     """(file, schema as JSON) of Parquet ``files``: their footers are read in tasks, no row is."""
+
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        for batch in batches:
+            schemas = []
+            for file in batch["file"]:
+                local = file.startswith(("file:", "/"))
+                where, path = (fs.LocalFileSystem(), "/" + file.removeprefix("file:").lstrip("/")) if local else fs.FileSystem.from_uri(file)
+                found = pq.read_schema(path, filesystem=where)
+                written = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                schemas.append(written.decode() if written else from_arrow_schema(found, prefer_timestamp_ntz=True).json())
+            yield pd.DataFrame({"file": batch["file"], "schema": schemas})
+
     few = max(1, files.sparkSession.sparkContext.defaultParallelism)
-    return files.select("file").repartition(few).mapInPandas(_footers, "file STRING, schema STRING")
+    return files.select("file").repartition(few).mapInPandas(footers, "file STRING, schema STRING")
 
 
 def fits(have: T.DataType, want: T.DataType) -> bool:

@@ -83,11 +83,23 @@ _SHORT = {
 }
 
 
+def _side_leader(flat: DataFrame, side: str, kind: str) -> Column:
+    """A side's leader as text: its own column where messages have one, else the game's leader if that is of the side."""
+    name = f"{side}_{kind}_leader"
+    if name in flat.columns:
+        return F.col(name)
+    own = F.col(f"{kind}_leader_team") == F.col(f"{side}_team_id")
+    return F.when(own, F.col(f"{kind}_leader_display_value")).alias(name)
+
+
 def project_live_games(flat: DataFrame, sport: str) -> DataFrame:
-    """Live messages of one sport under their short analytics names."""
+    """Live messages of one sport under their short analytics names; football has the leaders of each side."""
     cols: list[Column | str] = list(_STATUS)
     for s in ("home", "away"):
-        cols += [f"{s}_team_name", F.col(f"{s}_team_abbreviation").alias(f"{s}_team_abbrev"), f"{s}_team_score"]
+        short = f"{s}_team_abbrev" if f"{s}_team_abbrev" in flat.columns else f"{s}_team_abbreviation"
+        cols += [f"{s}_team_name", F.col(short).alias(f"{s}_team_abbrev"), f"{s}_team_score"]
+        if sport in ("NFL", "CFB"):
+            cols += [_side_leader(flat, s, kind) for kind in GAME_LEADERS]
         cols += [F.col(f"{s}_team_{f}").alias(f"{s}_{_SHORT[f]}") for f in TEAM_FIELDS[sport]]
         if f"{s}_team_record" in flat.columns:
             cols.append(f"{s}_team_record")

@@ -53,7 +53,8 @@ def _latest_columns(sport: str) -> dict[str, str]:
             cols[f"{s}_team_record"] = f"{s}_team_record"
             cols.update({f"{s}_{c}": f"{s}_team_{c}" for c in ("goals", "assists", "points")})
         else:
-            cols.update({f"{s}_team_{c}": f"{s}_team_{c}" for c in ("record", "linescores")})
+            cols[f"{s}_team_record"] = f"{s}_team_record"
+            cols[f"{s}_team_quarters" if sport == "NFL" else f"{s}_team_linescores"] = f"{s}_team_linescores"
     if sport in ("NFL", "CFB"):
         cols.update({c: c for c in _FOOTBALL_LEADERS})
     return cols
