@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.tables import games, games_sql, present
+from catalog.tables import games, games_sql, present, scratch
 from matchgrid.operators import dims, filters, history
 from matchgrid.operators import games as ops
 from matchgrid.params import SPORTS
@@ -41,7 +41,7 @@ def _price_margin_correlation(spark, sf):
 def _form(spark, sf):
     """Seasons with gaps: no games in three months of the year."""
     perf = ops.nba_team_performance(games(spark, sf, "NBA")).filter("partition_month % 4 <> 2")
-    return present(ops.trailing_form(ops.nba_team_trends(perf)).select("team_name", "partition_year", "partition_month", "avg_points_per_game", "last_6_months_avg_points", "months_played"))
+    return present(ops.trailing_form(ops.nba_team_trends(perf), store=scratch(spark, "months")).select("team_name", "partition_year", "partition_month", "avg_points_per_game", "last_6_months_avg_points", "months_played"))
 
 
 QUERIES = {

@@ -64,7 +64,7 @@ def _trailing(spark, sf):
     """Six months up to each game, where one name holds most rows; months without games leave gaps."""
     rows = leaders(spark, sf, "NBA").withColumn("player_name", F.when(F.col("line") < 4, "everyone").otherwise(F.col("player_name")))
     metrics = {"total": ("sum", "stat_value"), "games": ("count", "stat_value"), "mean": ("avg", "stat_value")}
-    out = trailing(rows, ["player_name"], "start_time", F.expr("interval 6 months"), metrics)
+    out = trailing(rows, ["player_name"], "start_time", F.expr("interval 6 months"), metrics, scratch(spark, "totals"))
     return present(out.select("game_id", "player_name", "line", "part", "start_time", *metrics))
 
 

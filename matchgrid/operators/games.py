@@ -446,16 +446,16 @@ def nba_team_trends(perf: DataFrame, by: Sequence[str] = MONTH, sequence: bool =
     return _trend(perf, by, "points_scored", metrics, sequence)
 
 
-def trailing_form(trends: DataFrame, value: str = "avg_points_per_game", months: int = 6, keys: Sequence[str] = ("team_name",)) -> DataFrame:
+def trailing_form(trends: DataFrame, value: str = "avg_points_per_game", months: int = 6, keys: Sequence[str] = ("team_name",), store: str | None = None) -> DataFrame:
     """Monthly trends with the average of ``value`` over the last ``months`` calendar months, this one included.
 
     Months without games are gaps: they shorten the average instead of letting older months in.  ``months_played`` counts the
-    months that the average is taken of.
+    months that the average is taken of.  ``store`` is a folder for the monthly totals (see ``trailing.trailing``).
     """
     month = F.make_date("partition_year", "partition_month", F.lit(1)).cast("timestamp")
     name = f"last_{months}_months_{value.removesuffix('_per_game')}"
     metrics = {name: ("avg", value), "months_played": ("count", value)}
-    out = trailing(trends.withColumn("_month", month), keys, "_month", F.make_interval(months=F.lit(months - 1)), metrics)
+    out = trailing(trends.withColumn("_month", month), keys, "_month", F.make_interval(months=F.lit(months - 1)), metrics, store)
     return out.drop("_month")
 
 

@@ -26,7 +26,7 @@ def _exact(df: DataFrame, column: str) -> Column:
     return F.col(column).try_cast("decimal(28,9)")
 
 
-def trailing(df: DataFrame, keys: Sequence[str], ts: str, span: Column, metrics: Mapping[str, tuple[str, str]]) -> DataFrame:
+def trailing(df: DataFrame, keys: Sequence[str], ts: str, span: Column, metrics: Mapping[str, tuple[str, str]], store: str | None = None) -> DataFrame:
     """``df`` with ``metrics`` (name to (``sum``, ``count`` or ``avg``, column)) over the rows of the key in ``[ts - span, ts]``.
 
     ``span`` is an interval, in months too: each row's own start is taken off the calendar.  All rows of one instant have the
@@ -37,6 +37,9 @@ def trailing(df: DataFrame, keys: Sequence[str], ts: str, span: Column, metrics:
     its end less the one before its start, which an as-of join finds; both are prefix scans, so a key of any size is dealt
     over the tasks and no frame is ever held.  Doubles are added as decimals of nine places; those that are not finite or
     beyond 10^19 count as unknown.
+
+    The totals are looked at several times.  With a ``store`` folder they are written there first, so ``df`` is read twice
+    only: once to add up and once to take the metrics.
     """
     bad = {kind for kind, _ in metrics.values()} - {"sum", "count", "avg"}
     if bad:
@@ -47,6 +50,9 @@ def trailing(df: DataFrame, keys: Sequence[str], ts: str, span: Column, metrics:
     narrow = df.filter(known).select(*keys, ts, *[_exact(df, c).alias(f"_v{slot[c]}") for c in columns])
     adds = [f(f"_v{i}").alias(f"_{n}{i}") for i in slot.values() for n, f in (("sum", F.sum), ("count", F.count))]
     totals = narrow.groupBy(*keys, ts).agg(*adds)
+    if store is not None:
+        totals.write.mode("overwrite").parquet(store)
+        totals = df.sparkSession.read.schema(totals.schema).parquet(store)
     names = [f"_{n}{i}" for i in slot.values() for n in ("sum", "count")]
     upto = running(totals.fillna(0, names), [Frame(list(keys), [ts], {f"_upto{n}": Running("sum", n) for n in names})])
     ends = [f"_upto{n}" for n in names]

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchgrid.operators.trailing import trailing
+from matchgrid.operators.windows import cuts
 
 START = dt.datetime(2024, 1, 1)
-SPANS = {"interval 90 minutes": lambda t: t - dt.timedelta(minutes=90), "interval 1 month": None}
 
 
 def month_before(t):
@@ -22,6 +22,9 @@ def month_before(t):
     return t.replace(year=year, month=month)
 
 
+BEGIN = {"interval 90 minutes": lambda t: t - dt.timedelta(minutes=90), "interval 1 month": month_before}
+
+
 def series(seed, n, keys, minutes):
     rng = random.Random(seed)
     at = lambda: None if rng.random() < 0.03 else START + dt.timedelta(minutes=rng.randrange(minutes) // 7 * 7)
@@ -30,13 +33,13 @@ def series(seed, n, keys, minutes):
 
 @pytest.mark.parametrize("span, minutes", [("interval 90 minutes", 4000), ("interval 1 month", 200000)])
 @pytest.mark.parametrize("keys", [["a", "b", None], ["hot"] * 30 + ["a", "b", None]])
-def test_trailing(spark, span, minutes, keys):
+def test_trailing(spark, tmp_path, span, minutes, keys):
     rows = series(5, 700, keys, minutes)
     df = spark.createDataFrame(rows, "i int, k string, at timestamp, v int, x double").repartition(3)
     metrics = {"s": ("sum", "v"), "n": ("count", "v"), "m": ("avg", "v"), "xs": ("sum", "x"), "xn": ("count", "x")}
-    got = trailing(df, ["k"], "at", F.expr(span), metrics)
+    got = trailing(df, ["k"], "at", F.expr(span), metrics, str(tmp_path / "totals") if "hot" in keys else None)
     assert got.columns == [*df.columns, *metrics] and got.schema["s"].dataType.simpleString() == "bigint"
-    begin = SPANS[span] or month_before
+    begin = BEGIN[span]
     want = {}
     for i, k, at, _, _ in rows:
         if k is None or at is None:
@@ -56,3 +59,13 @@ def test_trailing_of_nothing(spark):
     assert trailing(empty, ["k"], "at", F.expr("interval 1 day"), {"s": ("sum", "v")}).collect() == []
     with pytest.raises(ValueError):
         trailing(empty, ["k"], "at", F.expr("interval 1 day"), {"s": ("max", "v")})
+
+
+def test_hot_key_is_dealt(spark):
+    """One key of 60,000 instants: its running totals are added up in several tasks."""
+    rows = spark.range(60000).selectExpr("'hot' as k", "timestamp'2024-01-01' + make_dt_interval(0, 0, cast(id as int)) as at", "cast(1 as int) as v")
+    got = trailing(rows, ["k"], "at", F.expr("interval 99 minutes"), {"n": ("count", "v"), "s": ("sum", "v")})
+    assert got.agg(F.min("n"), F.max("n"), F.sum("n"), F.max("s")).first()[:] == (1, 100, 100 * 60000 - 4950, 100)
+    cut = cuts(rows, ["k"], ["at"])
+    shares = rows.groupBy(cut.block().alias("b")).count().collect()
+    assert len(shares) >= 8 and max(r["count"] for r in shares) < 20000
