@@ -77,8 +77,11 @@ def _mentions(spark, sf):
     texts = spread(table(spark, sf, "documents")).selectExpr(
         "doc_id", "text", "timestamp'2024-01-01' + make_dt_interval(0, doc_id * 37 % 720) as published", "case when doc_id % 5 <> 0 then doc_id % 16 / 16 end as mood"
     )
-    names = texts.select(F.array_join(F.slice(words(F.col("text")), 1, 2 + (F.col("doc_id") % 2).cast("int")), " ").alias("name")).distinct()
-    return mentions(texts, names.filter("name <> ''").withColumn("team", F.length("name") % 20), "text", "name", ["doc_id", "published", "mood"])
+    # the first words are among the first pieces, so the rest of a text is not cut for them
+    start = words(F.col("text"), pieces=4)
+    names = texts.select(F.array_join(F.slice(start, 1, 2 + (F.col("doc_id") % 2).cast("int")), " ").alias("name")).distinct()
+    listed = names.withColumn("team", F.length("name") % 20)
+    return mentions(texts, listed, "text", "name", ["doc_id", "published", "mood"], scratch(spark, "names"))
 
 
 def _news_and_points(spark, sf):
