@@ -1,7 +1,8 @@
 """A training-data pipeline over ``documents``: each stage is written as Parquet and read again as the next one's input.
 
 1. quality      learn from ``labels``, drop what the classifier rejects
-2. near_copies  keep one document of each group of texts that share 0.8 or more of their 5-word shingles
+2. near_copies  keep one document of each group of linked fingerprints, then of each group of texts that share 0.8 or more
+                of their 5-word shingles
 3. benchmark    drop documents that hold a window of a ``benchmark`` item
 4. personal     mask personal data in the texts
 5. tokens       BPE ids of the texts
@@ -25,7 +26,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs, grouped=jaccard.near_copies)
+    """No two documents that are left are linked, neither by fingerprints nor by shingles."""
+    return simhash.one_of_each(simhash.one_of_each(docs), grouped=jaccard.near_copies)
 
 
 def untested(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

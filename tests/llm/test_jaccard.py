@@ -102,3 +102,12 @@ def test_stage_takes_copies_of_0_8(spark):
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert similar(grams(texts[1]), grams(texts[177]))
     assert sorted(r.doc_id for r in corpus_pipeline.distinct(spark, docs, SF).collect()) == [1, 5]
+
+
+def test_stage_takes_linked_fingerprints(spark):
+    """One text repeated with different ends: hardly a common share of distinct shingles, but one fingerprint."""
+    frame = " ".join(f"w{i}" for i in range(60))
+    ends = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
+    rows = [(3, f"{frame} " * 200 + ends[0]), (2, f"{frame} " * 200 + ends[1]), (5, " ".join(f"z{i}" for i in range(90)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.distinct(spark, docs, SF).collect()) == [2, 5]
