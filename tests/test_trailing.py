@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchgrid.operators.trailing import trailing
-from matchgrid.operators.windows import cuts
+from matchgrid.operators.windows import Frame, Running, cuts, running
 
 START = dt.datetime(2024, 1, 1)
 
@@ -69,3 +69,11 @@ def test_hot_key_is_dealt(spark):
     cut = cuts(rows, ["k"], ["at"])
     shares = rows.groupBy(cut.block().alias("b")).count().collect()
     assert len(shares) >= 8 and max(r["count"] for r in shares) < 20000
+
+
+def test_running_totals_keep_all_partitions(spark):
+    """AQE would join partitions of few compressed bytes into one task, whatever their rows take when they are sorted."""
+    rows = spark.range(5000).selectExpr("id % 100 as k", "id as at", "1 as v")
+    out = running(rows, [Frame(["k"], ["at"], {"n": Running("sum", "v")})])
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {(r.k, r.at): r.n for r in out.collect()} == {(i % 100, i): i // 100 + 1 for i in range(5000)}
