@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -263,16 +263,20 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     shuffle and its rows can be divided.
     """
     edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    state = [F.count("*").alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).alias("sum")]
     before = None
     for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        turned = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+        both = edges.select(turned.alias("e")).select("e.a", "e.b")
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = large.filter("a > b")
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = written(small.select("e.a", "e.b").filter("a <> b").distinct(), "links")
-        now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
+        # counted and added up while it is written: another query of each round would be the driver's to plan and to keep
+        seen = Observation()
+        edges = written(small.select("e.a", "e.b").filter("a <> b").distinct().observe(seen, *state), "links")
+        now = seen.get
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now

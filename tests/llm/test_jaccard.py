@@ -111,3 +111,9 @@ def test_stage_takes_linked_fingerprints(spark):
     rows = [(3, f"{frame} " * 200 + ends[0]), (2, f"{frame} " * 200 + ends[1]), (5, " ".join(f"z{i}" for i in range(90)))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.distinct(spark, docs, SF).collect()) == [2, 5]
+
+
+def test_stage_deals_out_texts_for_the_last_join_only(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = corpus_pipeline.distinct(spark, docs, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1

@@ -112,3 +112,20 @@ def test_buckets_of_the_query_have_upper_nodes(spark):
                 far = np.bitwise_count((own[:, None] ^ pattern[None, :]) & top[None, :]) > 4
                 left, asked = left + int(far.sum()), asked + far.size
     assert deep > 100 and left > 0.2 * asked
+
+
+def test_a_round_is_one_query(spark, tmp_path):
+    """Whether the groups have settled is seen while a round is written, not by a query of its own."""
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    edges = spark.createDataFrame([(k, k + 1) for k in range(12)], "a long, b long")
+    rounds, written = [], simhash.written
+    simhash.written = lambda df, name: rounds.append(name) or written(df, name)
+    try:
+        bus.waitUntilEmpty()
+        before = store.executionsCount()
+        found = simhash.components(edges)
+        bus.waitUntilEmpty()
+        assert store.executionsCount() - before == len(rounds)
+    finally:
+        simhash.written = written
+    assert {(r.node, r.root) for r in found.collect()} == {(k, 0) for k in range(1, 13)}
