@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.tables import present, scratch, table
+from catalog.tables import present, scratch, spread, table, tasks
 from matchgrid.functions import odds_window_minutes
 from matchgrid.operators import games as game_ops
 from matchgrid.operators import history, serving
@@ -104,12 +104,17 @@ def volume_messages(events: DataFrame) -> DataFrame:
 
 
 def _events(spark, sf):
-    return table(spark, sf, "events")
+    return spread(table(spark, sf, "events"), 1)
+
+
+def _dealt(stream: DataFrame, n: int) -> DataFrame:
+    """Narrow rows of each micro-batch over ``n`` tasks, before messages are made of them."""
+    return stream.repartition(n) if n > 1 else stream
 
 
 def _stream(spark: SparkSession, sf: str, name: str = "events") -> DataFrame:
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    rows = table(spark, sf, name)
+    return _dealt(spark.readStream.schema(rows.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf), tasks(rows))
 
 
 def _streamed(spark: SparkSession, windows: DataFrame, keys: list[str]) -> DataFrame:
@@ -199,11 +204,14 @@ def _arrivals(spark, sf):
     """The events as a stream of three batches; the last brings a tenth of them, mostly when their windows are closed.
 
     A batch drops what the watermark of the batch before it had passed, so the first batch decides what is late in the third.
+    Each batch is written as equally many files, which come in by the time they were written.
     """
     rows, folder = _events(spark, sf), scratch(spark, "arrivals")
+    n = tasks(rows)
     for part in (FIRST, f"not ({FIRST}) and not ({LATE})", LATE):
-        rows.filter(part).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        some = rows.filter(part)
+        (some.repartition(n) if n > 1 else some.coalesce(1)).write.mode("append").parquet(folder)
+    return _dealt(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", n).parquet(folder), n)
 
 
 def _appended(spark: SparkSession, windows: DataFrame) -> DataFrame:
