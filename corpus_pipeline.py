@@ -27,7 +27,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """No two documents that are left are linked, neither by fingerprints nor by shingles."""
-    # read four times by what follows, so it is written and not dealt out again for each
+    # read several times by what follows, so it is written and not dealt out again for each
     left = written(simhash.one_of_each(docs), "unlinked")
     return simhash.one_of_each(left, grouped=jaccard.near_copies)
 
