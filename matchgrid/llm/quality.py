@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.llm import text
 from matchgrid.llm.common import table
-from matchgrid.llm.sampling import collected, fold, kept, sampled, scored
+from matchgrid.llm.sampling import fitted, fold, kept, sampled, scored
 
 BITS = 17
 FAMILIES = 4
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=lambda
     """Learn from at most ``rows`` labelled texts of at most ``longest`` bytes (see ``sampling.sampled``)."""
     sample = sampled(docs, labels, label, learn, rows, longest, id_col, text_col)
     kind = sample.schema["id"].dataType.simpleString()
-    return train(collected(sample, features(bits), f"id {kind}, y int, keys binary, shares binary"), bits)
+    return fitted(sample, features(bits), f"id {kind}, y int, keys binary, shares binary", lambda rows_: train(rows_, bits))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

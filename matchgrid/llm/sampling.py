@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -36,15 +37,38 @@ def sampled(docs: DataFrame, labels: DataFrame, label: str, learn, rows: int, lo
     return met.groupBy("id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("id", "text", "y")
 
 
-def collected(sample: DataFrame, features: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> list:
-    """Feature rows of a bounded sample, made on the executors, in a fixed order."""
+def _featured(sample: DataFrame, features: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     ship(sample.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield features(batch)
 
-    return sorted(sample.mapInArrow(run, schema).collect(), key=lambda r: (r["id"], bytes(r["keys"])))
+    return sample.mapInArrow(run, schema)
+
+
+def _ordered(rows: list) -> list:
+    return sorted(rows, key=lambda r: (r["id"], bytes(r["keys"])))
+
+
+def collected(sample: DataFrame, features: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> list:
+    """Feature rows of a bounded sample, made on the executors, in a fixed order."""
+    return _ordered(_featured(sample, features, schema).collect())
+
+
+def fitted(sample: DataFrame, features: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, train: Callable[[list], object]):
+    """What ``train`` makes of the feature rows of a bounded sample, in a fixed order.
+
+    It learns in a task, so only the model comes to the driver, whose memory does not hold the features.
+    """
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(_ordered(rows)))], pa.binary())], names=["model"])
+
+    found = _featured(sample, features, schema).repartition(1).mapInArrow(learn, "model binary").collect()
+    # without rows there may be no task
+    return pickle.loads(found[0]["model"]) if found else train([])
 
 
 def scored(docs: DataFrame, score: Callable[[pa.Array], pa.Array], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.llm import text
 from matchgrid.llm.common import table
-from matchgrid.llm.sampling import collected, fold, sampled, scored
+from matchgrid.llm.sampling import fitted, fold, sampled, scored
 
 # Identity terms, by group; terms of one group are swapped for one another.
 IDENTITY_TERMS = (
@@ -196,7 +196,7 @@ def fit(
     """Learn from at most ``rows`` labelled texts of at most ``longest`` bytes (see ``sampling.sampled``)."""
     sample = sampled(docs, labels, label, learn, rows, longest, id_col, text_col)
     kind = sample.schema["id"].dataType.simpleString()
-    return train(collected(sample, features(groups), f"id {kind}, y int, keys binary, swapped binary, inserted binary"), **options)
+    return fitted(sample, features(groups), f"id {kind}, y int, keys binary, swapped binary, inserted binary", lambda rows_: train(rows_, **options))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -124,3 +124,20 @@ def test_one_text_of_an_id(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
     rows = sampling.sampled(docs, labels, "toxic", lambda c: F.lit(True), 100, 1000).collect()
     assert sorted(r.id for r in rows) == [1, 2]
+
+
+def test_only_models_come_to_the_driver(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    learned = labels.withColumnRenamed("toxic", "quality")
+    plain = quality.train(sampling.collected(sampling.sampled(docs, learned, "quality", lambda c: F.lit(True), 60, 1000), quality.features(12), "id long, y int, keys binary, shares binary"), 12)
+    brought, collect = [], type(docs).collect
+
+    def counted(df):
+        brought.append(collect(df))
+        return brought[-1]
+
+    monkeypatch.setattr(type(docs), "collect", counted)
+    model = quality.fit(docs, learned, rows=60, longest=1000, bits=12)
+    toxicity.fit(docs, labels)
+    assert [len(rows) for rows in brought] == [1, 1]
+    assert np.allclose(model.weight, plain.weight, atol=1e-5) and abs(model.bias - plain.bias) < 1e-5
