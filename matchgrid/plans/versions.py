@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchgrid.operators.windows import attach, neighbor
+from matchgrid.operators.windows import attach, neighbor, neighbors
 from matchgrid.plans.incremental import incremental_merge
-from matchgrid.sources.files import has_files, read_table
+from matchgrid.sources.files import has_files, read_table, remove_folder, shared_folder
 
 MONTH = "valid_month"
 
@@ -19,9 +20,12 @@ def _month(at: Column) -> Column:
 
 
 def _observed(rows: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
-    """One observation per key and instant; of several the greatest stays (a deletion before others), whatever their order."""
-    best = rows.groupBy(*keys, "valid_from").agg(F.max(F.struct("deleted", *tracked)).alias("_seen"))
-    return best.select(*keys, "valid_from", "_seen.*")
+    """One observation per key and instant; of several the greatest stays (a deletion before others), whatever their order.
+
+    ``_held`` is the stored interval that starts there, where there is one.
+    """
+    best = rows.groupBy(*keys, "valid_from").agg(F.max(F.struct("deleted", *tracked)).alias("_seen"), F.max("_held").alias("_held"))
+    return best.select(*keys, "valid_from", "_seen.*", "_held")
 
 
 def intervals(observed: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
@@ -31,12 +35,11 @@ def intervals(observed: DataFrame, keys: Sequence[str], tracked: Sequence[str])
     own, as a late observation may still come between them.
     """
     seen = ["deleted", *tracked]
-    rows = neighbor(observed, keys, ["valid_from"], seen, "_before")
-    rows = neighbor(rows, keys, ["valid_from"], ["valid_from"], "_after", following=True)
+    rows = neighbors(observed, keys, ["valid_from"], {"_before": (seen, False), "_after": (["valid_from"], True)})
     changed = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.struct(*seen))
     return rows.select(
         *keys, *tracked, "valid_from", F.col("_after.valid_from").alias("valid_to"), "deleted", changed.alias("changed"),
-        _month(F.col("valid_from")).alias(MONTH),
+        _month(F.col("valid_from")).alias(MONTH), *[c for c in ("_held",) if c in observed.columns],
     )
 
 
@@ -51,16 +54,25 @@ def apply_observations(
     """
     flag = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     incoming = rows.filter(F.col(ts).isNotNull()).select(*keys, F.col(ts).alias("valid_from"), flag.alias("deleted"), *tracked)
-    merged = [*keys, "valid_from"]
-    if not has_files(spark, path):
-        incremental_merge(spark, path, intervals(_observed(incoming, keys, tracked), keys, tracked), merged, ["valid_from"], [MONTH])
-        return
-    # the columns' order on disk is not theirs in the increment
-    stored = read_table(spark, path)
-    held = attach(stored, incoming.select(*keys).distinct(), keys, "left_semi").select(*keys, *tracked, "valid_from", "valid_to", "deleted", "changed", MONTH)
-    both = held.select("valid_from", "deleted", *keys, *tracked).unionByName(incoming)
-    fresh = intervals(_observed(both, keys, tracked), keys, tracked)
-    incremental_merge(spark, path, attach(fresh, held, held.columns, "left_anti"), merged, ["valid_from"], [MONTH])
+    own = ["valid_to", "changed", "deleted", *tracked]
+    first = not has_files(spark, path)
+    if not first:
+        stored = read_table(spark, path)
+        held = attach(stored, incoming.select(*keys).distinct(), keys, "left_semi")
+        incoming = held.select(*incoming.columns, F.struct(*own).alias("_held")).unionByName(incoming, allowMissingColumns=True)
+    else:
+        incoming = incoming.withColumn("_held", F.lit(None).cast("boolean"))
+    # what follows reads them several times
+    staging = f"{shared_folder(spark)}/observed-{uuid.uuid4().hex}"
+    try:
+        seen = _observed(incoming, keys, tracked)
+        seen.write.parquet(staging)
+        fresh = intervals(spark.read.schema(seen.schema).parquet(staging), keys, tracked)
+        if not first:
+            fresh = fresh.filter(F.col("_held").isNull() | ~F.col("_held").eqNullSafe(F.struct(*own)))
+        incremental_merge(spark, path, fresh.drop("_held"), [*keys, "valid_from"], ["valid_from"], [MONTH], replace=True)
+    finally:
+        remove_folder(spark, staging)
 
 
 def versions(stored: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:

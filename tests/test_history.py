@@ -70,6 +70,23 @@ def test_the_same_again_rewrites_nothing(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(path).select("_metadata.file_path").distinct().collect()) == before
 
 
+def test_increments_read_their_observations_once(spark, tmp_path):
+    """Whatever looks at the rows several times (counts, samples, both neighbours) reads them from the shared folder."""
+    path, seen = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame(observations(4, 40)[:40], DDL).coalesce(1)
+    versions.apply_observations(spark, path, rows.mapInArrow(noted, DDL), ["k"], "at", ["v", "w"], F.col("gone"))
+    assert seen.value == 40
+    # once for the keys, once for the rows
+    versions.apply_observations(spark, path, rows.mapInArrow(noted, DDL), ["k"], "at", ["v", "w"], F.col("gone"))
+    assert seen.value <= 120
+
+
 # ---- change feed
 
 ROW = "k int, v string, part string"

@@ -137,3 +137,13 @@ def test_merge_recovers_from_a_failed_first_load(spark, tmp_path):
     path = str(tmp_path / "t")
     incremental.incremental_merge(spark, path, spark.createDataFrame([(1, 1, "p")], "id int, version int, part string"), ["id"], ["version"], ["part"])
     assert spark.read.parquet(path).count() == 1
+
+
+def test_merge_takes_the_newest_of_several_updates(spark, tmp_path):
+    """The older update goes to a partition of its own, which the key does not get."""
+    path, ddl = str(tmp_path / "t"), "id int, version int, part string"
+    files.replace_partitions(spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 1, "c")], ddl), path, ["part"])
+    updates = spark.createDataFrame([(1, 2, "c"), (1, 3, "d"), (2, 0, "c"), (4, 1, "e"), (4, 0, "f")], ddl)
+    incremental.incremental_merge(spark, path, updates, ["id"], ["version"], ["part"])
+    assert sorted(map(tuple, files.read_table(spark, path).select("id", "version", "part").collect())) == [(1, 3, "d"), (2, 1, "b"), (3, 1, "c"), (4, 1, "e")]
+    assert {p.name for p in (tmp_path / "t").glob("part=*")} == {"part=b", "part=c", "part=d", "part=e"}
