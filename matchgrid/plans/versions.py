@@ -70,7 +70,8 @@ def apply_observations(
         fresh = intervals(spark.read.schema(seen.schema).parquet(staging), keys, tracked)
         if not first:
             fresh = fresh.filter(F.col("_held").isNull() | ~F.col("_held").eqNullSafe(F.struct(*own)))
-        incremental_merge(spark, path, fresh.drop("_held"), [*keys, "valid_from"], ["valid_from"], [MONTH], replace=True)
+        merged = [*keys, "valid_from"]
+        incremental_merge(spark, path, fresh.drop("_held"), merged, ["valid_from"], [MONTH], replace=merged)
     finally:
         remove_folder(spark, staging)
 

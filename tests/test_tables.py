@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchgrid.operators import filters, odds, quality
+from matchgrid.operators.windows import Frame, Running, running
 from matchgrid.plans import batch, incremental
 from matchgrid.sources import files
 
@@ -139,6 +140,24 @@ def test_merge_recovers_from_a_failed_first_load(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_refresh_reads_the_touched_rows_once(spark, tmp_path):
+    path, seen = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+    ddl = "id int, at int, part string"
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(i % 3, i, "p") for i in range(30)], ddl).coalesce(1)
+    source = rows.mapInArrow(noted, ddl)
+    form = lambda df: running(df, [Frame(["id"], ["at"], {"n": Running("count")})])
+    files.replace_partitions(form(rows.filter("at < 20")), path, ["part"])
+    incremental.refresh_by_key(spark, path, source, rows.filter("at >= 20"), ["id"], form, ["id", "at"], ["at"], ["part"], unique=True)
+    assert seen.value == 30
+    assert sorted((r.id, r.at, r.n) for r in files.read_table(spark, path).collect()) == sorted((i % 3, i, i // 3 + 1) for i in range(30))
+
+
 def test_merge_takes_the_newest_of_several_updates(spark, tmp_path):
     """The older update goes to a partition of its own, which the key does not get."""
     path, ddl = str(tmp_path / "t"), "id int, version int, part string"
@@ -147,3 +166,14 @@ def test_merge_takes_the_newest_of_several_updates(spark, tmp_path):
     incremental.incremental_merge(spark, path, updates, ["id"], ["version"], ["part"])
     assert sorted(map(tuple, files.read_table(spark, path).select("id", "version", "part").collect())) == [(1, 3, "d"), (2, 1, "b"), (3, 1, "c"), (4, 1, "e")]
     assert {p.name for p in (tmp_path / "t").glob("part=*")} == {"part=b", "part=c", "part=d", "part=e"}
+
+
+def test_refresh_of_unique_rows_replaces_those_of_touched_keys(spark, tmp_path):
+    """Rows move to other partitions, and a partition that they leave empty goes."""
+    path, ddl = str(tmp_path / "t"), "id int, at int, part string"
+    files.replace_partitions(spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "b"), (None, 1, "c")], ddl), path, ["part"])
+    source = spark.createDataFrame([(1, 1, "d"), (1, 2, "d"), (1, 3, "e"), (2, 1, "b"), (None, 1, "c"), (None, 2, "c")], ddl)
+    updates = source.filter("at = 3 or id is null and at = 2")
+    incremental.refresh_by_key(spark, path, source, updates, ["id"], lambda df: df, ["id", "at"], ["at"], ["part"], unique=True)
+    assert sorted(map(str, files.read_table(spark, path).select("id", "at", "part").collect())) == sorted(map(str, source.collect()))
+    assert {p.name for p in (tmp_path / "t").glob("part=*")} == {"part=b", "part=c", "part=d", "part=e"}
