@@ -39,3 +39,9 @@ def test_query(spark, con, name):
     want_cols, want = rows_of([d[0] for d in cur.description], cur.fetchall())
     assert cols == want_cols
     assert [key(r) for r in rows] == [key(r) for r in want]
+
+
+@pytest.mark.parametrize("name", ["nba_staged_games", "nfl_staged_games"])
+def test_both_versions_of_a_game_come_from_one_parse(spark, name):
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") >= 1 and plan.count("Relation [") == 1
