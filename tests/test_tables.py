@@ -177,3 +177,19 @@ def test_refresh_of_unique_rows_replaces_those_of_touched_keys(spark, tmp_path):
     incremental.refresh_by_key(spark, path, source, updates, ["id"], lambda df: df, ["id", "at"], ["at"], ["part"], unique=True)
     assert sorted(map(str, files.read_table(spark, path).select("id", "at", "part").collect())) == sorted(map(str, source.collect()))
     assert {p.name for p in (tmp_path / "t").glob("part=*")} == {"part=b", "part=c", "part=d", "part=e"}
+
+
+def test_curated_load_parses_its_documents_once(spark, monkeypatch):
+    from catalog import quality as gates, tables_io
+
+    sf, seen, parsed = "/root/testdata/sf0.001", spark.sparkContext.accumulator(0), gates._curated
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = parsed(spark, sf)
+    monkeypatch.setattr(gates, "_curated", lambda *_: rows.mapInArrow(noted, rows.schema))
+    tables_io._curated_load(spark, sf).count()
+    assert seen.value == rows.count() > 0
