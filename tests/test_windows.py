@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from matchgrid.operators import history
 from matchgrid.operators.windows import (
+    Cuts,
     Frame,
     Running,
     cuts,
@@ -218,3 +219,15 @@ def test_ties_are_one_row_to_the_driver(spark):
     df = spark.range(50_000).selectExpr("0 as k", "0 as t", "1 as v")
     assert not cuts(df, ["k"], ["t"])
     assert running(df, [Frame(["k"], ["t"], {"n": Running("sum", "v", peers=True)})]).filter("n <> 50000").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 100])
+def test_blocks_are_found_by_halves(spark, n):
+    df = spark.createDataFrame([("k", t, i) for t in [None, *range(-1, 2 * n + 2)] for i in range(2)] + [("other", 1, 1)], "k string, t int, i int")
+    own = df.filter("k = 'k'").select(F.xxhash64("k")).first()[0]
+    bounds = [(None, 1)] + [(2 * b, b % 2) for b in range(n - 1)]
+    cut = Cuts(["k"], [F.col("t"), F.col("i")], {own: [[F.lit(t).cast("int"), F.lit(i)] for t, i in bounds]}, True)
+    at = lambda t, i: (t is not None, t or 0, i)
+    for r in df.select("*", cut.block().alias("block")).collect():
+        assert r.block == (sum(at(*b) <= at(r.t, r.i) for b in bounds) if r.k == "k" else 0)
+    assert "filter" not in str(cut.block())
