@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables, and the contract of the entry module."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -45,3 +47,18 @@ def test_query(spark, con, name):
 def test_both_versions_of_a_game_come_from_one_parse(spark, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") >= 1 and plan.count("Relation [") == 1
+
+
+def test_methods_of_game_messages_are_small_enough_to_be_compiled(spark):
+    from catalog.quality import _game_messages
+    from matchgrid.operators import quality
+
+    judged = _game_messages(spark, SF).withColumn("status", quality.first_failure(quality.game_message_rules()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        judged = judged.select("*")
+        text = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(judged._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:([0-9]+)", text)]
+    assert sizes and max(sizes) < 8000

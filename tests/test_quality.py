@@ -41,6 +41,19 @@ def test_split_keeps_every_row(rows):
     assert {r.validation_status for r in bad.collect()} == {"no id", "no value"}
 
 
+def test_split_with_store_derives_and_judges_each_row_once(spark, rows, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(v):
+        seen.add(1)
+        return v
+
+    looked = rows.withColumn("v", F.udf(look, "double")("v"))
+    valid, bad = quality.split_valid(looked, {"no id": F.col("id").isNotNull(), "no value": F.col("v").isNotNull()}, f"{tmp_path}/judged")
+    assert ids(valid) == [1, 2] and {(r.id, r.validation_status) for r in bad.collect()} == {(2, "no value"), (None, "no id")}
+    assert valid.columns == rows.columns and seen.value == rows.count()
+
+
 def test_reconcile_reports_missing_days(spark):
     raw = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01"), ("c", "2024-01-02")], "k string, d string")
     done = raw.filter("k = 'a'")
